@@ -1,7 +1,7 @@
 """Queries over the driver tables, each beside its SQL check."""
 from importlib import import_module
 
-MODULES = ("q_clean", "q_facts")
+MODULES = ("q_clean", "q_facts", "q_measures", "q_windows")
 
 
 def load_all() -> None:
