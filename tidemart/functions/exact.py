@@ -41,10 +41,12 @@ def half_up_ratio(num: Column, den: Column, digits: int) -> Column:
     in integers so that ties never depend on binary fractions. Null when ``den`` is 0 or null."""
     ten = 10 ** digits
     den = F.nullif(den, F.lit(0))
-    whole = F.call_function("div", F.abs(num), den)
-    # the remainder is widened: times 2 * 10^digits it can pass the long range in a hot group
-    rest = (F.abs(num) - whole * den).cast("decimal(20,0)")
-    frac = F.call_function("div", rest * F.lit(2 * ten).cast("decimal(10,0)") + den, den * 2)
+    div = lambda a, b: F.call_function("div", a, b)
+    whole = div(F.abs(num), den)
+    rest = F.abs(num) - whole * den
+    # in a huge group the remainder times 2 * 10^digits can pass the long range: widen it there
+    wide = div(rest.cast("decimal(20,0)") * F.lit(2 * ten).cast("decimal(10,0)") + den, den * 2)
+    frac = F.when(den < (1 << 60) // ten, div(rest * (2 * ten) + den, den * 2)).otherwise(wide)
     units = whole * ten + frac
     return F.when(num < 0, -units).otherwise(units).cast("double") / float(ten)
 

@@ -1,7 +1,7 @@
 """The star model as data: tables, N:1 relationships, role rules, and what a filter does to facts."""
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
@@ -48,6 +48,29 @@ MEASURES = {m.name: m for m in (
 )}
 
 
+class Tables(Mapping):
+    """Named frames, each opened on first use: a measure over one fact does not plan the other."""
+
+    def __init__(self, makers: Mapping[str, Callable[[], DataFrame] | DataFrame]):
+        self._makers, self._open = dict(makers), {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._open:
+            made = self._makers[name]
+            self._open[name] = made if isinstance(made, DataFrame) else made()
+        return self._open[name]
+
+    def __iter__(self):
+        return iter(self._makers)
+
+    def __len__(self) -> int:
+        return len(self._makers)
+
+    def replaced(self, **others: Callable[[], DataFrame] | DataFrame) -> "Tables":
+        kept = {n: (lambda n=n: self[n]) for n in self._makers if n not in others}
+        return Tables({**kept, **others})
+
+
 @dataclass(frozen=True)
 class Model:
     tables: Mapping[str, DataFrame]
@@ -55,6 +78,10 @@ class Model:
     roles: Mapping[str, Mapping[str, Mapping[str, str]]] = field(default_factory=lambda: ROLES)
     measures: Mapping[str, Measure] = field(default_factory=lambda: MEASURES)
 
+    def __post_init__(self):
+        if not isinstance(self.tables, Tables):
+            object.__setattr__(self, "tables", Tables(self.tables))
+
     def flat(self, fact: str, take: Mapping[str, Sequence[str]]) -> DataFrame:
         """The fact with columns of related dimensions: ``{"zone": ["borough"]}``. Unmatched facts
         keep nulls. Columns are renamed ``<dim>_<column>`` only when the fact already has the name."""
@@ -72,11 +99,12 @@ class Model:
     def where(self, dim: str, cond: Column) -> "Model":
         """Filter a dimension; facts related to it follow by semi-join, others stay untouched."""
         kept = self.tables[dim].where(cond)
-        tables = {**self.tables, dim: kept}
+        seen = {dim: kept}
         for rel in self.relationships:
             if rel.dim == dim:
-                tables[rel.fact] = restrict(tables[rel.fact], rel.fact_key, kept, rel.dim_key)
-        return replace(self, tables=tables)
+                seen[rel.fact] = lambda rel=rel: restrict(self.tables[rel.fact], rel.fact_key, kept, rel.dim_key)
+        return replace(self, tables=self.tables.replaced(**seen))
+
 
     def as_role(self, role: str) -> "Model":
         """What a member of the role sees."""

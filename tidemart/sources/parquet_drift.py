@@ -1,11 +1,9 @@
 """Parquet files whose footers disagree: column case, number types, new columns."""
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Mapping
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,29 +33,36 @@ def files_for_years(files: DataFrame, start: int, end: int, pattern: str = PERIO
     return with_period(files, pattern, column).where(F.col("year").between(start, end))
 
 
-def _footers(batches):
-    import pyarrow.parquet as pq
-    from pyarrow import fs
+def _footer_reader():
+    """The task function, built inside so that it travels to executors by value and needs only
+    pyarrow there."""
+    def read(batches):
+        import re
 
-    for batch in batches:
-        rows = []
-        for path in batch["path"]:
-            uri = re.sub("^s3a:", "s3:", path)
-            if uri.startswith("file:"):
-                store, name = fs.LocalFileSystem(), re.sub("^file:/+", "/", uri)
-            else:
-                store, name = fs.FileSystem.from_uri(uri)
-            with store.open_input_file(name) as handle:
-                schema = pq.read_schema(handle)
-            rows.append((path, ";".join(f"{f.name}:{f.type}" for f in schema)))
-        yield pd.DataFrame(rows, columns=["path", "footer"])
+        import pandas as pd
+        import pyarrow.parquet as pq
+        from pyarrow import fs
+
+        for batch in batches:
+            rows = []
+            for path in batch["path"]:
+                uri = re.sub("^s3a:", "s3:", path)
+                if uri.startswith("file:"):
+                    store, name = fs.LocalFileSystem(), re.sub("^file:/+", "/", uri)
+                else:
+                    store, name = fs.FileSystem.from_uri(uri)
+                with store.open_input_file(name) as handle:
+                    schema = pq.read_schema(handle)
+                rows.append((path, ";".join(f"{f.name}:{f.type}" for f in schema)))
+            yield pd.DataFrame(rows, columns=["path", "footer"])
+    return read
 
 
 def footer_groups(files: DataFrame) -> list[list[str]]:
     """Paths grouped by equal footer schema. Tasks read the footers; the driver sees one short
     row per schema generation with its path list, which a reader needs anyway."""
     rows = (files.select("path").repartition(max(1, files.sparkSession.sparkContext.defaultParallelism))
-            .mapInPandas(_footers, "path string, footer string")
+            .mapInPandas(_footer_reader(), "path string, footer string")
             .groupBy("footer").agg(F.sort_array(F.collect_list("path")).alias("paths"))
             .orderBy("footer").collect())
     return [r["paths"] for r in rows]

@@ -13,8 +13,8 @@ from tidemart.operators.clean import drop_blank_rows
 def read_csv_table(spark: SparkSession, path: str, renames: Mapping[str, str],
                    casts: Mapping[str, str]) -> DataFrame:
     """CSV with a header. Everything is text first (no inference pass over the data); quoted
-    commas and a literal ``N/A`` stay text, an empty field is null, a bad cast is null."""
-    df = spark.read.option("header", True).csv(path)
+    commas, doubled quotes and a literal ``N/A`` stay text, an empty field is null, a bad cast is null."""
+    df = spark.read.option("header", True).option("escape", '"').csv(path)
     return cast_map(df.withColumnsRenamed(dict(renames)), casts)
 
 
