@@ -36,22 +36,16 @@ def exact_avg(c: Column | str, digits: int = 4) -> Column:
                         F.count(c).cast("double") * float(10 ** digits))
 
 
-def half_up_ratio(num: Column, den: Column, digits: int) -> Column:
-    """``num / den`` of two longs rounded half away from zero to ``digits`` decimals, computed
-    in integers so that ties never depend on binary fractions. Null when ``den`` is 0 or null."""
+def half_up_ratio(num: str, den: str, digits: int) -> Column:
+    """``num / den`` of two long expressions (SQL text) rounded half away from zero to ``digits``
+    decimals, computed in integers so that ties never depend on binary fractions. Null when
+    ``den`` is 0 or null."""
     ten = 10 ** digits
-    den = F.nullif(den, F.lit(0))
-    div = lambda a, b: F.call_function("div", a, b)
-    whole = div(F.abs(num), den)
-    rest = F.abs(num) - whole * den
-    # in a huge group the remainder times 2 * 10^digits can pass the long range: widen it there
-    wide = div(rest.cast("decimal(20,0)") * F.lit(2 * ten).cast("decimal(10,0)") + den, den * 2)
-    frac = F.when(den < (1 << 60) // ten, div(rest * (2 * ten) + den, den * 2)).otherwise(wide)
-    units = whole * ten + frac
-    return F.when(num < 0, -units).otherwise(units).cast("double") / float(ten)
-
-
-def rounded_avg(c: Column | str, digits: int, scale: int) -> Column:
-    """Mean rounded half up to ``digits``; ``scale`` is the number of decimals kept per row."""
-    c = F.col(c) if isinstance(c, str) else c
-    return half_up_ratio(scaled_sum(c, scale), F.count(c) * (10 ** scale), digits)
+    limit = (1 << 61) // ten
+    return F.expr(f"""
+        CASE WHEN {den} = 0 THEN NULL
+             WHEN {num} BETWEEN 0 AND {limit} AND {den} < {limit}
+               THEN (({num}) * {2 * ten}L + {den}) div (2 * ({den})) / {ten}D
+             -- negative, or so large that the scaled numerator would pass the long range
+             ELSE signum({num}) * ((abs(CAST({num} AS DECIMAL(20,0))) * {2 * ten} + {den}) div (2 * ({den}))) / {ten}D + 0D
+        END""")

@@ -13,7 +13,7 @@ def yoy_label(change: Column | str, year: Column | str) -> Column:
     """``▲ +x.x% vs y-1`` or ``▼ -x.x% vs y-1``; null when either input is null."""
     change, year = (F.col(c) if isinstance(c, str) else c for c in (change, year))
     mark = F.when(change >= 0, F.lit(UP)).otherwise(F.lit(DOWN))
-    pct = F.format_string("%.1f%%", F.round(change * 100, 1))
+    pct = F.format_string("%.1f%%", change * 100)
     text = F.concat(mark, pct, F.lit(" vs "), (year - 1).cast("string"))
     return F.when(change.isNotNull() & year.isNotNull(), text)
 

@@ -47,9 +47,9 @@ def ratio_percent(part: Column | str, whole: Column | str) -> Column:
 def join_on(frames: Sequence[DataFrame], keys: Sequence[str], how: str = "outer") -> DataFrame:
     """Aggregates of different tables side by side on their grouping columns."""
     if not keys:
-        # single-row aggregates: meet on a constant
-        tagged = [f.withColumn("__one", F.lit(1)) for f in frames]
-        return reduce(lambda a, b: a.join(b, "__one", how), tagged).drop("__one")
+        # one row each: stack them and keep the value that is there, which needs no join
+        stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+        return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
     return reduce(lambda a, b: a.join(b, list(keys), how), frames)
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.functions.dates import date_key
-from tidemart.functions.exact import half_up_ratio, rounded_avg, scaled_sum, unscaled
+from tidemart.functions.exact import half_up_ratio, scaled_sum, unscaled
 from tidemart.functions.units import convert_currency, in_units
 from tidemart.operators.joins import lookup
 from tidemart.operators.keys import date_attributes, date_spine, surrogate_key
@@ -52,12 +52,13 @@ def trip_fact(trips: DataFrame, fx: DataFrame, zone: DataFrame, quote: str = "eu
         F.count("*").alias("trip_count"),
         scaled_sum("fare_amount", 2).alias("cents"), F.count("fare_amount").alias("fares"),
         F.sum(seconds).alias("seconds"), F.count(seconds).alias("timed"),
-        rounded_avg("trip_distance", 4, scale=4).alias("avg_trip_distance_mi"),
+        scaled_sum("trip_distance", 4).alias("distance"), F.count("trip_distance").alias("measured"),
         F.sum("passenger_count").cast("bigint").alias("total_passengers"))
     daily = daily.withColumns({
         "total_fare_usd": unscaled(F.col("cents"), 2),
-        "avg_fare_usd": half_up_ratio(F.col("cents"), F.col("fares") * 100, 4),
-        "avg_trip_duration_min": half_up_ratio(F.col("seconds"), F.col("timed") * 60, 4),
+        "avg_fare_usd": half_up_ratio("cents", "fares * 100", 4),
+        "avg_trip_duration_min": half_up_ratio("seconds", "timed * 60", 4),
+        "avg_trip_distance_mi": half_up_ratio("distance", "measured * 10000", 4),
         "date_key": date_key("day"), "year": F.year("day")})
     daily = lookup(daily, fx, "day", "date", ["fx_key", "usd_eur_rate"])
     daily = lookup(daily, zone, "pu_location_id", "location_id", ["zone_key"])
@@ -68,11 +69,12 @@ def trip_fact(trips: DataFrame, fx: DataFrame, zone: DataFrame, quote: str = "eu
 def air_fact(readings: DataFrame, stations: DataFrame) -> DataFrame:
     """Day × station × parameter, with the station's name, country and position."""
     daily = readings.groupBy(F.to_date("datetime").alias("day"), "location_id", "parameter").agg(
-        rounded_avg("value", 4, scale=4).alias("avg_value"),
+        scaled_sum("value", 4).alias("total"),
         F.round(F.max("value"), 4).alias("max_value"), F.round(F.min("value"), 4).alias("min_value"),
         F.count("*").alias("measurement_count"))
     about = stations.select("location_id", F.col("location_name").alias("city"),
                             F.col("country_name").alias("country"), "latitude", "longitude")
     daily = lookup(daily, about, "location_id", "location_id", ["city", "country", "latitude", "longitude"])
-    return (daily.withColumns({"date_key": date_key("day"), "year": F.year("day")})
+    return (daily.withColumns({"date_key": date_key("day"), "year": F.year("day"),
+                               "avg_value": half_up_ratio("total", "measurement_count * 10000", 4)})
             .select(C.AIR_FACT.schema.names))
