@@ -120,4 +120,14 @@ def test_year_replacement_of_a_table_without_year(spark, db):
 
 def test_stamp(spark):
     r = W.stamped(spark.range(1)).first()
-    assert abs((r["ingestion_timestamp"] - dt.datetime.utcnow()).total_seconds()) < 86400
+    assert abs((r["ingestion_timestamp"] - dt.datetime.now()).total_seconds()) < 86400 * 2
+
+
+def test_null_and_text_partitions_survive_replacement(spark, db):
+    t = f"{db}.t"
+    data = [(1, "a b", 1), (2, None, 1), (3, "x:y", 1)]
+    W.write_full(frame(spark, data, "k INT, p STRING, n INT"), t, ["p"])
+    W.write_full(spark.table(t).withColumn("n", F.col("n") + 1), t, ["p"])
+    assert rows(spark.table(t), "k", "p", "n") == [(1, "a b", 2), (2, None, 2), (3, "x:y", 2)]
+    W.replace_slice(spark.table(t).where("k = 2").withColumn("n", F.lit(9)), t, F.col("k") != 2)
+    assert rows(spark.table(t), "k", "n") == [(1, 2), (2, 9), (3, 2)]

@@ -47,5 +47,5 @@ def half_up_ratio(num: str, den: str, digits: int) -> Column:
              WHEN {num} BETWEEN 0 AND {limit} AND {den} < {limit}
                THEN (({num}) * {2 * ten}L + {den}) div (2 * ({den})) / {ten}D
              -- negative, or so large that the scaled numerator would pass the long range
-             ELSE signum({num}) * ((abs(CAST({num} AS DECIMAL(20,0))) * {2 * ten} + {den}) div (2 * ({den}))) / {ten}D + 0D
+             ELSE CAST(round(CAST({num} AS DECIMAL(20,0)) / CAST({den} AS DECIMAL(20,0)), {digits}) AS DOUBLE)
         END""")

@@ -8,13 +8,17 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 from contextlib import contextmanager
+from urllib.parse import unquote
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.sources.tables import exists
 
 _MODE = "spark.sql.sources.partitionOverwriteMode"
+# Fixed value: the catalog's name of the partition of null keys.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 @contextmanager
@@ -34,7 +38,14 @@ def partition_columns(spark: SparkSession, table: str) -> list[str]:
 def stored_partitions(spark: SparkSession, table: str) -> list[dict[str, str]]:
     """Partition specs from the catalog; no data is read."""
     rows = spark.sql(f"SHOW PARTITIONS {table}").collect()
-    return [dict(p.split("=", 1) for p in r[0].split("/")) for r in rows]
+    return [{k: unquote(v) for k, v in (p.split("=", 1) for p in r[0].split("/"))} for r in rows]
+
+
+def _spec_value(v) -> str:
+    """A partition value as the catalog spells it."""
+    if v is None:
+        return NULL_PARTITION
+    return str(v).lower() if isinstance(v, bool) else str(v)
 
 
 def _spread(df: DataFrame, parts: Sequence[str]) -> DataFrame:
@@ -51,6 +62,17 @@ def _counted(df: DataFrame, parts: Sequence[str] = ()) -> tuple[DataFrame, Obser
     return df.observe(seen, F.count(F.lit(1)).alias("rows"), *extra), seen
 
 
+def _metrics(seen: Observation) -> dict:
+    """The observed values after a write. An input that proves empty while running is cut out of
+    the plan together with its counters; nothing was written then."""
+    try:
+        return seen.get
+    except Py4JJavaError as e:
+        if "toPyRow" not in str(e):
+            raise
+        return {"rows": 0, "parts": []}
+
+
 def align(spark: SparkSession, df: DataFrame, table: str, merge_schema: bool = False) -> DataFrame:
     """The frame in the table's column order. With ``merge_schema`` new columns are first added to
     the table (older rows read as null); columns the frame lacks are null. Without it, extra or
@@ -79,7 +101,7 @@ def write_full(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> i
             return replace_partitions(df, table, lambda spec: True)
         out, seen = _counted(df)
         _spread(out, partition_by).write.mode("overwrite").partitionBy(*partition_by).saveAsTable(table)
-        return seen.get["rows"]
+        return _metrics(seen)["rows"]
     out, seen = _counted(df)
     aside, old = (f"{table}_{tag}_{uuid.uuid4().hex[:8]}" for tag in ("new", "old"))
     out.write.saveAsTable(aside)
@@ -87,7 +109,7 @@ def write_full(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> i
         spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
     spark.sql(f"ALTER TABLE {aside} RENAME TO {table}")
     spark.sql(f"DROP TABLE IF EXISTS {old}")
-    return seen.get["rows"]
+    return _metrics(seen)["rows"]
 
 
 def replace_partitions(df: DataFrame, table: str, in_scope) -> int:
@@ -98,13 +120,14 @@ def replace_partitions(df: DataFrame, table: str, in_scope) -> int:
     out, seen = _counted(align(spark, df, table), parts)
     with _dynamic(spark):
         _spread(out, parts).write.mode("overwrite").insertInto(table)
-    written = {tuple(str(v) for v in p) for p in (seen.get["parts"] or [])}
+    done = _metrics(seen)
+    written = {tuple(_spec_value(v) for v in p) for p in (done["parts"] or [])}
     gone = [s for s in stored_partitions(spark, table)
             if in_scope(s) and tuple(s[p] for p in parts) not in written]
     if gone:
         specs = ", ".join("PARTITION (" + ", ".join(f"`{k}`='{v}'" for k, v in s.items()) + ")" for s in gone)
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
-    return seen.get["rows"]
+    return done["rows"]
 
 
 def write_range(df: DataFrame, table: str, partition_by: Sequence[str], lo: int, hi: int,
@@ -128,10 +151,10 @@ def append(df: DataFrame, table: str, partition_by: Sequence[str] = (), merge_sc
         out, seen = _counted(df)
         w = _spread(out, partition_by).write
         (w.partitionBy(*partition_by) if partition_by else w).saveAsTable(table)
-        return seen.get["rows"]
+        return _metrics(seen)["rows"]
     out, seen = _counted(align(spark, df, table, merge_schema))
     _spread(out, partition_columns(spark, table)).write.mode("append").insertInto(table)
-    return seen.get["rows"]
+    return _metrics(seen)["rows"]
 
 
 def not_matched(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -187,7 +210,8 @@ def replace_slice(new: DataFrame, table: str, keep: Column, in_scope=None) -> in
     # both halves of the union are limited to the scope by literals, so the scan prunes
     here = F.lit(False)
     if specs:
-        here = F.struct(*[F.col(p).cast("string") for p in parts]).isin(
+        named = lambda p: F.coalesce(F.col(p).cast("string"), F.lit(NULL_PARTITION))
+        here = F.struct(*[named(p) for p in parts]).isin(
             [F.struct(*[F.lit(s[p]) for p in parts]) for s in specs])
     return replace_partitions(kept.where(here).unionByName(align(spark, new, table)), table, scope)
 
