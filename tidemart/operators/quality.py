@@ -88,24 +88,16 @@ def _observed(wording: Column) -> Column:
 def suite_results(df: DataFrame, table: str, checks: Sequence[Check],
                   parents: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """``(table, name, passed, observed)``, one row per check."""
-    inline = [(i, c) for i, c in enumerate(checks) if c.bad is not None]
+    shared = [(i, c) for i, c in enumerate(checks) if c.bad is not None]
     apart = [(i, c) for i, c in enumerate(checks) if c.plan is not None]
-    total = F.count(F.lit(1)).alias("total")
-    if inline:
-        counts = df.agg(total, *[c.bad().cast("bigint").alias(f"c{i}") for i, c in inline])
-    else:
-        counts = df.agg(total)
-    record = lambda i, c, bad: F.struct(F.lit(i).alias("pos"), F.lit(c.name).alias("name"),
-                                        F.lit(c.wording).alias("wording"), bad.alias("bad"))
-    # the separate counts are one-row frames; they join the pass on the position they belong to
-    rows = counts.select("total", F.inline(F.array(
-        *[record(i, c, F.col(f"c{i}")) for i, c in inline],
-        *[record(i, c, F.lit(None).cast("bigint")) for i, c in apart])))
-    if apart:
-        extra = reduce(DataFrame.unionByName, [
-            c.plan(df, parents or {}).select(F.lit(i).alias("pos"), F.col("bad").cast("bigint").alias("found"))
-            for i, c in apart])
-        rows = rows.join(extra, "pos", "left").withColumn("bad", F.coalesce("bad", "found"))
+    parts = [df.agg(F.count(F.lit(1)).alias("total"), *[c.bad().cast("bigint").alias(f"c{i}") for i, c in shared])]
+    parts += [c.plan(df, parents or {}).select(F.col("bad").cast("bigint").alias(f"c{i}")) for i, c in apart]
+    # one-row frames: stacked and folded into one row, which needs no join
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    counts = stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
+    rows = counts.select("total", F.inline(F.array(*[
+        F.struct(F.lit(c.name).alias("name"), F.lit(c.wording).alias("wording"), F.col(f"c{i}").alias("bad"))
+        for i, c in enumerate(checks)])))
     return rows.select(F.lit(table).alias("table"), "name", (F.col("bad") == 0).alias("passed"),
                        _observed(F.col("wording")).alias("observed"))
 
