@@ -65,3 +65,29 @@ def test_plain_multi_file_read_would_fail_on_this_drift(spark, tmp_path):
 def test_missing_table_is_empty(spark, db):
     got = tables.scan_or_empty(spark, f"{db}.none", spark.range(1).schema)
     assert got.columns == ["id"] and got.count() == 0
+
+
+def test_stream_at_an_interval_and_replay(spark, db, tmp_path):
+    from tidemart.streaming import twins
+    t, base = f"{db}.t", str(tmp_path / "in")
+    rows_in = spark.range(30).select("id", (F.col("id") % 3).alias("part"))
+    rows_in.where("id < 20").write.parquet(base)
+    s = twins.file_stream(spark, base, rows_in.schema)
+    q = twins.start(s, str(tmp_path / "ck"), twins.insert_sink(t, ["id"], ["part"]), interval="1 second")
+    q.processAllAvailable()
+    assert spark.table(t).count() == 20
+    rows_in.where("id >= 15").write.mode("append").parquet(base)
+    q.processAllAvailable()
+    q.stop()
+    spark.catalog.refreshTable(t)
+    assert spark.table(t).count() == 30
+    sink = twins.upsert_sink(t, ["id"], ["part"])
+    sink(rows_in.where("id < 5"), 7)
+    sink(rows_in.where("id < 0"), 8)
+    spark.catalog.refreshTable(t)
+    assert spark.table(t).count() == 30
+    a = twins.append_sink(f"{db}.a")
+    for epoch in (0, 1, 1):
+        a(rows_in.where("id < 3"), epoch)
+    a(rows_in.where("id < 0"), 2)
+    assert spark.table(f"{db}.a").count() == 6

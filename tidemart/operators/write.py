@@ -169,9 +169,24 @@ def merged(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFra
     return not_matched(target, source, keys).unionByName(source)
 
 
+def _within(parts: Sequence[str], specs: Sequence[Sequence[str]]) -> Column:
+    """Rows of the given partitions, as literals on the partition columns: the scan lists only those."""
+    if not specs:
+        return F.lit(False)
+    named = [F.coalesce(F.col(p).cast("string"), F.lit(NULL_PARTITION)) for p in parts]
+    if len(parts) == 1:
+        return named[0].isin([s[0] for s in specs])
+    return F.struct(*named).isin([F.struct(*[F.lit(v) for v in s]) for s in specs])
+
+
 def _touched(target: DataFrame, source: DataFrame, parts: Sequence[str]) -> DataFrame:
-    """Target rows in partitions that the source touches; dynamic pruning skips the others."""
-    return target.join(source.select(*parts).distinct(), list(parts), "left_semi") if parts else target
+    """Target rows in partitions that the source touches. The partition values come to the driver
+    first (never more than the table has partitions, plus new ones), because only literals prune
+    the target for certain: run-time pruning needs a broadcast, which a large increment rules out."""
+    if not parts:
+        return target
+    met = source.select(*parts).distinct().collect()
+    return target.where(_within(parts, [[_spec_value(v) for v in r] for r in met]))
 
 
 def merge_insert(source: DataFrame, table: str, keys: Sequence[str], merge_schema: bool = False) -> int:
@@ -207,12 +222,7 @@ def replace_slice(new: DataFrame, table: str, keep: Column, in_scope=None) -> in
         return write_full(kept.unionByName(new), table)
     scope = in_scope or (lambda s: True)
     specs = [s for s in stored_partitions(spark, table) if scope(s)]
-    # both halves of the union are limited to the scope by literals, so the scan prunes
-    here = F.lit(False)
-    if specs:
-        named = lambda p: F.coalesce(F.col(p).cast("string"), F.lit(NULL_PARTITION))
-        here = F.struct(*[named(p) for p in parts]).isin(
-            [F.struct(*[F.lit(s[p]) for p in parts]) for s in specs])
+    here = _within(parts, [[s[p] for p in parts] for s in specs])
     return replace_partitions(kept.where(here).unionByName(align(spark, new, table)), table, scope)
 
 

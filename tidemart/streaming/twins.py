@@ -2,7 +2,10 @@
 
 Each stream is a file source with a checkpoint (the checkpoint takes the place of watermark
 queries and file ledgers) and runs either until the landed files are read (``available_now``) or
-at a fixed interval. Sinks accept an empty micro-batch and may be given the same batch twice."""
+at a fixed interval. Sinks accept an empty micro-batch and may be given the same batch twice.
+
+A stream writes from its own session: a session that has read the table before must call
+``spark.catalog.refreshTable`` to see later batches."""
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
@@ -40,8 +43,9 @@ def start(df: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None]
     return w.start()
 
 
-def append_sink(table: str, partition_by: Sequence[str] = ()) -> Callable[[DataFrame, int], None]:
-    """Each batch goes to its own partition, so a replayed batch replaces itself."""
+def append_sink(table: str) -> Callable[[DataFrame, int], None]:
+    """Each batch goes to its own partition, so a replayed batch replaces itself. For streams that run
+    without end, prefer :func:`insert_sink` on a period: here partitions grow with the batches."""
     def sink(batch: DataFrame, epoch: int) -> None:
         tagged = batch.withColumn("epoch", F.lit(epoch))
         if not exists(batch.sparkSession, table):
@@ -51,26 +55,30 @@ def append_sink(table: str, partition_by: Sequence[str] = ()) -> Callable[[DataF
     return sink
 
 
-def insert_sink(table: str, keys: Sequence[str], partition_by: Sequence[str] = ()) -> Callable[[DataFrame, int], None]:
-    """Insert-only merge by key; replay adds nothing."""
+def _merge_sink(table: str, keys: Sequence[str], partition_by: Sequence[str], merge) -> Callable[[DataFrame, int], None]:
     def sink(batch: DataFrame, _: int) -> None:
-        rows = first_per_key(batch, keys)
-        if not exists(batch.sparkSession, table):
-            W.append(rows, table, partition_by)
-        else:
-            W.merge_insert(rows, table, keys)
+        # several passes over one batch: keep it instead of running the stream's plan again
+        rows = first_per_key(batch, keys).persist()
+        try:
+            if not exists(batch.sparkSession, table):
+                W.append(rows, table, partition_by)
+            elif not rows.isEmpty():
+                merge(rows, table, keys)
+        finally:
+            rows.unpersist()
     return sink
 
 
+def insert_sink(table: str, keys: Sequence[str], partition_by: Sequence[str] = ()) -> Callable[[DataFrame, int], None]:
+    """Insert-only merge by key; replay adds nothing. ``partition_by`` must follow from the keys; with it
+    a batch reads only the partitions it touches."""
+    return _merge_sink(table, keys, partition_by, W.merge_insert)
+
+
 def upsert_sink(table: str, keys: Sequence[str], partition_by: Sequence[str] = ()) -> Callable[[DataFrame, int], None]:
-    """Upsert by key; replay writes the same values again."""
-    def sink(batch: DataFrame, _: int) -> None:
-        rows = first_per_key(batch, keys)
-        if not exists(batch.sparkSession, table):
-            W.append(rows, table, partition_by)
-        elif not rows.isEmpty():
-            W.merge_upsert(rows, table, keys)
-    return sink
+    """Upsert by key; replay writes the same values again. With ``partition_by`` (following from the
+    keys) a batch rewrites only the partitions it touches, without it the whole table."""
+    return _merge_sink(table, keys, partition_by, W.merge_upsert)
 
 
 def deduplicated(df: DataFrame, keys: Sequence[str], time_col: str, lateness: str) -> DataFrame:

@@ -206,3 +206,53 @@ def target_schema(spark, d):
     o = rename_map(S.table(spark, d, "orders"), {"o_orderkey": "location_id", "o_orderpriority": "location_name",
                                                  "o_orderstatus": "country_id", "o_totalprice": "latitude"})
     return conform(o, want)
+
+
+@query("silver_locations", """SELECT o_custkey AS location_id, min(o_orderpriority) AS location_name, min(CASE WHEN o_custkey % 6 <> 0 THEN 'US' END) AS country_id
+FROM orders WHERE o_custkey % 6 <> 0 AND o_custkey % 11 <> 0 GROUP BY 1""")
+def silver_locations(spark, d):
+    """Stations sent many times; a null id or country drops the record."""
+    k = F.col("o_custkey")
+    raw = S.table(spark, d, "orders").select(F.when(k % 11 != 0, k).alias("location_id"), F.col("o_orderpriority").alias("location_name"),
+                                             F.when(k % 6 != 0, F.lit("US")).alias("country_id"))
+    return silver.locations(raw)
+
+
+_TEXT_GDP = """SELECT CASE WHEN c_custkey % 9 <> 0 THEN n_name END AS country_code, upper(n_name) AS country_name,
+  CASE WHEN c_custkey % 8 = 0 THEN 'n/a' ELSE CAST(1990 + c_custkey % 20 AS VARCHAR) END AS year,
+  CASE WHEN c_custkey % 5 = 0 THEN '' ELSE CAST(c_custkey AS VARCHAR) END AS gdp_usd FROM customer JOIN nation ON c_nationkey = n_nationkey"""
+
+
+@query("silver_gdp", f"""WITH t AS (SELECT country_code, country_name, TRY_CAST(year AS INTEGER) AS year, TRY_CAST(gdp_usd AS DOUBLE) AS gdp_usd FROM ({_TEXT_GDP}))
+SELECT country_code, country_name, year, gdp_usd FROM t WHERE country_code IS NOT NULL AND gdp_usd IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY country_code, year ORDER BY country_name, gdp_usd) = 1""")
+def silver_gdp(spark, d):
+    """Text years and amounts, some unreadable; one row per country and year."""
+    c, n, k = S.table(spark, d, "customer"), S.table(spark, d, "nation"), F.col("c_custkey")
+    raw = c.join(n, c.c_nationkey == n.n_nationkey).select(
+        F.when(k % 9 != 0, F.col("n_name")).alias("country_code"), F.upper("n_name").alias("country_name"),
+        F.when(k % 8 == 0, "n/a").otherwise((1990 + k % 20).cast("string")).alias("year"),
+        F.when(k % 5 == 0, "").otherwise(k.cast("string")).alias("gdp_usd"))
+    return silver.gdp(raw)
+
+
+@query("silver_fx_rates", """WITH t AS (SELECT TRY_CAST(CASE WHEN o_orderkey % 50 = 0 THEN 'bad' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS DATE) AS date,
+  TRY_CAST(CASE WHEN o_orderkey % 3 = 0 THEN 'x' ELSE CAST(o_orderkey AS VARCHAR) END AS DOUBLE) AS usd_eur_rate FROM orders)
+SELECT date, min(usd_eur_rate) AS usd_eur_rate FROM t WHERE usd_eur_rate IS NOT NULL GROUP BY 1""")
+def silver_fx_rates(spark, d):
+    k = F.col("o_orderkey")
+    raw = S.table(spark, d, "orders").select(
+        F.when(k % 50 == 0, "bad").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("date"),
+        F.when(k % 3 == 0, "x").otherwise(k.cast("string")).alias("usd_eur_rate"))
+    return silver.fx_rates(raw)
+
+
+@query("silver_zones", """WITH t AS (SELECT TRY_CAST(CASE WHEN p_partkey % 7 = 0 THEN 'zone' ELSE CAST(p_partkey // 2 AS VARCHAR) END AS INTEGER) AS location_id,
+  p_brand AS borough, p_name AS zone, p_type AS service_zone FROM part)
+SELECT * FROM t WHERE location_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY location_id ORDER BY borough, zone, service_zone) = 1""")
+def silver_zones(spark, d):
+    k = F.col("p_partkey")
+    raw = S.table(spark, d, "part").select(
+        F.when(k % 7 == 0, "zone").otherwise(F.floor(k / 2).cast("string")).alias("location_id"),
+        F.col("p_brand").alias("borough"), F.col("p_name").alias("zone"), F.col("p_type").alias("service_zone"))
+    return silver.zones(raw)

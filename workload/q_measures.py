@@ -176,6 +176,22 @@ def mart_m1(spark, d):
     return marts.mobility_by_year(S.model(spark, d))
 
 
+_ALL_KPI = ["total_trips", "total_revenue_usd", "total_revenue_eur", "avg_fare_usd"]
+
+
+@query("yoy_all_measures", f"{_T}, {_KPI} {_yoy_sql('kpi', _ALL_KPI)}")
+def yoy_all_measures(spark, d):
+    """All four measures with change and label."""
+    return marts.mobility_by_year(S.model(spark, d), marts.KPIS)
+
+
+@query("measure_grand_total", f"""{_B} SELECT (SELECT sum(trip_count)::BIGINT FROM trip_fact) AS total_trips, (SELECT {S.fixed_avg('avg_fare_usd')} FROM trip_fact) AS avg_fare_usd,
+{_POL} FROM air_fact""")
+def measure_grand_total(spark, d):
+    """No grouping: one row over two facts, without a join."""
+    return S.model(spark, d).evaluate(["total_trips", "avg_fare_usd", *_POLS])
+
+
 @query("mart_m1_month_slice", f"""{_T}, kpi AS (SELECT year, sum(trip_count)::BIGINT AS total_trips FROM trip_fact WHERE date_key // 100 % 100 = 3 GROUP BY 1)
 {_yoy_sql('kpi', ['total_trips'])}""")
 def mart_m1_month_slice(spark, d):

@@ -40,8 +40,8 @@ def stream_insert(spark, d):
     t = f"{work_database(spark, 'inserts')}.t"
     base, schema = _landed(spark, d)
     for _ in range(2):
-        s = twins.file_stream(spark, base, schema, files_per_batch=2)
-        twins.start(s, work_path(spark, "ck"), twins.insert_sink(t, ["event_id"])).awaitTermination()
+        s = twins.file_stream(spark, base, schema, files_per_batch=2).withColumn("day", F.to_date("ts"))
+        twins.start(s, work_path(spark, "ck"), twins.insert_sink(t, ["event_id"], ["day"])).awaitTermination()
     return spark.table(t).groupBy("user_id", "event_type", F.dayofmonth("ts").alias("day")).agg(F.count("*").alias("n"))
 
 
@@ -52,9 +52,9 @@ def stream_window(spark, d):
     t = f"{work_database(spark, 'windows')}.t"
     s = twins.event_time(_stream(spark, d, 1), "ts", "7 days")
     w = s.groupBy(F.window("ts", "1 hour").alias("w"), "event_type").agg(exact_avg("value", 4).alias("mean_value"), F.count("*").alias("n"))
-    w = w.select("event_type", F.unix_seconds("w.start").alias("start_s"), "mean_value", "n")
-    twins.start(w, work_path(spark, "ck"), twins.upsert_sink(t, ["event_type", "start_s"]), mode="update").awaitTermination()
-    return spark.table(t)
+    w = w.select("event_type", F.unix_seconds("w.start").alias("start_s"), "mean_value", "n", F.to_date("w.start").alias("day"))
+    twins.start(w, work_path(spark, "ck"), twins.upsert_sink(t, ["event_type", "start_s"], ["day"]), mode="update").awaitTermination()
+    return spark.table(t).drop("day")
 
 
 @query("stream_tail", f"""SELECT CAST(ts AS DATE) AS day, user_id, event_type, count(*) AS n, {S.fixed_sum('value', 4)} AS total FROM events GROUP BY ALL""")
@@ -63,7 +63,7 @@ def stream_tail(spark, d):
     from tidemart.functions.exact import exact_sum
     t = f"{work_database(spark, 'tails')}.t"
     daily = twins.daily_tail(_stream(spark, d, 2), "ts", ["user_id", "event_type"], [F.count("*").alias("n"), exact_sum("value", 4).alias("total")])
-    twins.start(daily, work_path(spark, "ck"), twins.upsert_sink(t, ["day", "user_id", "event_type"]), mode="update").awaitTermination()
+    twins.start(daily, work_path(spark, "ck"), twins.upsert_sink(t, ["day", "user_id", "event_type"], ["day"]), mode="update").awaitTermination()
     return spark.table(t)
 
 
