@@ -28,7 +28,7 @@ def test_dedup_keeps_the_same_row_in_any_input_order(spark):
     for order in (data, data[::-1]):
         df = spark.createDataFrame(order, "k INT, s STRING, v DOUBLE").repartition(3)
         assert rows(clean.first_per_key(df, ["k"])) == [(1, None, 1.0), (2, "z", 0.0)]
-        newest = clean.first_per_key(df, ["k"], [F.col("v").desc()])
+        newest = clean.first_per_key(df, ["k"], ["v DESC"])
         assert rows(newest) == [(1, "a", 9.0), (2, "z", 0.0)]
 
 

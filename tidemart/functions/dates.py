@@ -7,17 +7,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def date_key(c: Column | str) -> Column:
-    """``yyyymmdd`` as an int."""
-    c = F.col(c) if isinstance(c, str) else c
-    return (F.year(c) * 10000 + F.month(c) * 100 + F.dayofmonth(c)).cast("int")
+def date_key(c: str) -> Column:
+    """``yyyymmdd`` of a date expression as an int."""
+    return F.expr(f"year({c}) * 10000 + month({c}) * 100 + day({c})")
 
 
-def year_of_key(c: Column | str) -> Column:
-    """Year of a ``yyyymmdd`` key by integer division (``cast`` of a quotient would round on
-    some engines; floor does not)."""
-    c = F.col(c) if isinstance(c, str) else c
-    return F.floor(c / 10000).cast("int")
+def year_of_key(c: str) -> Column:
+    """Year of a ``yyyymmdd`` key by integer division."""
+    return F.expr(f"CAST({c} div 10000 AS INT)")
 
 
 def key_to_date(key: int) -> date:
@@ -33,14 +30,14 @@ def lookback_key(max_key: int, days: int) -> int:
     return date_to_key(key_to_date(max_key) - timedelta(days=days))
 
 
-def monday_first(c: Column | str) -> Column:
-    """Day of week, 1 = Monday … 7 = Sunday (Spark's ``weekday`` counts Monday as 0)."""
-    return (F.weekday(c) + 1).cast("int")
+# day of week, 1 = Monday … 7 = Sunday (Spark's weekday counts Monday as 0)
+MONDAY_FIRST = "weekday({}) + 1"
 
 
 def period_keys(df: DataFrame, time_col: str) -> DataFrame:
     """Add the ``year`` and ``month`` partition columns taken from ``time_col``."""
-    return df.withColumns({"year": F.year(time_col), "month": F.month(time_col)})
+    kept = [f"`{c}`" for c in df.columns if c not in ("year", "month")]
+    return df.selectExpr(*kept, f"year({time_col}) AS year", f"month({time_col}) AS month")
 
 
 def month_index(year: Column | int, month: Column | int):

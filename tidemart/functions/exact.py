@@ -10,30 +10,25 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def scaled(c: Column | str, digits: int) -> Column:
-    """``c`` in units of 10^-digits as a long."""
-    c = F.col(c) if isinstance(c, str) else c
-    return F.round(c.cast("double") * float(10 ** digits)).cast("bigint")
+def scaled(c: str, digits: int) -> str:
+    """SQL text of ``c`` in units of 10^-digits as a long."""
+    return f"CAST(round(CAST({c} AS DOUBLE) * {10 ** digits}D) AS BIGINT)"
 
 
-def scaled_sum(c: Column | str, digits: int) -> Column:
-    return F.sum(scaled(c, digits))
+def scaled_sum(c: str, digits: int) -> Column:
+    return F.expr(f"sum({scaled(c, digits)})")
 
 
-def unscaled(total: Column, digits: int) -> Column:
-    """Scaled long back to a double."""
-    return total.cast("double") / F.lit(float(10 ** digits))
+def exact_sum(c: str, digits: int = 2) -> Column:
+    """Sum of an expression with ``digits`` decimals; null for no values."""
+    return F.expr(f"CAST(sum({scaled(c, digits)}) AS DOUBLE) / {10 ** digits}D")
 
 
-def exact_sum(c: Column | str, digits: int = 2) -> Column:
-    return unscaled(scaled_sum(c, digits), digits)
-
-
-def exact_avg(c: Column | str, digits: int = 4) -> Column:
-    """Mean of a column with ``digits`` decimals, not rounded; null for no rows."""
-    c = F.col(c) if isinstance(c, str) else c
-    return F.try_divide(scaled_sum(c, digits).cast("double"),
-                        F.count(c).cast("double") * float(10 ** digits))
+def exact_avg(c: str, digits: int = 4, where: str = "TRUE") -> Column:
+    """Mean of an expression with ``digits`` decimals over the rows ``where`` holds, not rounded;
+    null for no values."""
+    only = f"FILTER (WHERE {where})"
+    return F.expr(f"try_divide(CAST(sum({scaled(c, digits)}) {only} AS DOUBLE), count({c}) {only} * {10 ** digits}D)")
 
 
 def half_up_ratio(num: str, den: str, digits: int) -> Column:

@@ -5,7 +5,7 @@ from collections.abc import Mapping, Sequence
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -15,12 +15,12 @@ def _all(conds) -> Column:
 
 def require(df: DataFrame, *cols: str) -> DataFrame:
     """Drop rows with a null in any listed column."""
-    return df.where(_all(F.col(c).isNotNull() for c in cols))
+    return df.where(" AND ".join(f"`{c}` IS NOT NULL" for c in cols))
 
 
 def sane_range(c: str, upper: float) -> Column:
     """``0 < c <= upper``; null and NaN do not pass."""
-    return (F.col(c) > 0) & (F.col(c) <= upper)
+    return F.expr(f"{c} > 0 AND {c} <= {upper}")
 
 
 def strictly_positive(c: str) -> Column:
@@ -62,18 +62,17 @@ def keep_outside(key: str, lo: int, hi: int | None = None) -> Column:
     return c if hi is None else c | (F.col(key) > hi)
 
 
-def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str] = ()) -> DataFrame:
-    """One row per key: the first in ``order``, then by every other column, so the survivor is
-    the same in every run.
+def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+    """One row per key: the first in ``order`` (SQL text such as ``"at DESC"``), then by every other
+    column, nulls first, so the survivor is the same in every run.
 
     Spark evaluates the rank filter below the exchange too (a group limit in each map task), so
     at most one row per key and task is shuffled and a hot key does not pile up in one task."""
-    rest = [c for c in df.columns if c not in keys]
-    names = {o for o in order if isinstance(o, str)}
-    by = [*order, *[F.col(c).asc_nulls_first() for c in rest if c not in names]] or [F.lit(1)]
-    w = Window.partitionBy(*keys).orderBy(*by)
-    rank = "__rank"
-    return df.withColumn(rank, F.row_number().over(w)).where(F.col(rank) == 1).drop(rank)
+    cols = df.columns
+    by = [*order, *[f"`{c}`" for c in cols if c not in keys]] or ["1"]
+    part = ", ".join(f"`{k}`" for k in keys)
+    ranked = df.selectExpr("*", f"row_number() OVER (PARTITION BY {part} ORDER BY {', '.join(by)}) AS __rank")
+    return ranked.where("__rank = 1").drop("__rank")
 
 
 def in_years(df: DataFrame, start: int, end: int, col: str = "year") -> DataFrame:

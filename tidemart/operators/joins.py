@@ -12,14 +12,11 @@ from pyspark.sql import functions as F
 
 def lookup(facts: DataFrame, dim: DataFrame, fact_col: str, dim_col: str,
            take: Sequence[str]) -> DataFrame:
-    """Left join on one key, both sides widened to long when they are integers of any width.
-    Facts without a partner keep nulls in the taken columns."""
+    """Left join on one key; integer keys of different width meet as longs. Facts without a partner
+    keep nulls in the taken columns."""
     key = "__key"
-    whole = {"tinyint", "smallint", "int", "bigint"}
-    ft, dt = dict(facts.dtypes)[fact_col], dict(dim.dtypes)[dim_col]
-    cast = (lambda c: c.cast("bigint")) if ft != dt and {ft, dt} <= whole else (lambda c: c)
-    small = dim.select(cast(F.col(dim_col)).alias(key), *take)
-    return facts.join(small, cast(facts[fact_col]) == small[key], "left").drop(key)
+    small = dim.select(F.col(dim_col).alias(key), *take)
+    return facts.join(small, facts[fact_col] == small[key], "left").drop(key)
 
 
 def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:

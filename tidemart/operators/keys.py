@@ -4,29 +4,27 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.functions.dates import date_key, monday_first
+from tidemart.functions.dates import MONDAY_FIRST, date_key
 from tidemart.session import shared_dir
 
 
-def surrogate_key(df: DataFrame, order: Sequence[str], name: str, bucket: Column) -> DataFrame:
+def surrogate_key(df: DataFrame, order: Sequence[str], name: str, bucket: str) -> DataFrame:
     """1, 2, 3 … in ``order`` without sorting the whole frame in one task.
 
-    ``bucket`` must be non-decreasing along ``order`` (the year of a date, the leading order
-    column). Rows are numbered inside each bucket and shifted by the number of rows in earlier
+    ``bucket`` (SQL text) must be non-decreasing along ``order``: the year of a date, the leading
+    order column. Rows are numbered inside each bucket and shifted by the number of rows in earlier
     buckets; only the per-bucket counts meet in one task. For keys without such a bucket, or
     with one bucket that dominates, use :func:`surrogate_key_ranged`."""
-    b, n, before, rn = "__bucket", "__n", "__before", "__rn"
-    df = df.withColumn(b, bucket)
-    counts = df.groupBy(b).agg(F.count("*").alias(n))
-    running = Window.orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(b, F.coalesce(F.sum(n).over(running), F.lit(0)).alias(before))
-    numbered = df.withColumn(rn, F.row_number().over(Window.partitionBy(b).orderBy(*order)))
-    return (numbered.join(offsets, numbered[b].eqNullSafe(offsets[b]))
-            .withColumn(name, (F.col(rn) + F.col(before)).cast("int"))
-            .drop(b, rn, before))
+    df = df.selectExpr("*", f"{bucket} AS __bucket")
+    counts = df.groupBy("__bucket").agg(F.count("*").alias("__n"))
+    offsets = counts.selectExpr("__bucket AS __of", "coalesce(sum(__n) OVER (ORDER BY __bucket ROWS BETWEEN "
+                                "UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS __before")
+    numbered = df.selectExpr("*", f"row_number() OVER (PARTITION BY __bucket ORDER BY {', '.join(order)}) AS __rn")
+    return (numbered.join(offsets, F.expr("__bucket <=> __of"))
+            .selectExpr(*[f"`{c}`" for c in df.columns if c != "__bucket"], f"CAST(__rn + __before AS INT) AS {name}"))
 
 
 def surrogate_key_ranged(df: DataFrame, order: Sequence[str], name: str,
@@ -62,13 +60,11 @@ def date_spine(spark: SparkSession, first: date, last: date) -> DataFrame:
 
 def date_attributes(days: DataFrame) -> DataFrame:
     """The calendar columns of a ``date`` column."""
-    d = F.col("date")
-    return days.select(
-        date_key(d).alias("date_key"), d,
-        F.year(d).alias("year"), F.quarter(d).alias("quarter"), F.month(d).alias("month"),
-        F.date_format(d, "MMMM").alias("month_name"), F.weekofyear(d).alias("week_of_year"),
-        F.dayofmonth(d).alias("day_of_month"), monday_first(d).alias("day_of_week"),
-        F.date_format(d, "EEEE").alias("day_name"), (F.weekday(d) >= 5).alias("is_weekend"))
+    return days.select(date_key("date").alias("date_key"), "date", *[F.expr(e) for e in (
+        "year(date) AS year", "quarter(date) AS quarter", "month(date) AS month",
+        "date_format(date, 'MMMM') AS month_name", "weekofyear(date) AS week_of_year", "day(date) AS day_of_month",
+        f"{MONDAY_FIRST.format('date')} AS day_of_week", "date_format(date, 'EEEE') AS day_name",
+        "weekday(date) >= 5 AS is_weekend")])
 
 
 def month_grid(spark: SparkSession, start: int, end: int) -> DataFrame:

@@ -31,11 +31,11 @@ def mean_of_means(name: str, table: str, col: str, digits: int = 4) -> Measure:
 
 
 def filtered_mean(name: str, table: str, col: str, on: str, value: str, digits: int = 4) -> Measure:
-    return Measure(name, table, lambda: exact_avg(F.when(F.col(on) == value, F.col(col)), digits))
+    return Measure(name, table, lambda: exact_avg(col, digits, f"{on} = '{value}'"))
 
 
 def filtered_max(name: str, table: str, col: str, on: str, value: str) -> Measure:
-    return Measure(name, table, lambda: F.max(F.when(F.col(on) == value, F.col(col))))
+    return Measure(name, table, lambda: F.expr(f"max({col}) FILTER (WHERE {on} = '{value}')"))
 
 
 def ratio_percent(part: Column | str, whole: Column | str) -> Column:
@@ -63,41 +63,31 @@ def year_over_year(df: DataFrame, measures: Sequence[str], year: str = "year",
     regrouping then pairs them. That needs neither a second evaluation of the input nor a window
     over all years. ``prior`` supplies the previous-year values from a differently filtered
     frame; by default like is compared with like."""
-    cur = [F.col(m).alias(m) for m in measures]
-    none = [F.lit(None).cast(dict(df.dtypes)[m]) for m in measures]
-
-    def row(shift: int, values, blanks, here: bool):
-        left = values if here else blanks
-        right = blanks if here else values
-        return F.struct((F.col(year) + shift).cast("int").alias(year), F.lit(here).alias("__here"),
-                        *[v.alias(m) for m, v in zip(measures, left)],
-                        *[v.alias(f"{m}_prev") for m, v in zip(measures, right)])
-
-    now, before = row(0, cur, none, True), row(1, cur, none, False)
+    keep = ", ".join(measures)
+    now = f"struct(CAST({year} AS INT) AS {year}, TRUE AS __here, {keep})"
+    before = f"struct(CAST({year} + 1 AS INT) AS {year}, FALSE AS __here, {keep})"
     if prior is None:
-        rows = df.select(*by, F.inline(F.array(now, before)))
+        rows = df.selectExpr(*by, f"inline(array({now}, {before}))")
     else:
-        rows = df.select(*by, F.inline(F.array(now))).unionByName(
-            prior.select(*by, F.inline(F.array(before))))
+        rows = df.selectExpr(*by, f"inline(array({now}))").unionByName(prior.selectExpr(*by, f"inline(array({before}))"))
     paired = rows.groupBy(*by, year).agg(
-        F.bool_or("__here").alias("__here"),
-        *[F.max(m).alias(m) for m in measures],
-        *[F.max(f"{m}_prev").alias(f"{m}_prev") for m in measures]).where("__here").drop("__here")
-    for m in measures:
-        change = F.try_divide((F.col(m) - F.col(f"{m}_prev")).cast("double"), F.col(f"{m}_prev").cast("double"))
-        paired = paired.withColumn(f"{m}_yoy", change)
-        if labels:
-            paired = paired.withColumn(f"{m}_yoy_label", yoy_label(f"{m}_yoy", year))
-    return paired.drop(*[f"{m}_prev" for m in measures])
+        F.expr("bool_or(__here)").alias("__here"),
+        *[F.expr(f"max({m}) FILTER (WHERE __here)").alias(m) for m in measures],
+        *[F.expr(f"max({m}) FILTER (WHERE NOT __here)").alias(f"{m}_prev") for m in measures]).where("__here")
+    changes = paired.selectExpr(*by, year, *measures, *[
+        f"try_divide(CAST({m} - {m}_prev AS DOUBLE), CAST({m}_prev AS DOUBLE)) AS {m}_yoy" for m in measures])
+    if labels:
+        changes = changes.withColumns({f"{m}_yoy_label": yoy_label(f"{m}_yoy", year) for m in measures})
+    return changes
 
 
 def pearson(x: str, y: str) -> Column:
     """Correlation of two columns over rows where both are present; null when either has no
     variance or there is no pair. Written out in sums: the built-in raises on zero variance."""
-    both = F.col(x).isNotNull() & F.col(y).isNotNull()
-    a = F.when(both, F.col(x).cast("double"))
-    b = F.when(both, F.col(y).cast("double"))
-    n = F.count(F.when(both, F.lit(1))).cast("double")
-    top = n * F.sum(a * b) - F.sum(a) * F.sum(b)
-    spread = (n * F.sum(a * a) - F.sum(a) * F.sum(a)) * (n * F.sum(b * b) - F.sum(b) * F.sum(b))
-    return F.try_divide(top, F.when(spread >= 0, F.sqrt(spread)))
+    both = f"FILTER (WHERE {x} IS NOT NULL AND {y} IS NOT NULL)"
+    total = lambda e: f"sum(CAST({e} AS DOUBLE)) {both}"
+    n, a, b = f"CAST(count(1) {both} AS DOUBLE)", total(x), total(y)
+    a2, b2 = total(f"CAST({x} AS DOUBLE) * {x}"), total(f"CAST({y} AS DOUBLE) * {y}")
+    top = f"({n} * {total(f'CAST({x} AS DOUBLE) * {y}')} - {a} * {b})"
+    spread = f"(({n} * {a2} - {a} * {a}) * ({n} * {b2} - {b} * {b}))"
+    return F.expr(f"try_divide({top}, CASE WHEN {spread} >= 0 THEN sqrt({spread}) END)")

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.functions.dates import date_key
-from tidemart.functions.exact import half_up_ratio, scaled_sum, unscaled
+from tidemart.functions.exact import half_up_ratio, scaled_sum
 from tidemart.functions.units import convert_currency, in_units
 from tidemart.operators.joins import lookup
 from tidemart.operators.keys import date_attributes, date_spine, surrogate_key
@@ -33,13 +33,13 @@ def dim_zone(zones: DataFrame) -> DataFrame:
 def dim_fx(rates: DataFrame) -> DataFrame:
     """One row per trading day, numbered by date."""
     df = rates.select("date", date_key("date").alias("date_key"), "usd_eur_rate")
-    return surrogate_key(df, ["date"], "fx_key", bucket=F.year("date")).select(C.DIM_FX.schema.names)
+    return surrogate_key(df, ["date"], "fx_key", bucket="year(date)").select(C.DIM_FX.schema.names)
 
 
 def dim_gdp(gdp: DataFrame, unit: float = 1e12) -> DataFrame:
     """One row per country and year, numbered in that order."""
     df = gdp.withColumn("gdp_trillion_usd", in_units("gdp_usd", unit))
-    keyed = surrogate_key(df, ["country_code", "year"], "gdp_key", bucket=F.col("country_code"))
+    keyed = surrogate_key(df, ["country_code", "year"], "gdp_key", bucket="country_code")
     return keyed.select(C.DIM_GDP.schema.names)
 
 
@@ -47,19 +47,18 @@ def trip_fact(trips: DataFrame, fx: DataFrame, zone: DataFrame, quote: str = "eu
     """Day × pickup zone. Rows are reduced to that grain first; the rate and zone lookups then see
     one row per group, so neither a hot zone nor a hot day weighs on a join. Days without a rate
     keep null ``fx_key`` and EUR total."""
-    seconds = (F.unix_seconds("dropoff_datetime") - F.unix_seconds("pickup_datetime"))
-    daily = trips.groupBy(F.to_date("pickup_datetime").alias("day"), "pu_location_id").agg(
-        F.count("*").alias("trip_count"),
-        scaled_sum("fare_amount", 2).alias("cents"), F.count("fare_amount").alias("fares"),
-        F.sum(seconds).alias("seconds"), F.count(seconds).alias("timed"),
-        scaled_sum("trip_distance", 4).alias("distance"), F.count("trip_distance").alias("measured"),
-        F.sum("passenger_count").cast("bigint").alias("total_passengers"))
-    daily = daily.withColumns({
-        "total_fare_usd": unscaled(F.col("cents"), 2),
-        "avg_fare_usd": half_up_ratio("cents", "fares * 100", 4),
-        "avg_trip_duration_min": half_up_ratio("seconds", "timed * 60", 4),
-        "avg_trip_distance_mi": half_up_ratio("distance", "measured * 10000", 4),
-        "date_key": date_key("day"), "year": F.year("day")})
+    seconds = "unix_seconds(dropoff_datetime) - unix_seconds(pickup_datetime)"
+    daily = trips.groupBy(F.expr("to_date(pickup_datetime) AS day"), "pu_location_id").agg(
+        F.expr("count(*) AS trip_count"), scaled_sum("fare_amount", 2).alias("cents"), F.expr("count(fare_amount) AS fares"),
+        F.expr(f"sum({seconds}) AS seconds"), F.expr(f"count({seconds}) AS timed"),
+        scaled_sum("trip_distance", 4).alias("distance"), F.expr("count(trip_distance) AS measured"),
+        F.expr("CAST(sum(passenger_count) AS BIGINT) AS total_passengers"))
+    daily = daily.select(
+        "day", "pu_location_id", "trip_count", "total_passengers", date_key("day").alias("date_key"),
+        F.expr("year(day) AS year"), F.expr("cents / 100D AS total_fare_usd"),
+        half_up_ratio("cents", "fares * 100", 4).alias("avg_fare_usd"),
+        half_up_ratio("seconds", "timed * 60", 4).alias("avg_trip_duration_min"),
+        half_up_ratio("distance", "measured * 10000", 4).alias("avg_trip_distance_mi"))
     daily = lookup(daily, fx, "day", "date", ["fx_key", "usd_eur_rate"])
     daily = lookup(daily, zone, "pu_location_id", "location_id", ["zone_key"])
     return (daily.withColumn("total_fare_eur", convert_currency("total_fare_usd", "usd_eur_rate", quote))
@@ -68,13 +67,11 @@ def trip_fact(trips: DataFrame, fx: DataFrame, zone: DataFrame, quote: str = "eu
 
 def air_fact(readings: DataFrame, stations: DataFrame) -> DataFrame:
     """Day × station × parameter, with the station's name, country and position."""
-    daily = readings.groupBy(F.to_date("datetime").alias("day"), "location_id", "parameter").agg(
-        scaled_sum("value", 4).alias("total"),
-        F.round(F.max("value"), 4).alias("max_value"), F.round(F.min("value"), 4).alias("min_value"),
-        F.count("*").alias("measurement_count"))
-    about = stations.select("location_id", F.col("location_name").alias("city"),
-                            F.col("country_name").alias("country"), "latitude", "longitude")
+    daily = readings.groupBy(F.expr("to_date(datetime) AS day"), "location_id", "parameter").agg(
+        scaled_sum("value", 4).alias("total"), F.expr("round(max(value), 4) AS max_value"),
+        F.expr("round(min(value), 4) AS min_value"), F.expr("count(*) AS measurement_count"))
+    daily = daily.select("*", date_key("day").alias("date_key"), F.expr("year(day) AS year"),
+                         half_up_ratio("total", "measurement_count * 10000", 4).alias("avg_value"))
+    about = stations.selectExpr("location_id", "location_name AS city", "country_name AS country", "latitude", "longitude")
     daily = lookup(daily, about, "location_id", "location_id", ["city", "country", "latitude", "longitude"])
-    return (daily.withColumns({"date_key": date_key("day"), "year": F.year("day"),
-                               "avg_value": half_up_ratio("total", "measurement_count * 10000", 4)})
-            .select(C.AIR_FACT.schema.names))
+    return daily.select(C.AIR_FACT.schema.names)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.functions.casts import cast_map, rename_map, soft_cast
-from tidemart.functions.dates import period_keys, wall_clock
+from tidemart.functions.dates import period_keys
 from tidemart.functions.units import PPM_TO_UGM3, POLLUTANTS, convert_value, relabel_units
 from tidemart.operators.clean import first_per_key, require, sane_range, strictly_positive
 from tidemart.plans import contracts as C
@@ -31,9 +31,12 @@ MAX_FARE = 10_000
 
 def trips(raw: DataFrame, max_distance: float = MAX_DISTANCE, max_fare: float = MAX_FARE) -> DataFrame:
     """Trips with clean names, instants, period columns; sane rows only; one row per trip key."""
-    df = rename_map(cast_map(rename_map(raw, TRIP_CASE), TRIP_CASTS), TRIP_RENAMES)
-    df = df.withColumns({c: wall_clock(c) for c in ("pickup_datetime", "dropoff_datetime")})
-    df = require(df, "pickup_datetime", "pu_location_id", "do_location_id")
+    shape = []
+    for c in raw.columns:
+        name = TRIP_RENAMES.get(TRIP_CASE.get(c, c), TRIP_CASE.get(c, c))
+        to = "TIMESTAMP" if name in ("pickup_datetime", "dropoff_datetime") else TRIP_CASTS.get(c)
+        shape.append(f"TRY_CAST(`{c}` AS {to}) AS `{name}`" if to else f"`{c}` AS `{name}`")
+    df = require(raw.selectExpr(*shape), "pickup_datetime", "pu_location_id", "do_location_id")
     df = df.where(sane_range("trip_distance", max_distance) & sane_range("fare_amount", max_fare))
     return period_keys(first_per_key(df, C.TRIPS.keys), "pickup_datetime")
 
@@ -56,7 +59,7 @@ def weather(raw: DataFrame) -> DataFrame:
     df = df.withColumn("datetime", soft_cast("datetime", "timestamp"))
     df = df.withColumn("is_rainy", F.col("precipitation_mm") > 0)
     df = require(df, "datetime", "temperature_c")
-    newest = [F.col("ingestion_timestamp").desc()] if "ingestion_timestamp" in df.columns else []
+    newest = ["ingestion_timestamp DESC"] if "ingestion_timestamp" in df.columns else []
     df = period_keys(first_per_key(df, C.WEATHER.keys, newest), "datetime")
     return df.select(C.WEATHER.schema.names)
 

@@ -120,7 +120,7 @@ SELECT CAST(n AS BIGINT) AS days, {_PEARSON} AS r FROM s""")
 def pearson_daily(spark, d):
     from tidemart.functions.exact import exact_avg
     e = S.table(spark, d, "events").groupBy(F.to_date("ts").alias("day")).agg(
-        F.count("*").alias("x"), exact_avg(F.when(F.col("event_type") == "click", F.col("value")), 4).alias("y"))
+        F.count("*").alias("x"), exact_avg("value", 4, "event_type = 'click'").alias("y"))
     return e.agg(F.count("y").alias("days"), F.round(pearson("x", "y"), 9).alias("r"))
 
 
@@ -163,7 +163,7 @@ def monthly_combo(spark, d):
     e = S.table(spark, d, "events")
     return e.groupBy(F.year("ts").alias("year"), F.month("ts").alias("month"), F.dayofmonth("ts").alias("day")).agg(
         F.count("*").alias("events"),
-        *[exact_avg(F.when(F.col("event_type") == p, F.col("value")), 4).alias(f"avg_{p}") for p in S.POLLUTANTS])
+        *[exact_avg("value", 4, f"event_type = '{p}'").alias(f"avg_{p}") for p in S.POLLUTANTS])
 
 
 # ---- marts -----------------------------------------------------------------------------------
