@@ -141,3 +141,18 @@ def test_footer_groups_follow_the_schema(spark, tmp_path):
     groups = parquet_drift.footer_groups(files)
     assert sorted(len(g) for g in groups) == [1, 2]
     assert parquet_drift.files_for_years(files, 2024, 2024).count() == 2
+
+
+def test_command_line(spark, runs, tmp_path):
+    from tidemart.__main__ import parser, run
+    first_drop(tmp_path)
+    db = work_database(spark, "cli")
+    args = parser().parse_args(["refresh", "--landing", str(tmp_path), "--years", "2024", "--database", db, "--force-refresh"])
+    assert "silver_trips: 4 rows" in run(args, spark)
+    assert "Failed: 0" in run(parser().parse_args(["report", "--database", db, "--scale", "1e-9"]), spark)
+    export = parser().parse_args(["export", "--database", db])
+    # two hours with five fields each: rain and its flag are null
+    assert run(export, spark) == "10 points" and run(export, spark) == "0 points"
+    L.write_weather(tmp_path, "w2.json", D(2024, 1, 3), [5.0], [0.4])
+    run(args, spark)
+    assert run(export, spark) == "7 points"

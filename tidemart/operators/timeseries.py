@@ -55,13 +55,18 @@ def latest_rows(df: DataFrame, order: str, n: int, ties: Sequence[str] = ()) ->
 
 
 def to_points(df: DataFrame, measurement: str, tags: Mapping[str, str], fields: Sequence[str],
-              time_col: str) -> DataFrame:
+              time_col: str, unique: bool = False) -> DataFrame:
     """Wide rows to ``(measurement, <tags>, time, field, value)`` at second precision; null fields
-    give no point; a zone-less time is read as UTC."""
-    t = F.date_trunc("second", F.col(time_col).cast("timestamp"))
-    base = df.select(F.lit(measurement).alias("measurement"),
-                     *[F.lit(v).alias(k) for k, v in tags.items()], t.alias("time"), *fields)
-    return long_form(base, ["measurement", *tags, "time"], fields)
+    give no point; a zone-less time is read as UTC. With ``unique`` a series has one point per
+    second, the value of its latest row, as a time-series store would keep it."""
+    at = F.col(time_col).cast("timestamp")
+    base = df.select(F.lit(measurement).alias("measurement"), *[F.lit(v).alias(k) for k, v in tags.items()],
+                     F.date_trunc("second", at).alias("time"), at.alias("__at"), *fields)
+    ids = ["measurement", *tags, "time"]
+    points = long_form(base, [*ids, "__at"], fields)
+    if unique:
+        return points.groupBy(*ids, "field").agg(F.max_by("value", "__at").alias("value"))
+    return points.drop("__at")
 
 
 def to_lines(df: DataFrame, measurement: str, tags: Mapping[str, str], fields: Sequence[str],

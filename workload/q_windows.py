@@ -87,3 +87,19 @@ _INT = lambda f: f"CASE WHEN {f} IS NULL THEN NULL ELSE '{f}=' || CAST({f} AS BI
 SELECT 'weather,location=city ' || concat_ws(',', {_INT('weather_code')}, 'is_rainy=' || CAST(is_rainy AS VARCHAR)) || ' ' || (epoch_us(datetime) // 1000000) AS value FROM w""")
 def points_text(spark, d):
     return T.to_lines(_weather(spark, d), "weather", {"location": "city"}, ["weather_code", "is_rainy"], "datetime")
+
+
+_LAST = lambda f: (f"SELECT 'weather' AS measurement, 'city' AS location, epoch_us(datetime) // 1000000 AS time_s, '{f}' AS field, "
+                   f"arg_max(CAST({f} AS DOUBLE), datetime) AS value FROM w WHERE {f} IS NOT NULL GROUP BY 3")
+
+
+@query("weather_export", f"WITH {S.V_WEATHER}, w AS (SELECT *, precipitation_mm > 0 AS is_rainy FROM v_weather) " + " UNION ALL ".join(_LAST(f) for f in _FIELDS))
+def weather_export(spark, d):
+    """Points written in three runs, each from the sink's newest instant; one point per series and second."""
+    from tidemart.plans.export import export_points
+    from tidemart.session import work_database
+    sink = f"{work_database(spark, 'points')}.points"
+    w = _weather(spark, d)
+    for cut in (dt.datetime(2024, 1, 12), dt.datetime(2024, 3, 1), dt.datetime(2024, 3, 1)):
+        export_points(w.where(F.col("datetime") < F.lit(cut)), sink, tags={"location": "city"})
+    return spark.table(sink).select("measurement", "location", F.unix_seconds("time").alias("time_s"), "field", "value")
