@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemart.functions.dates import period_keys
 from tidemart.operators import incremental as I
 from tidemart.operators import timeseries as T
 from tidemart.operators import write as W
@@ -27,14 +28,14 @@ def export_mark(spark: SparkSession, sink: str):
 def export_points(weather: DataFrame, sink: str, time_col: str = "datetime", tags=None) -> int:
     """Write the points of rows newer than the sink; returns how many. A point is its series and
     second: one written again (times are cut to seconds, so the newest row can come back) replaces
-    itself. Points are partitioned by day, so each run and every panel read few files."""
+    itself. Points are partitioned by month, so each run and every panel read few files."""
     spark, tags = weather.sparkSession, tags or TAGS
     rows = I.increment_since(weather, export_mark(spark, sink), time_col)
     points = T.to_points(rows, MEASUREMENT, tags, FIELDS, time_col, unique=True)
-    points = points.withColumn("day", F.to_date("time")).persist()
+    points = period_keys(points, "time").persist()
     try:
         if not exists(spark, sink):
-            return W.append(points, sink, ["day"])
+            return W.append(points, sink, ["year", "month"])
         n = points.count()
         if n:
             W.merge_upsert(points, sink, ["measurement", *tags, "time", "field"])
