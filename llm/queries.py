@@ -7,7 +7,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import sharding, urls
+from llm import packing, sharding, token_counts, token_files, urls
 from llm.common import table
 from tidemart.session import tune
 
@@ -49,3 +49,27 @@ FROM u""")
 def op2(spark, d):
     rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
     return urls.verdicts(table(spark, d, "pages"), rules)
+
+
+#: Where the public vocabularies lie; every operator takes the path as a parameter.
+def vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op4_packing")
+def op4(spark, d):
+    return packing.pack(table(spark, d, "documents"), vocabulary("word_bpe_49k.json"), end_id=2).drop("ids")
+
+
+@query("op9_token_counts")
+def op9(spark, d):
+    return token_counts.counts(table(spark, d, "documents"), vocabulary("byte_bpe_50k.tiktoken"))
+
+
+@query("op10_token_files")
+def op10(spark, d):
+    blocks = token_files.tokens(table(spark, d, "documents"), vocabulary("byte_bpe_50k.json"), keeps_space=True, end_id=0)
+    file, lengths = token_files.write(blocks, token_files.learn_code(blocks))
+    return token_files.digests(token_files.read(file, lengths), file)
