@@ -7,7 +7,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import packing, sharding, token_counts, token_files, urls
+from llm import languages, packing, sharding, token_counts, token_files, topk, urls
 from llm.common import table
 from tidemart.session import tune
 
@@ -73,3 +73,15 @@ def op10(spark, d):
     blocks = token_files.tokens(table(spark, d, "documents"), vocabulary("byte_bpe_50k.json"), keeps_space=True, end_id=0)
     file, lengths = token_files.write(blocks, token_files.learn_code(blocks))
     return token_files.digests(token_files.read(file, lengths), file)
+
+
+@query("op7_topk_search")
+def op7(spark, d):
+    return topk.search(table(spark, d, "embeddings"), F.col("id") % 50 == 0)
+
+
+@query("op6_language_id")
+def op6(spark, d):
+    docs = table(spark, d, "documents")
+    out = languages.predict(docs, *languages.fit(docs))
+    return out.select("doc_id", languages.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
