@@ -7,7 +7,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import languages, packing, sharding, token_counts, token_files, topk, urls
+from llm import languages, near_dedup, packing, sharding, token_counts, token_files, topk, urls
 from llm.common import table
 from tidemart.session import tune
 
@@ -85,3 +85,8 @@ def op6(spark, d):
     docs = table(spark, d, "documents")
     out = languages.predict(docs, *languages.fit(docs))
     return out.select("doc_id", languages.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@query("op5_near_dedup")
+def op5(spark, d):
+    return near_dedup.near_duplicates(table(spark, d, "documents"), similarity=85)
