@@ -7,7 +7,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import languages, near_dedup, packing, sharding, token_counts, token_files, topk, urls
+from llm import decontaminate, languages, near_dedup, packing, sharding, token_counts, token_files, topk, urls
 from llm.common import table
 from tidemart.session import tune
 
@@ -90,3 +90,23 @@ def op6(spark, d):
 @query("op5_near_dedup")
 def op5(spark, d):
     return near_dedup.near_duplicates(table(spark, d, "documents"), similarity=85)
+
+
+_WORDS_SQL = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+
+@query("op3_decontamination", f"""
+WITH d AS (SELECT DISTINCT doc_id, text, {_WORDS_SQL} AS ws FROM documents),
+b AS (SELECT item_id, {_WORDS_SQL} AS ws FROM benchmark),
+win AS (SELECT DISTINCT item_id, list_slice(ws, i, i + 12) AS g FROM (SELECT item_id, ws, unnest(generate_series(1, greatest(len(ws) - 12, 1))) AS i FROM b WHERE len(ws) > 0)),
+n AS (SELECT DISTINCT len(g) AS n FROM win),
+p AS (SELECT doc_id, text, ws, n, unnest(generate_series(1, len(ws) - n + 1)) AS i FROM d, n WHERE len(ws) >= n),
+h AS (SELECT doc_id, text, i, n, item_id FROM (SELECT doc_id, text, i, n, list_slice(ws, i, i + n - 1) AS g FROM p) JOIN win USING (g)),
+c AS (SELECT doc_id, text, count(DISTINCT x) AS n_hit FROM (SELECT doc_id, text, unnest(generate_series(i, i + n - 1)) AS x FROM h) GROUP BY ALL),
+t AS (SELECT doc_id, text, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS s FROM h GROUP BY ALL)
+SELECT d.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(s, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+FROM d LEFT JOIN c ON d.doc_id IS NOT DISTINCT FROM c.doc_id AND d.text IS NOT DISTINCT FROM c.text
+LEFT JOIN t ON d.doc_id IS NOT DISTINCT FROM t.doc_id AND d.text IS NOT DISTINCT FROM t.text""")
+def op3(spark, d):
+    return decontaminate.contamination(table(spark, d, "documents"), table(spark, d, "benchmark")).drop("hits", "key")
