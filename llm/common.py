@@ -35,3 +35,10 @@ def small(df: DataFrame, size: str, limit: int = BROADCAST_BYTES) -> DataFrame:
 def parts_for(total: int, each: int) -> int:
     """Partitions so that each holds about ``each`` of ``total``."""
     return max(1, -(-int(total or 0) // each))
+
+
+def vocabulary(name: str) -> str:
+    """Where a public vocabulary lies; the operators take the path as a parameter."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)

@@ -149,3 +149,13 @@ def predict(docs: DataFrame, langs: list[str], logs: np.ndarray, id_col: str = "
                 pa.array([[(names[j], float(row[j])) for j in np.flatnonzero(row)] for row in share], pa.map_(pa.string(), pa.float64()))], [id_col, "lang_pred", "score", "shares"])
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"`{id_col}` {kind}, lang_pred string, score double, shares map<string, double>")
+
+
+def accepted(docs: DataFrame, langs: list[str], logs: np.ndarray, text_col: str = "text") -> DataFrame:
+    """The rows whose text has a language, with all their columns and without a shuffle."""
+    shared = docs.sparkSession.sparkContext.broadcast(logs)
+
+    def run(it):
+        for batch in batches(it, text_col):
+            yield batch.filter(pa.array(mixtures(batch.column(text_col).to_pylist(), shared.value).any(1)))
+    return docs.mapInArrow(run, docs.schema)

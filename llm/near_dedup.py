@@ -11,8 +11,8 @@ alone: two linked sets share one of their rarest shingles, at a position that st
 a component are skipped. Every link is confirmed by the exact overlap of the two full sets.
 
 Defined cases: a null or empty text and one of white space has an empty set and is its own class; fewer words than a shingle
-make one shingle of all; rows that repeat an id with equal texts count as one; null ids are compared too and count as the
-largest id; an empty table gives no rows; other columns are ignored.
+make one shingle of all; rows that repeat an id are compared each with its own text; null ids are compared too, count as the
+largest id and come back as null; an empty table gives no rows; other columns are ignored.
 """
 from __future__ import annotations
 
@@ -31,6 +31,8 @@ WORDS, COLLECTION, HALF = 5, 12, 3
 HASHES = 2 * COLLECTION * HALF
 #: Minhashes of HASHES that must agree before full sets are compared: at a similarity of 0.8 fewer do with a probability below 1e-5, at 0.85 1e-8.
 AGREE = 43
+#: Stands for a null document id, so that it compares as the largest.
+NO_ID = 2**63 - 1
 
 _LOW = np.arange(256, dtype=np.uint8)
 _LOW[65:91] += 32
@@ -112,8 +114,16 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def digest(shingles: np.ndarray) -> bytes | None:
+    return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest() if len(shingles) else None
+
+
+def named(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc"), F.col(text_col).alias("text"))
+
+
 def describe(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, n, digest of the set, minhashes (HASHES bytes, the low byte of each), a and b: the half keys."""
+    """doc, text_key, n, id (the digest of the set), low (the low byte of each minhash), a and b (the half keys)."""
     def run(it):
         for batch in it:
             for part in batches([batch], "text", 2 << 20):
@@ -126,18 +136,18 @@ def describe(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 halves = halves.view(np.int64)
                 low, place = (sig & 255).astype(np.uint8), {k: i for i, k in enumerate(full)}
                 yield pa.RecordBatch.from_arrays([
-                    part.column("id"), pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets], pa.binary()),
+                    part.column("doc"), part.column("text_key"), pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array(map(digest, sets), pa.binary()),
                     pa.array([low[place[k]].tobytes() if k in place else None for k in range(len(sets))], pa.binary()),
                     pa.array([halves[place[k], :COLLECTION] if k in place else None for k in range(len(sets))], pa.list_(pa.int64())),
                     pa.array([halves[place[k], COLLECTION:] if k in place else None for k in range(len(sets))], pa.list_(pa.int64()))],
-                    ["id", "n", "digest", "low", "a", "b"])
-    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(2**63 - 1)).alias("id"), F.col(text_col).alias("text"))
-    return stored(rows.mapInArrow(run, "id long, n long, digest binary, low binary, a array<long>, b array<long>"), "dedup-signatures")
+                    ["doc", "text_key", "n", "id", "low", "a", "b"])
+    rows = named(docs, id_col, text_col).withColumn("text_key", F.xxhash64("text"))
+    return stored(rows.mapInArrow(run, "doc long, text_key long, n long, id binary, low binary, a array<long>, b array<long>"), "dedup-signatures")
 
 
 def table_keys(reps: DataFrame) -> DataFrame:
-    """(key, id) of all tables that at least two representatives share a key of."""
+    """(key, id, c: members) of all tables that at least two representatives share a key of."""
     def shared(col: str) -> DataFrame:
         halves = stored(reps.select("id", F.posexplode(col).alias("t", "h")), f"dedup-{col}")
         several = halves.groupBy("t", "h").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("t", "h")
@@ -152,7 +162,7 @@ def stars(tables: DataFrame) -> DataFrame:
     """(center, id): in each key the member that meets most others over all tables is the center of all."""
     weight = tables.groupBy("id").agg(F.sum("c").alias("w"))
     ranked = stored(tables.select("key", "id").join(weight, "id"), "dedup-weights")
-    center = ranked.groupBy("key").agg(F.max(F.struct("w", (-F.col("id")).alias("i"))).alias("m")).select("key", (-F.col("m.i")).alias("center"))
+    center = ranked.groupBy("key").agg(F.max_by("id", F.struct("w", "id")).alias("center"))
     return ranked.join(center, "key").filter("id <> center").select("center", "id").distinct()
 
 
@@ -183,7 +193,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(id, component) of all linked ids, the component named by its smallest id: labels pass along links and along labels until none changes."""
+    """(id, component) of all linked ids, the component named by its smallest: labels pass along links and along labels until none changes."""
     edges = stored(links.select(F.col("x").alias("u"), F.col("y").alias("v")).union(links.select("y", "x")).distinct(), "dedup-links")
     labels = stored(edges.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("label")).withColumnRenamed("u", "id"), "dedup-labels")
     while True:
@@ -221,9 +231,9 @@ def leftover_pairs(tables: DataFrame, comps: DataFrame, sets: DataFrame, similar
 
 
 def near_duplicates(docs: DataFrame, similarity: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Columns: the id, n_shingles, component_id, kept. ``similarity`` in hundredths."""
+    """Columns: the id, n_shingles, component_id, kept, text_key (xxhash64 of the text). ``similarity`` in hundredths."""
     rows = describe(docs, id_col, text_col)
-    reps = stored(rows.filter("n > 0").groupBy("digest").agg(F.min("id").alias("id"), F.min("n").alias("n"), F.min("low").alias("low"), F.min("a").alias("a"), F.min("b").alias("b")), "dedup-classes")
+    reps = stored(rows.filter("n > 0").groupBy("id").agg(F.min("doc").alias("doc"), F.min("low").alias("low"), F.min("a").alias("a"), F.min("b").alias("b")), "dedup-classes")
     tables = table_keys(reps)
     low = reps.select("id", "low")
     near = stars(tables).select(F.col("center").alias("x"), F.col("id").alias("y"))
@@ -232,21 +242,24 @@ def near_duplicates(docs: DataFrame, similarity: int = 85, id_col: str = "doc_id
         both = pairs.join(low.select(F.col("id").alias("x"), F.col("low").alias("lx")), "x").join(low.select(F.col("id").alias("y"), F.col("low").alias("ly")), "y")
         return both.withColumn("g", agreeing("lx", "ly")).filter(F.col("g") >= AGREE).select("x", "y")
     near = stored(alike(near), "dedup-stars")
-    wanted = tables.select("id").distinct()
+    wanted = stored(reps.join(tables.select("id").distinct(), "id").select("id", "doc"), "dedup-wanted")
 
     def as_sets(it):
         for batch in it:
             for part in batches([batch], "text", 2 << 20):
-                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array([s.tobytes() for s in shingle_sets(part.column("text").to_pylist())], pa.binary())], ["id", "s"])
-    texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(2**63 - 1)).alias("id"), F.col(text_col).alias("text"))
-    sets = stored(texts.join(wanted, "id", "left_semi").mapInArrow(as_sets, "id long, s binary").dropDuplicates(["id"]), "dedup-sets")
+                sets = shingle_sets(part.column("text").to_pylist())
+                yield pa.RecordBatch.from_arrays([pa.array(map(digest, sets), pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], ["id", "s"])
+    # rows that share an id with a wanted one but hold another text fall away by their digests
+    texts = named(docs, id_col, text_col).join(wanted.select("doc").distinct(), "doc", "left_semi").select("text")
+    sets = texts.mapInArrow(as_sets, "id binary, s binary").join(wanted, "id", "left_semi").groupBy("id").agg(F.first("s").alias("s"))
+    sets = stored(sets, "dedup-sets")
     links = stored(confirmed(near, sets, similarity), "dedup-star-links")
     comps = components(links)
     more = stored(alike(leftover_pairs(tables, comps, sets, similarity)), "dedup-left")
     comps = components(links.union(confirmed(more, sets, similarity)))
-    of_class = reps.select("digest", F.col("id").alias("rep")).join(comps, F.col("rep") == comps.id, "left").select("digest", F.coalesce("component", "rep").alias("component"))
-    out = rows.select("id", "n", "digest").join(of_class, "digest", "left")
-    name = lambda c: F.when(F.col(c) < 2**63 - 1, F.col(c))
-    component = F.coalesce("component", "id")
-    return out.select(name("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("c"), (component == F.col("id")).alias("kept")).select(
-        id_col, "n_shingles", name("c").alias("component_id"), "kept")
+    of_class = stored(reps.join(comps, "id", "left").select("id", "doc", F.coalesce("component", "id").alias("component")), "dedup-components")
+    smallest = of_class.groupBy("component").agg(F.min("doc").alias("first"))
+    first = of_class.join(smallest, "component").select("id", "first")
+    out = rows.select("id", "doc", "n", "text_key").join(first, "id", "left").withColumn("first", F.coalesce("first", "doc"))
+    name = lambda c: F.when(F.col(c) < NO_ID, F.col(c))
+    return out.select(name("doc").alias(id_col), F.col("n").alias("n_shingles"), name("first").alias("component_id"), (F.col("first") == F.col("doc")).alias("kept"), "text_key")

@@ -7,8 +7,9 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from llm import decontaminate, languages, near_dedup, packing, sharding, token_counts, token_files, topk, urls
-from llm.common import table
+from llm.common import table, vocabulary
 from tidemart.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,13 +52,6 @@ def op2(spark, d):
     return urls.verdicts(table(spark, d, "pages"), rules)
 
 
-#: Where the public vocabularies lie; every operator takes the path as a parameter.
-def vocabulary(name: str) -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
 @query("op4_packing")
 def op4(spark, d):
     return packing.pack(table(spark, d, "documents"), vocabulary("word_bpe_49k.json"), end_id=2).drop("ids")
@@ -89,7 +83,7 @@ def op6(spark, d):
 
 @query("op5_near_dedup")
 def op5(spark, d):
-    return near_dedup.near_duplicates(table(spark, d, "documents"), similarity=85)
+    return near_dedup.near_duplicates(table(spark, d, "documents"), similarity=85).drop("text_key")
 
 
 _WORDS_SQL = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
@@ -110,3 +104,8 @@ FROM d LEFT JOIN c ON d.doc_id IS NOT DISTINCT FROM c.doc_id AND d.text IS NOT D
 LEFT JOIN t ON d.doc_id IS NOT DISTINCT FROM t.doc_id AND d.text IS NOT DISTINCT FROM t.text""")
 def op3(spark, d):
     return decontaminate.contamination(table(spark, d, "documents"), table(spark, d, "benchmark")).drop("hits", "key")
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark, d):
+    return corpus_pipeline.run(spark, d)

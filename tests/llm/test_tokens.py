@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from llm import packing, token_counts, token_files
 from llm.encoding import Encoder
-from llm.queries import vocabulary
+from llm.common import vocabulary
 
 ODD = ["", " ", "a", "Hello  world\n\nX", "l'été d'Été. It's  fine\t\tyes", "a b c", "x\x1cy .\x1c z", "end  ", "\n\n a\r\nb",
        "<|endoftext|> x<|startoftext|>y", "日本語 テキスト　です", "naïve é    q", "…“quoted”…", "1234 56,7%", "A" * 3000, None, "ΑΣ ΑΣ. 'll", "a   b  \n c"]
