@@ -15,8 +15,9 @@ _WS = r" \t\n\r\x0b\x0c\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000
 #: Pieces of a text: white space with what follows it; or words between ASCII white space.
 _SPACED, _WORDS = re.compile(f"[{_WS}]*[^{_WS}]+|[{_WS}]+"), re.compile("[^ \t\n\r\x0b\x0c]+")
 _ODD = re.compile("[\x1c-\x1f]")
+_CLOSED = re.compile("(.*[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff])([.,;:!?]+)", re.DOTALL)
 #: Distinct pieces, and their characters, that a task remembers before it starts anew.
-KEPT_PIECES, KEPT_CHARS = 400_000, 16 << 20
+KEPT_PIECES, KEPT_CHARS = 600_000, 24 << 20
 
 
 class Encoder:
@@ -27,10 +28,16 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.keeps_space = Tokenizer.from_file(path), keeps_space
+        special = {k: t.content for k, t in self.tokenizer.get_added_tokens_decoder().items()}
+        if keeps_space:  # a byte-level piece has one character for each byte
+            self.width = np.array([len(special.get(k) or self.tokenizer.id_to_token(k)) for k in range(self.tokenizer.get_vocab_size())], np.int64)
+        else:
+            self.mark_id, self.mark = min(special.items())
+        self.blank = frozenset(c for c in map(chr, range(0x3001)) if re.match(f"[{_WS}]", c))
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known = Known()
         self.ids, self.used, self.chars = np.empty(1 << 20, np.uint32), 0, 0
         self.start, self.length = np.empty(1 << 16, np.int64), np.empty(1 << 16, np.int64)
 
@@ -39,33 +46,95 @@ class Encoder:
             return _SPACED.findall(text)
         return text.split() if text.isascii() and not _ODD.search(text) else _WORDS.findall(text)
 
-    def learn(self, fresh: list[str]) -> None:
-        for k in range(0, len(fresh), 4096):
-            for piece, e in zip(fresh[k:k + 4096], self.tokenizer.encode_batch_fast(fresh[k:k + 4096], add_special_tokens=False)):
-                ids, n = e.ids, len(self.known)
-                while self.used + len(ids) > len(self.ids):
-                    self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
-                if n == len(self.start):
-                    self.start, self.length = (np.concatenate([x, np.empty_like(x)]) for x in (self.start, self.length))
-                self.ids[self.used:self.used + len(ids)] = ids
-                self.known[piece], self.start[n], self.length[n] = n, self.used, len(ids)
-                self.used += len(ids)
-                self.chars += len(piece)
+    def together(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and counts of pieces, encoded as one text. Byte-level ids spell their text, so lengths in bytes tell the
+        pieces apart; otherwise a special token stands between them."""
+        if self.keeps_space:
+            ids = np.array(self.tokenizer.encode_batch_fast(["".join(pieces)], add_special_tokens=False)[0].ids, np.int64)
+            ends = np.searchsorted(np.cumsum(self.width[ids]), np.cumsum([len(p.encode()) for p in pieces])) + 1
+        else:
+            ids = np.array(self.tokenizer.encode_batch_fast([self.mark.join(pieces)], add_special_tokens=False)[0].ids, np.int64)
+            between = ids == self.mark_id
+            ends = np.append(np.flatnonzero(between) - np.arange(between.sum()), len(ids) - between.sum())
+            ids = ids[~between]
+        return ids, np.diff(ends, prepend=0)
+
+    def alone(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        got = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        return np.fromiter(chain.from_iterable(got), np.int64), np.fromiter(map(len, got), np.int64, len(got))
+
+    def parts(self, piece: str) -> tuple[str, ...]:
+        """What the piece is made of: a final stop or comma after a letter always stands apart, and a word vocabulary folds case."""
+        whole = piece.lower() if not self.keeps_space and piece.isascii() else piece
+        m = _CLOSED.fullmatch(whole)
+        return (m[1], m[2]) if m else (whole,)
+
+    def learn(self) -> None:
+        """Encode what was met for the first time."""
+        fresh, made, plain = self.known.fresh, [], []
+        for piece in fresh:  # grows as parts are met that are new themselves
+            parts = self.parts(piece)
+            if parts == (piece,):
+                plain.append(piece)
+            else:
+                made.append((self.known[piece], [self.known[p] for p in parts]))
+        n = len(self.known)
+        while n > len(self.start):
+            self.start, self.length = (np.concatenate([x, np.empty_like(x)]) for x in (self.start, self.length))
+        # a piece can stand in a joined text if it is cut off there as it would be in its own
+        joins = (lambda p: p[0] in " \n\t" and p[-1] not in self.blank) if self.keeps_space else (lambda p: "<|" not in p)
+        groups = [[p for p in plain if joins(p)], [p for p in plain if not joins(p)]]
+        for how, pieces in zip((self.together, self.alone), groups):
+            for k in range(0, len(pieces), 4096):
+                some = pieces[k:k + 4096]
+                self.keep(np.array([self.known[p] for p in some]), *how(some))
+        if made:
+            sizes = np.array([len(parts) for _, parts in made])
+            ids, n = self.gather(np.array([p for _, parts in made for p in parts]))
+            self.keep(np.array([k for k, _ in made]), ids, np.add.reduceat(n, np.cumsum(sizes) - sizes))
+        self.chars += sum(map(len, fresh))
+        fresh.clear()
+
+    def keep(self, rows: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> None:
+        while self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
+        self.ids[self.used:self.used + len(ids)] = ids
+        self.start[rows], self.length[rows] = self.used + np.cumsum(counts) - counts, counts
+        self.used += len(ids)
+
+    def gather(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of known pieces one after another, and how many each has."""
+        n = self.length[rows]
+        ends = np.cumsum(n)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.ids[np.repeat(self.start[rows] - ends + n, n) + np.arange(total)], n
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, and how many each text has. A null text has none."""
         if len(self.known) > KEPT_PIECES or self.chars > KEPT_CHARS:
             self.forget()
         cut = [self.pieces(t) if t else [] for t in texts]
-        self.learn([p for p in dict.fromkeys(chain.from_iterable(cut)) if p not in self.known])
         sizes = np.fromiter(map(len, cut), np.int64, len(cut))
         rows = np.fromiter(map(self.known.__getitem__, chain.from_iterable(cut)), np.int64, int(sizes.sum()))
-        n = self.length[rows]
+        self.learn()
+        ids, n = self.gather(rows)
         ends = np.concatenate([[0], np.cumsum(n)])
-        ids = self.ids[np.repeat(self.start[rows] - ends[:-1], n) + np.arange(ends[-1])]
         return ids, np.diff(ends[np.concatenate([[0], np.cumsum(sizes)])])
 
 
+class Known(dict):
+    """Pieces numbered as they are met; ``fresh`` lists those not encoded yet."""
+
+    def __init__(self):
+        super().__init__()
+        self.fresh: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        n = self[piece] = len(self)
+        self.fresh.append(piece)
+        return n
+
+
 _ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
 

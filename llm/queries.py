@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from llm import decontaminate, languages, near_dedup, packing, sharding, token_counts, token_files, topk, urls
+from llm import decontaminate, languages, near_dedup, packing, sharding, token_counts, token_files, topk, urls, wrappers
 from llm.common import table, vocabulary
 from tidemart.session import tune
 
@@ -109,3 +109,8 @@ def op3(spark, d):
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark, d):
     return corpus_pipeline.run(spark, d)
+
+
+@query("op8_html_text")
+def op8(spark, d):
+    return wrappers.main_text(table(spark, d, "pages"))
