@@ -30,7 +30,7 @@ from llm.common import parts_for, stored
 from llm.encoding import batches, encoder
 
 #: Text bytes in a part; ids in a block; ids between checkpoints; longest code in bits.
-PART_BYTES, BLOCK_IDS, STEP, LONGEST = 16 << 20, 1 << 16, 256, 20
+PART_BYTES, BLOCK_IDS, STEP, LONGEST = 16 << 20, 1 << 18, 128, 20
 
 
 def tokens(docs: DataFrame, path: str, keeps_space: bool, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
