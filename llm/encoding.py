@@ -17,7 +17,7 @@ _SPACED, _WORDS = re.compile(f"[{_WS}]*[^{_WS}]+|[{_WS}]+"), re.compile("[^ \t\n
 _ODD = re.compile("[\x1c-\x1f]")
 _CLOSED = re.compile("(.*[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff])([.,;:!?]+)", re.DOTALL)
 #: Distinct pieces, and their characters, that a task remembers before it starts anew.
-KEPT_PIECES, KEPT_CHARS = 600_000, 24 << 20
+KEPT_PIECES, KEPT_CHARS = 500_000, 24 << 20
 
 
 class Encoder:
@@ -145,7 +145,7 @@ def encoder(path: str, keeps_space: bool) -> Encoder:
     return _ENCODERS[path, keeps_space]
 
 
-def batches(it, text_col: str, limit: int = 4 << 20):
+def batches(it, text_col: str, limit: int = 1 << 20):
     """Record batches cut into slices of about ``limit`` characters, one row at least."""
     for batch in it:
         sizes = np.array([len(x) if x is not None else 0 for x in batch.column(text_col).to_pylist()], np.int64)

@@ -111,8 +111,11 @@ def held_out(id_col: Column) -> Column:
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:
     """Languages in order and log-probabilities, buckets x languages. The driver gets at most BUCKETS counts a language."""
     labelled = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).filter(~held_out(F.col("id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    nth = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id"))
-    ids = labelled.select("id", "lang").withColumn("n", nth).filter(F.col("n") <= sample).select("id").distinct()
+    first = Window.orderBy(F.xxhash64("id"), "id")
+    ids = labelled.select("id", "lang")
+    for by in (["lang", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(64))], ["lang"]):  # a common language is ranked in 64 tasks first
+        ids = ids.withColumn("n", F.row_number().over(first.partitionBy(*by))).filter(F.col("n") <= sample).drop("n")
+    ids = ids.select("id").distinct()
     chosen = labelled.join(F.broadcast(ids), "id")  # at most ``sample`` ids a language
 
     def count(it):

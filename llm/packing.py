@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import zlib
 from collections import deque
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 from llm.common import parts_for, stored
 from llm.encoding import batches, encoder
 
-CAPACITY, PART_BYTES, RUN_TOKENS = 4096, 32 << 20, 8 << 20
+CAPACITY, PART_BYTES, RUN_TOKENS = 4096, 8 << 20, 2 << 20
 #: Tokens that a cut at a sentence end, and one inside a sentence, is worth.
 SENTENCE_PRICE, INNER_PRICE = 16, 64
 #: Distance of possible cuts inside a sentence that is longer.
@@ -71,6 +72,7 @@ def boundaries(ids: np.ndarray, doc_ends: np.ndarray, stops: np.ndarray) -> tupl
     return at, price
 
 
+@lru_cache
 def sentence_stops(path: str, keeps_space: bool, end_id: int) -> np.ndarray:
     """Which ids end a sentence: their piece ends in a full stop, question or exclamation mark or a line break."""
     tokenizer = encoder(path, keeps_space).tokenizer
@@ -105,7 +107,7 @@ def pack(docs: DataFrame, path: str, end_id: int, keeps_space: bool = False, id_
     def run(it):
         enc, stops, part = encoder(path, keeps_space), sentence_stops(path, keeps_space, end_id), TaskContext.get().partitionId()
         sequence, held, flats, doc_ids, sizes = 0, 0, [], [], []
-        for batch in batches(it, "text"):
+        for batch in batches(it, "text", 2 << 20):
             flat, n = enc.encode(batch.column("text").to_pylist())
             flats.append(np.insert(flat, np.cumsum(n), end_id).astype("<u4"))
             doc_ids += batch.column("doc_id").to_pylist()
