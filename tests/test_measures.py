@@ -111,3 +111,16 @@ def test_latest_per_series_breaks_ties(spark):
     at = dt.datetime(2024, 1, 1)
     df = spark.createDataFrame([("s", at, 1), ("s", at, 2), ("t", at, 0)], "s STRING, at TIMESTAMP, v INT")
     assert rows(T.latest_per_series(df, ["s"], "at", ["v"]), "s", "v") == [("s", 2), ("t", 0)]
+
+
+def test_pearson_keeps_its_digits_far_from_zero(spark):
+    line = spark.range(10).selectExpr("id + 1e9 AS x", "2 * id + 1e9 AS y", "0.1 AS flat")
+    r = line.agg(pearson("x", "y").alias("r"), pearson("x", "flat").alias("none")).first()
+    assert abs(r["r"] - 1) < 1e-9 and r["none"] is None
+
+
+def test_null_groups_meet(spark):
+    a = spark.createDataFrame([(None, 1), (2020, 2)], "year INT, a INT")
+    b = spark.createDataFrame([(None, 5)], "year INT, b INT")
+    from tidemart.operators.measures import join_on
+    assert sorted(map(tuple, join_on([a, b], ["year"]).collect()), key=str) == sorted([(None, 1, 5), (2020, 2, None)], key=str)

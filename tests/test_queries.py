@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from workload import registry
 from workload.standins import SCHEMAS
 
 SF = Path("/root/testdata/sf0.001")
@@ -26,7 +27,7 @@ def norm(cols, data):
     return sorted([tuple(r[i] for i in order) for r in data], key=key)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query(spark, con, name):
     df = entry.queries()[name](spark, str(SF))
     plan = df._jdf.queryExecution().executedPlan().toString()
@@ -43,7 +44,7 @@ def test_query(spark, con, name):
 
 
 def test_only_the_stamp_has_no_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"ingest_stamp"}
+    assert set(registry.QUERIES) - set(registry.ORACLE) == {"ingest_stamp"}
 
 
 def test_entry(spark):

@@ -81,7 +81,7 @@ def test_stream_at_an_interval_and_replay(spark, db, tmp_path):
     q.stop()
     spark.catalog.refreshTable(t)
     assert spark.table(t).count() == 30
-    sink = twins.upsert_sink(t, ["id"], ["part"])
+    sink = twins.upsert_sink(t, ["id"], ["id"], ["part"])
     sink(rows_in.where("id < 5"), 7)
     sink(rows_in.where("id < 0"), 8)
     spark.catalog.refreshTable(t)

@@ -50,7 +50,11 @@ def join_on(frames: Sequence[DataFrame], keys: Sequence[str], how: str = "outer"
         # one row each: stack them and keep the value that is there, which needs no join
         stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
         return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
-    return reduce(lambda a, b: a.join(b, list(keys), how), frames)
+    if how != "outer":
+        return reduce(lambda a, b: a.join(b, list(keys), how), frames)
+    # one row a key and frame: regrouping pairs null keys too, which a join never does
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    return stacked.groupBy(*keys).agg(*[F.max(c).alias(c) for c in stacked.columns if c not in keys])
 
 
 def year_over_year(df: DataFrame, measures: Sequence[str], year: str = "year",
@@ -83,11 +87,9 @@ def year_over_year(df: DataFrame, measures: Sequence[str], year: str = "year",
 
 def pearson(x: str, y: str) -> Column:
     """Correlation of two columns over rows where both are present; null when either has no
-    variance or there is no pair. Written out in sums: the built-in raises on zero variance."""
+    variance or there is no pair. From central moments, which keep their digits far from zero; the built-in
+    correlation raises on zero variance."""
     both = f"FILTER (WHERE {x} IS NOT NULL AND {y} IS NOT NULL)"
-    total = lambda e: f"sum(CAST({e} AS DOUBLE)) {both}"
-    n, a, b = f"CAST(count(1) {both} AS DOUBLE)", total(x), total(y)
-    a2, b2 = total(f"CAST({x} AS DOUBLE) * {x}"), total(f"CAST({y} AS DOUBLE) * {y}")
-    top = f"({n} * {total(f'CAST({x} AS DOUBLE) * {y}')} - {a} * {b})"
-    spread = f"(({n} * {a2} - {a} * {a}) * ({n} * {b2} - {b} * {b}))"
-    return F.expr(f"try_divide({top}, CASE WHEN {spread} >= 0 THEN sqrt({spread}) END)")
+    moment = lambda f, args: f"{f}({args}) {both}"
+    a, b = f"CAST({x} AS DOUBLE)", f"CAST({y} AS DOUBLE)"
+    return F.expr(f"try_divide({moment('covar_pop', f'{a}, {b}')}, {moment('stddev_pop', a)} * {moment('stddev_pop', b)})")

@@ -97,7 +97,8 @@ def write_full(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> i
     table it replaces and a failed write leaves the old table untouched."""
     spark = df.sparkSession
     if partition_by:
-        if exists(spark, table) and set(spark.table(table).columns) == set(df.columns):
+        same = lambda a, b: {(f.name, f.dataType) for f in a.schema} == {(f.name, f.dataType) for f in b.schema}
+        if exists(spark, table) and same(spark.table(table), df) and partition_columns(spark, table) == list(partition_by):
             return replace_partitions(df, table, lambda spec: True)
         out, seen = _counted(df)
         _spread(out, partition_by).write.mode("overwrite").partitionBy(*partition_by).saveAsTable(table)
@@ -132,12 +133,13 @@ def replace_partitions(df: DataFrame, table: str, in_scope) -> int:
 
 def write_range(df: DataFrame, table: str, partition_by: Sequence[str], lo: int, hi: int,
                 merge_schema: bool = False) -> int:
-    """Replace the partitions whose first partition column lies in ``[lo, hi]``. Rows outside the
-    range are an error in the caller and are filtered out here; stored partitions in range
-    without new rows are cleared."""
+    """Replace the partitions whose first partition column lies in ``[lo, hi]``; stored partitions in range
+    without new rows are cleared. A row outside the range (or without a value) fails the write before
+    anything is replaced: it would neither be stored nor replace what it belongs to."""
     spark = df.sparkSession
     lead = partition_by[0]
-    df = df.where(F.col(lead).between(lo, hi))
+    df = df.withColumn(lead, F.expr(f"""CASE WHEN `{lead}` BETWEEN {lo} AND {hi} THEN `{lead}`
+        ELSE raise_error(concat('a row has {lead} ', coalesce(CAST(`{lead}` AS STRING), 'null'), ', outside {lo} to {hi}')) END"""))
     if not exists(spark, table):
         return write_full(df, table, partition_by)
     df = align(spark, df, table, merge_schema)
@@ -227,22 +229,27 @@ def replace_slice(new: DataFrame, table: str, keep: Column, in_scope=None) -> in
 
 
 def year_replace(new: DataFrame, table: str, start: int, end: int, time_col: str) -> int:
-    """Replace the years ``start..end`` of a raw table. A stored table without a ``year`` column gets
+    """Replace the years ``start..end`` of a raw table. A new row of another year fails the write; rows without a
+    readable time are stored, and stored ones stay unless new ones take their partition. A stored table without a ``year`` column gets
     one first; columns may differ on either side and are filled with nulls."""
     spark = new.sparkSession
     year = F.year(F.col(time_col).try_cast("timestamp"))
     if "year" not in new.columns:
         new = new.withColumn("year", year)
+    new = new.withColumn("year", F.expr(f"""CASE WHEN year IS NULL OR year BETWEEN {start} AND {end} THEN year
+        ELSE raise_error(concat('a row has year ', CAST(year AS STRING), ', outside {start} to {end}')) END"""))
     if not exists(spark, table):
         return write_full(new, table, ["year"])
     old = spark.table(table)
     if partition_columns(spark, table) == ["year"]:
         missing = [c for c in old.columns if c not in new.columns]
         new = new.withColumns({c: F.lit(None) for c in missing})
-        return write_range(new, table, ["year"], start, end, merge_schema=True)
+        new = align(spark, new, table, True)
+        return replace_partitions(new, table, lambda s: s["year"].isdigit() and start <= int(s["year"]) <= end)
     if "year" not in old.columns:
         old = old.withColumn("year", year)
-    kept = old.where((F.col("year") < start) | (F.col("year") > end))
+    # a row without a readable time belongs to no year; a raw table is its last copy
+    kept = old.where((F.col("year") < start) | (F.col("year") > end) | F.col("year").isNull())
     return write_full(kept.unionByName(new, allowMissingColumns=True), table)
 
 

@@ -20,6 +20,8 @@ from tidemart.sources import nested, parquet_drift, tables, text
 CITY_BOX = (40.4, 40.9, -74.3, -73.7)
 FACT_LOOKBACK_DAYS = 7
 WEATHER_LOOKBACK_DAYS = 2
+#: Raw readings of two months are read again in each run; what came late in them must pass on.
+READING_LOOKBACK_DAYS = 62
 ZONE_RENAMES = {"LocationID": "location_id", "Borough": "borough", "Zone": "zone"}
 FX_COLUMNS = {"TIME_PERIOD": "date", "OBS_VALUE": "usd_eur_rate"}
 READING_DDL = ("location_id BIGINT, sensors_id BIGINT, location STRING, datetime STRING, lat DOUBLE, "
@@ -82,28 +84,35 @@ def load_raw(spark: SparkSession, cfg: Config) -> dict[str, int]:
     readings = (text.read_archive(spark, cfg.source("measurements"), READING_DDL, _stations(spark, cfg), months)
                 .drop("locationid", "month", "year"))
     readings = readings.withColumn("year", F.year(F.col("datetime").try_cast("timestamp")))
+    here = F.col("year").isNull() | F.col("year").between(cfg.year_start, cfg.year_end)
+    if mode != "incremental":  # archive months may hold a reading of a neighbouring year
+        readings = readings.where(here)
     if I.guard_source(readings, mode, t):
         done["raw_measurements"] = (W.merge_insert(readings, t, READING_KEYS) if mode == "incremental"
                                     else W.year_replace(readings, t, cfg.year_start, cfg.year_end, "datetime"))
 
     t = cfg.table("raw_weather")
     mode = I.run_mode(spark, t, cfg.force_refresh)
-    pages = spark.read.schema(HOURLY_DDL).option("multiLine", True).json(cfg.source("weather"))
-    hours = nested.explode_parallel(pages, "time", HOURLY, keep=("latitude", "longitude"), struct="hourly")
+    pages = spark.read.schema(HOURLY_DDL).option("multiLine", True).json(cfg.source("weather")).select(
+        "*", F.col("_metadata.file_modification_time").alias("__at"), F.col("_metadata.file_path").alias("__file"))
+    hours = nested.explode_parallel(pages, "time", HOURLY, keep=("latitude", "longitude", "__at", "__file"), struct="hourly")
     hours = hours.withColumnRenamed("time", "datetime")
     hours = W.stamped(hours.withColumn("year", F.year(F.col("datetime").try_cast("timestamp"))))
     if mode == "incremental":
         mark = F.to_date(F.lit((cfg.today or date.today()).isoformat()))
         hours = hours.where(F.col("datetime").try_cast("timestamp") >= F.date_sub(mark, WEATHER_LOOKBACK_DAYS))
+    else:
+        hours = hours.where(here)
     if I.guard_source(hours, mode, t):
-        hours = first_per_key(hours, ("latitude", "longitude", "datetime"))
+        # of an hour that several files hold, the newest file's counts
+        hours = first_per_key(hours, ("latitude", "longitude", "datetime"), ["__at DESC", "__file DESC"]).drop("__at", "__file")
         done["raw_weather"] = (W.merge_upsert(hours, t, ("latitude", "longitude", "datetime"))
                                if mode == "incremental"
                                else W.year_replace(hours, t, cfg.year_start, cfg.year_end, "datetime"))
     return done
 
 
-def _load_trips(spark: SparkSession, cfg: Config) -> int:
+def _load_trips(spark: SparkSession, cfg: Config, touched: dict[str, date] | None = None) -> int:
     """Trip files by name period: all of the year range, or those the ledger does not know."""
     t, ledger = cfg.table(C.TRIPS.name), cfg.table("file_ledger")
     mode = I.run_mode(spark, t, cfg.force_refresh)
@@ -124,6 +133,9 @@ def _load_trips(spark: SparkSession, cfg: Config) -> int:
     else:
         # rows of a file already stored (a run cut off before its ledger entry) do not come twice
         rows = W.merge_insert(clean, t, C.TRIPS.keys, merge_schema=True)
+        first = clean.agg(F.to_date(F.min("pickup_datetime"))).first()[0]
+        if touched is not None and first:
+            touched["trips"] = first
         fresh = names
     I.record_files(fresh, ledger, C.TRIPS.name)
     return rows
@@ -139,16 +151,17 @@ def _load_series(spark: SparkSession, cfg: Config, raw: str, contract: C.Contrac
     return (W.merge_upsert if upsert else W.merge_insert)(newer, t, contract.keys)
 
 
-def build_silver(spark: SparkSession, cfg: Config) -> dict[str, int]:
+def build_silver(spark: SparkSession, cfg: Config, touched: dict[str, date] | None = None) -> dict[str, int]:
+    """Clean tables; ``touched`` gets the first day of the trips that this run added."""
     raw = lambda n: spark.table(cfg.table(n))
     out = {
         C.FX.name: W.write_full(silver.fx_rates(raw("raw_fx")), cfg.table(C.FX.name)),
         C.GDP.name: W.write_full(silver.gdp(raw("raw_gdp")), cfg.table(C.GDP.name)),
         C.LOCATIONS.name: W.write_full(silver.locations(raw("raw_locations")), cfg.table(C.LOCATIONS.name)),
         C.ZONES.name: W.write_full(silver.zones(drop_blank_rows(raw("raw_zones"))), cfg.table(C.ZONES.name)),
-        C.TRIPS.name: _load_trips(spark, cfg),
+        C.TRIPS.name: _load_trips(spark, cfg, touched),
         C.MEASUREMENTS.name: _load_series(spark, cfg, "raw_measurements", C.MEASUREMENTS,
-                                          silver.measurements, upsert=False),
+                                          silver.measurements, upsert=False, lookback_days=READING_LOOKBACK_DAYS),
         # two days back, so that corrected hours reach the clean table
         C.WEATHER.name: _load_series(spark, cfg, "raw_weather", C.WEATHER, silver.weather, upsert=True,
                                      lookback_days=WEATHER_LOOKBACK_DAYS),
@@ -157,8 +170,9 @@ def build_silver(spark: SparkSession, cfg: Config) -> dict[str, int]:
 
 
 def _load_fact(spark: SparkSession, cfg: Config, contract: C.Contract, source: DataFrame, time_col: str,
-               build) -> int:
-    """Rebuild the year range, or only the days that late rows can still change."""
+               build, lookback_days: int, earliest: date | None = None) -> int:
+    """Rebuild the year range, or only the days from the tail that late rows can still change on; from ``earliest``, the
+    first day of the rows added in this run, if that is before the tail (a stray future date moves the tail past them)."""
     t = cfg.table(contract.name)
     newest = None if cfg.force_refresh else I.watermark(spark, t, "date_key")
     if newest is None:
@@ -168,13 +182,15 @@ def _load_fact(spark: SparkSession, cfg: Config, contract: C.Contract, source: D
             return W.write_full(new, t, contract.parts)
         return W.replace_slice(new, t, keep_outside("date_key", lo, hi),
                                lambda s: s["year"].isdigit() and cfg.year_start <= int(s["year"]) <= cfg.year_end)
-    cut_key, cut = I.tail_cutoff(newest, cfg.lookback_days)
+    cut_key, cut = I.tail_cutoff(newest, lookback_days)
+    if earliest is not None and earliest < cut:
+        cut_key, cut = earliest.year * 10000 + earliest.month * 100 + earliest.day, earliest
     new = build(I.tail_of(source, cut, time_col))
     return W.replace_slice(new, t, keep_outside("date_key", cut_key),
                            lambda s: s["year"].isdigit() and int(s["year"]) >= cut.year)
 
 
-def build_gold(spark: SparkSession, cfg: Config) -> dict[str, int]:
+def build_gold(spark: SparkSession, cfg: Config, touched: dict[str, date] | None = None) -> dict[str, int]:
     clean = lambda c: spark.table(cfg.table(c.name))
     t = cfg.table(C.DIM_DATE.name)
     stored = I.span_of(spark.table(t), "year") if tables.exists(spark, t) else (None, None)
@@ -186,9 +202,9 @@ def build_gold(spark: SparkSession, cfg: Config) -> dict[str, int]:
     }
     fx, zone = clean(C.DIM_FX), clean(C.DIM_ZONE)
     out[C.TRIP_FACT.name] = _load_fact(spark, cfg, C.TRIP_FACT, clean(C.TRIPS), "pickup_datetime",
-                                       lambda df: gold.trip_fact(df, fx, zone))
+                                       lambda df: gold.trip_fact(df, fx, zone), cfg.lookback_days, (touched or {}).get("trips"))
     out[C.AIR_FACT.name] = _load_fact(spark, cfg, C.AIR_FACT, clean(C.MEASUREMENTS), "datetime",
-                                      lambda df: gold.air_fact(df, clean(C.LOCATIONS)))
+                                      lambda df: gold.air_fact(df, clean(C.LOCATIONS)), max(cfg.lookback_days, READING_LOOKBACK_DAYS))
     return out
 
 
@@ -208,4 +224,5 @@ def verify(spark: SparkSession, cfg: Config) -> dict[str, DataFrame]:
 
 def refresh(spark: SparkSession, cfg: Config) -> dict[str, int]:
     """Raw, clean and star layers in order; rows written per table."""
-    return {**load_raw(spark, cfg), **build_silver(spark, cfg), **build_gold(spark, cfg)}
+    touched: dict[str, date] = {}
+    return {**load_raw(spark, cfg), **build_silver(spark, cfg, touched), **build_gold(spark, cfg, touched)}

@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -49,7 +50,7 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):  # local-cluster has machines of its own
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     made = tempfile.mkdtemp(prefix="tidemart-")
     spark.sparkContext.setCheckpointDir(made)

@@ -55,10 +55,10 @@ def append_sink(table: str) -> Callable[[DataFrame, int], None]:
     return sink
 
 
-def _merge_sink(table: str, keys: Sequence[str], partition_by: Sequence[str], merge) -> Callable[[DataFrame, int], None]:
+def _merge_sink(table: str, keys: Sequence[str], partition_by: Sequence[str], merge, order: Sequence[str] = ()) -> Callable[[DataFrame, int], None]:
     def sink(batch: DataFrame, _: int) -> None:
         # several passes over one batch: keep it instead of running the stream's plan again
-        rows = first_per_key(batch, keys).persist()
+        rows = first_per_key(batch, keys, order).persist()
         try:
             if not exists(batch.sparkSession, table):
                 W.append(rows, table, partition_by)
@@ -75,10 +75,11 @@ def insert_sink(table: str, keys: Sequence[str], partition_by: Sequence[str] = (
     return _merge_sink(table, keys, partition_by, W.merge_insert)
 
 
-def upsert_sink(table: str, keys: Sequence[str], partition_by: Sequence[str] = ()) -> Callable[[DataFrame, int], None]:
-    """Upsert by key; replay writes the same values again. With ``partition_by`` (following from the
+def upsert_sink(table: str, keys: Sequence[str], order: Sequence[str], partition_by: Sequence[str] = ()) -> Callable[[DataFrame, int], None]:
+    """Upsert by key; replay writes the same values again. Of several versions of a key in a batch the first in ``order``
+    (such as ``["ts DESC"]``) counts. With ``partition_by`` (following from the
     keys) a batch rewrites only the partitions it touches, without it the whole table."""
-    return _merge_sink(table, keys, partition_by, W.merge_upsert)
+    return _merge_sink(table, keys, partition_by, W.merge_upsert, order)
 
 
 def deduplicated(df: DataFrame, keys: Sequence[str], time_col: str, lateness: str) -> DataFrame:

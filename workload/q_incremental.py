@@ -34,11 +34,11 @@ def _readings(spark, d, db, parts=3):
     """The silver readings loaded in increments; each run reads only rows after the stored maximum."""
     raw = S.raw_measurements(spark, d)
     t = f"{db}.{C.MEASUREMENTS.name}"
-    for cut in (_DAY20, dt.datetime(2024, 1, 25, 12), dt.datetime(2024, 3, 1))[:parts]:
-        landed = raw.where(F.col("datetime") < F.lit(cut))
+    for cut in (_DAY20, dt.datetime(2024, 1, 25, 12), None)[:parts]:
+        landed = raw if cut is None else raw.where(F.col("datetime") < F.lit(cut))
         new = silver.measurements(I.increment_since(landed, I.watermark(spark, t, "datetime"), "datetime"), S.POLLUTANTS, S.FACTORS)
         if I.run_mode(spark, t, False) == "full":
-            W.write_range(new, t, C.MEASUREMENTS.parts, 2024, 2024, merge_schema=True)
+            W.write_range(new, t, C.MEASUREMENTS.parts, *I.span_of(new, "year"), merge_schema=True)
         else:
             W.merge_insert(new, t, C.MEASUREMENTS.keys)
     return t

@@ -30,7 +30,7 @@ def stream_upsert(spark, d):
     """File stream, one file per batch, into a keyed table."""
     t = f"{work_database(spark, 'upserts')}.t"
     s = period_keys(_stream(spark, d, 1), "ts").select("event_id", "user_id", "event_type", "value", "year", "month")
-    twins.start(s, work_path(spark, "ck"), twins.upsert_sink(t, ["event_id"], ["year", "month"])).awaitTermination()
+    twins.start(s, work_path(spark, "ck"), twins.upsert_sink(t, ["event_id"], ["value DESC"], ["year", "month"])).awaitTermination()
     return spark.table(t)
 
 
@@ -53,7 +53,7 @@ def stream_window(spark, d):
     s = twins.event_time(_stream(spark, d, 1), "ts", "7 days")
     w = s.groupBy(F.window("ts", "1 hour").alias("w"), "event_type").agg(exact_avg("value", 4).alias("mean_value"), F.count("*").alias("n"))
     w = w.select("event_type", F.unix_seconds("w.start").alias("start_s"), "mean_value", "n", F.to_date("w.start").alias("day"))
-    twins.start(w, work_path(spark, "ck"), twins.upsert_sink(t, ["event_type", "start_s"], ["day"]), mode="update").awaitTermination()
+    twins.start(w, work_path(spark, "ck"), twins.upsert_sink(t, ["event_type", "start_s"], ["n DESC"], ["day"]), mode="update").awaitTermination()
     return spark.table(t).drop("day")
 
 
@@ -63,7 +63,7 @@ def stream_tail(spark, d):
     from tidemart.functions.exact import exact_sum
     t = f"{work_database(spark, 'tails')}.t"
     daily = twins.daily_tail(_stream(spark, d, 2), "ts", ["user_id", "event_type"], [F.count("*").alias("n"), exact_sum("value", 4).alias("total")])
-    twins.start(daily, work_path(spark, "ck"), twins.upsert_sink(t, ["day", "user_id", "event_type"], ["day"]), mode="update").awaitTermination()
+    twins.start(daily, work_path(spark, "ck"), twins.upsert_sink(t, ["day", "user_id", "event_type"], ["n DESC"], ["day"]), mode="update").awaitTermination()
     return spark.table(t)
 
 

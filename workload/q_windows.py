@@ -100,6 +100,6 @@ def weather_export(spark, d):
     from tidemart.session import work_database
     sink = f"{work_database(spark, 'points')}.points"
     w = _weather(spark, d)
-    for cut in (dt.datetime(2024, 1, 12), dt.datetime(2024, 3, 1), dt.datetime(2024, 3, 1)):
-        export_points(w.where(F.col("datetime") < F.lit(cut)), sink, tags={"location": "city"})
+    for part in (w.where(F.col("datetime") < F.lit(dt.datetime(2024, 1, 12))), w, w):
+        export_points(part, sink, tags={"location": "city"})
     return spark.table(sink).select("measurement", "location", F.unix_seconds("time").alias("time_s"), "field", "value")
