@@ -17,7 +17,7 @@ _SPACED, _WORDS = re.compile(f"[{_WS}]*[^{_WS}]+|[{_WS}]+"), re.compile("[^ \t\n
 _ODD = re.compile("[\x1c-\x1f]")
 _CLOSED = re.compile("(.*[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff])([.,;:!?]+)", re.DOTALL)
 #: Distinct pieces, and their characters, that a task remembers before it starts anew.
-KEPT_PIECES, KEPT_CHARS = 500_000, 24 << 20
+KEPT_PIECES, KEPT_CHARS = 690_000, 24 << 20
 
 
 class Encoder:
@@ -66,7 +66,7 @@ class Encoder:
     def parts(self, piece: str) -> tuple[str, ...]:
         """What the piece is made of: a final stop or comma after a letter always stands apart, and a word vocabulary folds case."""
         whole = piece.lower() if not self.keeps_space and piece.isascii() else piece
-        m = _CLOSED.fullmatch(whole)
+        m = _CLOSED.fullmatch(whole) if whole[-1] in ".,;:!?" else None
         return (m[1], m[2]) if m else (whole,)
 
     def learn(self) -> None:
@@ -82,8 +82,8 @@ class Encoder:
         while n > len(self.start):
             self.start, self.length = (np.concatenate([x, np.empty_like(x)]) for x in (self.start, self.length))
         # a piece can stand in a joined text if it is cut off there as it would be in its own
-        joins = (lambda p: p[0] in " \n\t" and p[-1] not in self.blank) if self.keeps_space else (lambda p: "<|" not in p)
-        groups = [[p for p in plain if joins(p)], [p for p in plain if not joins(p)]]
+        joined = {p for p in plain if p[0] in " \n\t" and p[-1] not in self.blank} if self.keeps_space else {p for p in plain if "<|" not in p}
+        groups = [list(joined), [p for p in plain if p not in joined]]
         for how, pieces in zip((self.together, self.alone), groups):
             for k in range(0, len(pieces), 4096):
                 some = pieces[k:k + 4096]
