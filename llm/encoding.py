@@ -15,9 +15,19 @@ _WS = r" \t\n\r\x0b\x0c\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000
 #: Pieces of a text: white space with what follows it; or words between ASCII white space.
 _SPACED, _WORDS = re.compile(f"[{_WS}]*[^{_WS}]+|[{_WS}]+"), re.compile("[^ \t\n\r\x0b\x0c]+")
 _ODD = re.compile("[\x1c-\x1f]")
+#: A word of letters that every step before the merges leaves as it is and in one.
+_LETTERS = {True: re.compile(" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+"), False: re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")}
 _CLOSED = re.compile("(.*[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff])([.,;:!?]+)", re.DOTALL)
 #: Distinct pieces, and their characters, that a task remembers before it starts anew.
 KEPT_PIECES, KEPT_CHARS = 690_000, 24 << 20
+#: Pieces given to the library at once; few enough to stay in the processor's cache.
+AT_ONCE = 512
+
+
+def byte_letters() -> dict[int, str]:
+    """The letters that byte-level vocabularies write for bytes: printable ones stand for themselves, the others follow 255."""
+    itself = [b for b in range(256) if 33 <= b <= 126 or b >= 161 and b != 173]
+    return {b: chr(b) for b in itself} | {b: chr(256 + k) for k, b in enumerate(sorted(set(range(256)) - set(itself)))}
 
 
 class Encoder:
@@ -26,13 +36,20 @@ class Encoder:
     def __init__(self, path: str, keeps_space: bool):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import CharDelimiterSplit
 
         self.tokenizer, self.keeps_space = Tokenizer.from_file(path), keeps_space
+        # the same merges without the steps before them, for lines of words that those steps would not change
+        self.merges = Tokenizer.from_file(path)
+        self.merges.normalizer, self.merges.pre_tokenizer = None, CharDelimiterSplit("\n")
+        self.letters = byte_letters() | {10: "\n"}
         special = {k: t.content for k, t in self.tokenizer.get_added_tokens_decoder().items()}
         if keeps_space:  # a byte-level piece has one character for each byte
             self.width = np.array([len(special.get(k) or self.tokenizer.id_to_token(k)) for k in range(self.tokenizer.get_vocab_size())], np.int64)
         else:
             self.mark_id, self.mark = min(special.items())
+            self.closes = np.zeros(self.tokenizer.get_vocab_size(), bool)
+            self.closes[[k for piece, k in self.tokenizer.get_vocab().items() if piece.endswith("</w>")]] = True
         self.blank = frozenset(c for c in map(chr, range(0x3001)) if re.match(f"[{_WS}]", c))
         self.forget()
 
@@ -59,6 +76,16 @@ class Encoder:
             ids = ids[~between]
         return ids, np.diff(ends, prepend=0)
 
+    def words(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and counts of pieces that are words of letters: only the merges are left to do for them."""
+        lines = "\n".join(pieces).encode().decode("latin1").translate(self.letters)
+        ids = np.array(self.merges.encode_batch_fast([lines], add_special_tokens=False)[0].ids, np.int64)
+        if self.keeps_space:
+            ends = np.searchsorted(np.cumsum(self.width[ids]), np.cumsum([len(w) for w in lines.split("\n")])) + 1
+        else:
+            ends = np.flatnonzero(self.closes[ids]) + 1
+        return ids, np.diff(ends, prepend=0)
+
     def alone(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         got = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
         return np.fromiter(chain.from_iterable(got), np.int64), np.fromiter(map(len, got), np.int64, len(got))
@@ -71,27 +98,32 @@ class Encoder:
 
     def learn(self) -> None:
         """Encode what was met for the first time."""
-        fresh, made, plain = self.known.fresh, [], []
-        for piece in fresh:  # grows as parts are met that are new themselves
+        fresh, made, parts_of, words, joined, alone = self.known.fresh, [], [], [], [], []
+        first, is_word = len(self.known) - len(fresh), _LETTERS[self.keeps_space].fullmatch
+        for k, piece in enumerate(fresh, first):  # grows as parts are met that are new themselves
+            if is_word(piece):
+                words.append(k)
+                continue
             parts = self.parts(piece)
-            if parts == (piece,):
-                plain.append(piece)
+            if parts != (piece,):
+                made.append(k)
+                parts_of.append([self.known[p] for p in parts])
+            # a piece can stand in a joined text if it is cut off there as it would be in its own
+            elif piece[0] in " \n\t" and piece[-1] not in self.blank if self.keeps_space else "<|" not in piece:
+                joined.append(k)
             else:
-                made.append((self.known[piece], [self.known[p] for p in parts]))
+                alone.append(k)
         n = len(self.known)
         while n > len(self.start):
             self.start, self.length = (np.concatenate([x, np.empty_like(x)]) for x in (self.start, self.length))
-        # a piece can stand in a joined text if it is cut off there as it would be in its own
-        joined = {p for p in plain if p[0] in " \n\t" and p[-1] not in self.blank} if self.keeps_space else {p for p in plain if "<|" not in p}
-        groups = [list(joined), [p for p in plain if p not in joined]]
-        for how, pieces in zip((self.together, self.alone), groups):
-            for k in range(0, len(pieces), 4096):
-                some = pieces[k:k + 4096]
-                self.keep(np.array([self.known[p] for p in some]), *how(some))
+        for how, rows in ((self.words, words), (self.together, joined), (self.alone, alone)):
+            for at in range(0, len(rows), AT_ONCE):
+                some = rows[at:at + AT_ONCE]
+                self.keep(np.array(some), *how([fresh[k - first] for k in some]))
         if made:
-            sizes = np.array([len(parts) for _, parts in made])
-            ids, n = self.gather(np.array([p for _, parts in made for p in parts]))
-            self.keep(np.array([k for k, _ in made]), ids, np.add.reduceat(n, np.cumsum(sizes) - sizes))
+            sizes = np.array([len(parts) for parts in parts_of])
+            ids, n = self.gather(np.array([p for parts in parts_of for p in parts]))
+            self.keep(np.array(made), ids, np.add.reduceat(n, np.cumsum(sizes) - sizes))
         self.chars += sum(map(len, fresh))
         fresh.clear()
 
