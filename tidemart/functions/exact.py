@@ -1,34 +1,41 @@
 """Sums and means that do not depend on the order in which partitions arrive.
 
 A sum of doubles changes in its last bits with the merge order, and a later ``round`` can turn
-that into a visible difference between two runs (or after a lost executor). Amounts with a known
-number of decimals are therefore added as scaled longs: exact, faster than decimals, and still a
-plain hash aggregate with map-side combine."""
+that into a visible difference between two runs (or after a lost executor). Values are therefore
+added as two longs, whole units and billionths of a unit: exact to nine decimals, still a plain
+hash aggregate with map-side combine, and rounded once, at the end."""
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def scaled(c: str, digits: int) -> str:
-    """SQL text of ``c`` in units of 10^-digits as a long."""
-    return f"CAST(round(CAST({c} AS DOUBLE) * {10 ** digits}D) AS BIGINT)"
+def total(c: str, where: str = "TRUE") -> str:
+    """SQL text of the sum of ``c`` over the rows ``where`` holds, as a decimal of nine places; null for no values."""
+    x, only = f"CAST({c} AS DOUBLE)", f"FILTER (WHERE {where})"
+    whole = f"sum(CAST(floor({x}) AS BIGINT)) {only}"
+    rest = f"sum(CAST(round(({x} - floor({x})) * 1000000000D) AS BIGINT)) {only}"
+    return f"(CAST({whole} AS DECIMAL(19,0)) + CAST({rest} AS DECIMAL(19,0)) * 0.000000001BD)"
 
 
-def scaled_sum(c: str, digits: int) -> Column:
-    return F.expr(f"sum({scaled(c, digits)})")
+def decimal_sum(c: str) -> Column:
+    """The sum before it is rounded, a decimal of nine places."""
+    return F.expr(total(c))
 
 
 def exact_sum(c: str, digits: int = 2) -> Column:
-    """Sum of an expression with ``digits`` decimals; null for no values."""
-    return F.expr(f"CAST(sum({scaled(c, digits)}) AS DOUBLE) / {10 ** digits}D")
+    """Sum of an expression, rounded half up to ``digits`` decimals; null for no values."""
+    return F.expr(f"CAST(round({total(c)}, {digits}) AS DOUBLE)")
 
 
-def exact_avg(c: str, digits: int = 4, where: str = "TRUE") -> Column:
-    """Mean of an expression with ``digits`` decimals over the rows ``where`` holds, not rounded;
-    null for no values."""
-    only = f"FILTER (WHERE {where})"
-    return F.expr(f"try_divide(CAST(sum({scaled(c, digits)}) {only} AS DOUBLE), count({c}) {only} * {10 ** digits}D)")
+def exact_avg(c: str, where: str = "TRUE") -> Column:
+    """Mean of an expression over the rows ``where`` holds, not rounded; null for no values."""
+    return F.expr(f"try_divide(CAST(CAST({total(c, where)} * 1000000000BD AS DECIMAL(38,0)) AS DOUBLE) / 1000000000D, count({c}) FILTER (WHERE {where}))")
+
+
+def half_up_mean(num: str, den: str, digits: int) -> Column:
+    """``num / den`` of a decimal sum and a count (SQL text) rounded half up; null when ``den`` is 0 or null."""
+    return F.expr(f"CAST(round(try_divide({num}, CAST({den} AS DECIMAL(20,0))), {digits}) AS DOUBLE)")
 
 
 def half_up_ratio(num: str, den: str, digits: int) -> Column:

@@ -25,13 +25,13 @@ def additive(name: str, table: str, col: str, digits: int | None = None) -> Meas
     return Measure(name, table, lambda: F.sum(col) if digits is None else exact_sum(col, digits))
 
 
-def mean_of_means(name: str, table: str, col: str, digits: int = 4) -> Measure:
+def mean_of_means(name: str, table: str, col: str) -> Measure:
     """Unweighted mean of a stored daily mean."""
-    return Measure(name, table, lambda: exact_avg(col, digits))
+    return Measure(name, table, lambda: exact_avg(col))
 
 
-def filtered_mean(name: str, table: str, col: str, on: str, value: str, digits: int = 4) -> Measure:
-    return Measure(name, table, lambda: exact_avg(col, digits, f"{on} = '{value}'"))
+def filtered_mean(name: str, table: str, col: str, on: str, value: str) -> Measure:
+    return Measure(name, table, lambda: exact_avg(col, f"{on} = '{value}'"))
 
 
 def filtered_max(name: str, table: str, col: str, on: str, value: str) -> Measure:

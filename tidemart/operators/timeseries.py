@@ -26,15 +26,15 @@ def window_rollup(df: DataFrame, time_col: str, every: str, fields: Sequence[str
                   start=None, stop=None, by: Sequence[str] = (), digits: int = 4) -> DataFrame:
     """Tumbling windows aligned to the epoch: ``(time, field, value)``, ``time`` being the window
     end, cut at ``stop``. Windows without a value do not appear. The range ``[start, stop)`` is
-    filtered before windowing so it reaches the scan. Works on a stream as well."""
+    filtered before windowing so it reaches the scan. Sums are rounded to ``digits``, means are not. Works on a stream as well."""
     if start is not None:
         df = df.where(F.col(time_col) >= F.lit(start))
     if stop is not None:
         df = df.where(F.col(time_col) < F.lit(stop))
-    agg = {"mean": exact_avg, "sum": exact_sum}[fn]
+    agg = {"mean": exact_avg, "sum": lambda f: exact_sum(f, digits)}[fn]
     # wide aggregation first (one pass, one exchange), then the few result rows are turned
     rolled = df.groupBy(F.window(time_col, every).alias("w"), *by).agg(
-        *[agg(f, digits).alias(f) for f in fields])
+        *[agg(f).alias(f) for f in fields])
     end = F.col("w.end")
     if stop is not None:
         end = F.least(end, F.lit(stop).cast("timestamp"))

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.functions.dates import date_key
-from tidemart.functions.exact import half_up_ratio, scaled_sum
+from tidemart.functions.exact import decimal_sum, half_up_mean, half_up_ratio
 from tidemart.functions.units import convert_currency, in_units
 from tidemart.operators.joins import lookup
 from tidemart.operators.keys import date_attributes, date_spine, surrogate_key
@@ -49,16 +49,16 @@ def trip_fact(trips: DataFrame, fx: DataFrame, zone: DataFrame, quote: str = "eu
     keep null ``fx_key`` and EUR total."""
     seconds = "unix_seconds(dropoff_datetime) - unix_seconds(pickup_datetime)"
     daily = trips.groupBy(F.expr("to_date(pickup_datetime) AS day"), "pu_location_id").agg(
-        F.expr("count(*) AS trip_count"), scaled_sum("fare_amount", 2).alias("cents"), F.expr("count(fare_amount) AS fares"),
+        F.expr("count(*) AS trip_count"), decimal_sum("fare_amount").alias("fare"), F.expr("count(fare_amount) AS fares"),
         F.expr(f"sum({seconds}) AS seconds"), F.expr(f"count({seconds}) AS timed"),
-        scaled_sum("trip_distance", 4).alias("distance"), F.expr("count(trip_distance) AS measured"),
+        decimal_sum("trip_distance").alias("distance"), F.expr("count(trip_distance) AS measured"),
         F.expr("CAST(sum(passenger_count) AS BIGINT) AS total_passengers"))
     daily = daily.select(
         "day", "pu_location_id", "trip_count", "total_passengers", date_key("day").alias("date_key"),
-        F.expr("year(day) AS year"), F.expr("cents / 100D AS total_fare_usd"),
-        half_up_ratio("cents", "fares * 100", 4).alias("avg_fare_usd"),
+        F.expr("year(day) AS year"), F.expr("CAST(round(fare, 2) AS DOUBLE) AS total_fare_usd"),
+        half_up_mean("fare", "fares", 4).alias("avg_fare_usd"),
         half_up_ratio("seconds", "timed * 60", 4).alias("avg_trip_duration_min"),
-        half_up_ratio("distance", "measured * 10000", 4).alias("avg_trip_distance_mi"))
+        half_up_mean("distance", "measured", 4).alias("avg_trip_distance_mi"))
     daily = lookup(daily, fx, "day", "date", ["fx_key", "usd_eur_rate"])
     daily = lookup(daily, zone, "pu_location_id", "location_id", ["zone_key"])
     return (daily.withColumn("total_fare_eur", convert_currency("total_fare_usd", "usd_eur_rate", quote))
@@ -68,10 +68,10 @@ def trip_fact(trips: DataFrame, fx: DataFrame, zone: DataFrame, quote: str = "eu
 def air_fact(readings: DataFrame, stations: DataFrame) -> DataFrame:
     """Day × station × parameter, with the station's name, country and position."""
     daily = readings.groupBy(F.expr("to_date(datetime) AS day"), "location_id", "parameter").agg(
-        scaled_sum("value", 4).alias("total"), F.expr("round(max(value), 4) AS max_value"),
+        decimal_sum("value").alias("total"), F.expr("round(max(value), 4) AS max_value"),
         F.expr("round(min(value), 4) AS min_value"), F.expr("count(*) AS measurement_count"))
     daily = daily.select("*", date_key("day").alias("date_key"), F.expr("year(day) AS year"),
-                         half_up_ratio("total", "measurement_count * 10000", 4).alias("avg_value"))
+                         half_up_mean("total", "measurement_count", 4).alias("avg_value"))
     about = stations.selectExpr("location_id", "location_name AS city", "country_name AS country", "latitude", "longitude")
     daily = lookup(daily, about, "location_id", "location_id", ["city", "country", "latitude", "longitude"])
     return daily.select(C.AIR_FACT.schema.names)

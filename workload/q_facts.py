@@ -153,6 +153,15 @@ def role_semi_join(spark, d):
     return seen.groupBy("l_suppkey").agg(F.count("*").alias("lines"), exact_sum("l_extendedprice").alias("revenue"))
 
 
+@query("sums_long_fractions", f"""SELECT event_type, {S.fixed_sum('value / 7')} AS total, {S.fixed_avg('value / 7')} AS mean,
+{S.fixed_sum('value / 70000', 4)} AS tiny FROM events GROUP BY 1""")
+def sums_long_fractions(spark, d):
+    """Values with many decimals: rounded once, after they are added."""
+    from tidemart.functions.exact import exact_avg, exact_sum
+    return S.table(spark, d, "events").groupBy("event_type").agg(
+        exact_sum("value / 7").alias("total"), exact_avg("value / 7").alias("mean"), exact_sum("value / 70000", 4).alias("tiny"))
+
+
 @query("union_by_name", """SELECT o_orderkey AS id, o_custkey AS who, o_totalprice AS amount, NULL::VARCHAR AS kind FROM orders
 UNION ALL SELECT event_id, user_id, NULL, event_type FROM events""")
 def union_by_name(spark, d):

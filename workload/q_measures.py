@@ -50,7 +50,7 @@ def avg_of_avg(spark, d):
 
 
 def _pol(p):
-    return f"{S.fixed_avg('avg_value', 4, chr(39).join(['parameter = ', p, '']))} AS avg_{p}"
+    return f"{S.fixed_avg('avg_value', chr(39).join(['parameter = ', p, '']))} AS avg_{p}"
 
 
 _POL = ", ".join(_pol(p) for p in S.POLLUTANTS)
@@ -114,13 +114,13 @@ _PEARSON = """round((n * sxy - sx * sy) / nullif(sqrt((n * sxx - sx * sx) * (n *
 
 
 @query("pearson_daily", f"""WITH x AS (SELECT CAST(ts AS DATE) AS d, CAST(count(*) AS DOUBLE) AS x,
-  {S.fixed_avg('value', 4, "event_type = 'click'")} AS y FROM events GROUP BY 1),
+  {S.fixed_avg('value', "event_type = 'click'")} AS y FROM events GROUP BY 1),
 s AS (SELECT count(*)::DOUBLE AS n, sum(x) AS sx, sum(y) AS sy, sum(x*y) AS sxy, sum(x*x) AS sxx, sum(y*y) AS syy FROM x WHERE y IS NOT NULL)
 SELECT CAST(n AS BIGINT) AS days, {_PEARSON} AS r FROM s""")
 def pearson_daily(spark, d):
     from tidemart.functions.exact import exact_avg
     e = S.table(spark, d, "events").groupBy(F.to_date("ts").alias("day")).agg(
-        F.count("*").alias("x"), exact_avg("value", 4, "event_type = 'click'").alias("y"))
+        F.count("*").alias("x"), exact_avg("value", "event_type = 'click'").alias("y"))
     return e.agg(F.count("y").alias("days"), F.round(pearson("x", "y"), 9).alias("r"))
 
 
@@ -156,14 +156,14 @@ def top10_stations(spark, d):
 
 
 @query("monthly_combo", f"""WITH m AS (SELECT CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month,
-CAST(day(ts) AS INTEGER) AS day, count(*) AS events, {', '.join(f"{S.fixed_avg('value', 4, chr(39).join(['event_type = ', p, '']))} AS avg_{p}" for p in S.POLLUTANTS)}
+CAST(day(ts) AS INTEGER) AS day, count(*) AS events, {', '.join(f"{S.fixed_avg('value', chr(39).join(['event_type = ', p, '']))} AS avg_{p}" for p in S.POLLUTANTS)}
 FROM events GROUP BY ALL) SELECT * FROM m""")
 def monthly_combo(spark, d):
     from tidemart.functions.exact import exact_avg
     e = S.table(spark, d, "events")
     return e.groupBy(F.year("ts").alias("year"), F.month("ts").alias("month"), F.dayofmonth("ts").alias("day")).agg(
         F.count("*").alias("events"),
-        *[exact_avg("value", 4, f"event_type = '{p}'").alias(f"avg_{p}") for p in S.POLLUTANTS])
+        *[exact_avg("value", f"event_type = '{p}'").alias(f"avg_{p}") for p in S.POLLUTANTS])
 
 
 # ---- marts -----------------------------------------------------------------------------------

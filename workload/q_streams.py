@@ -51,7 +51,7 @@ def stream_window(spark, d):
     """Hourly means in update mode, upserted by window and type: the table ends as the batch result."""
     t = f"{work_database(spark, 'windows')}.t"
     s = twins.event_time(_stream(spark, d, 1), "ts", "7 days")
-    w = s.groupBy(F.window("ts", "1 hour").alias("w"), "event_type").agg(exact_avg("value", 4).alias("mean_value"), F.count("*").alias("n"))
+    w = s.groupBy(F.window("ts", "1 hour").alias("w"), "event_type").agg(exact_avg("value").alias("mean_value"), F.count("*").alias("n"))
     w = w.select("event_type", F.unix_seconds("w.start").alias("start_s"), "mean_value", "n", F.to_date("w.start").alias("day"))
     twins.start(w, work_path(spark, "ck"), twins.upsert_sink(t, ["event_type", "start_s"], ["n DESC"], ["day"]), mode="update").awaitTermination()
     return spark.table(t).drop("day")

@@ -165,10 +165,14 @@ def scan_or_first_run(spark, d):
     return tables.scan_or_empty(spark, t, o.schema).withColumn("origin", F.lit("stored"))
 
 
-@query("ingest_stamp")
+@query("ingest_stamp", "SELECT event_id, value, true AS not_before_start, true AS one_stamp FROM events")
 def ingest_stamp(spark, d):
-    """No check SQL: the stamp is the time of the run."""
-    return W.stamped(S.table(spark, d, "events").select("event_id", "value"))
+    """Every row has the stamp of its run: one instant, not before the start."""
+    start = spark.range(1).select(F.current_timestamp().alias("t")).first().t
+    stamped = W.stamped(S.table(spark, d, "events").select("event_id", "value"))
+    stamp = F.col("ingestion_timestamp")
+    return stamped.select("event_id", "value", F.coalesce(stamp >= F.lit(start), F.lit(False)).alias("not_before_start"),
+                          stamp.eqNullSafe(F.current_timestamp()).alias("one_stamp"))
 
 
 @query("dq_store", "SELECT 'orders' AS \"table\", 'o_orderkey not null' AS name, true AS passed, '0 nulls' AS observed FROM range(2)")

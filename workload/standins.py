@@ -176,17 +176,20 @@ def half_up(num: str, den: str, digits: int) -> str:
             f"AS DOUBLE) / CAST({ten} AS DOUBLE) END")
 
 
-def fixed(col: str, digits: int) -> str:
-    return f"sum(CAST(round({col} * {10 ** digits}) AS BIGINT))"
+def billionths(col: str, cond: str = "TRUE") -> str:
+    """SQL for the sum in units of 10^-9, a HUGEINT."""
+    x = f"CAST({col} AS DOUBLE)"
+    return (f"(sum(CAST(floor({x}) AS BIGINT)) FILTER (WHERE {cond}) * 1000000000 + "
+            f"sum(CAST(round(({x} - floor({x})) * 1000000000) AS BIGINT)) FILTER (WHERE {cond}))")
 
 
 def fixed_sum(col: str, digits: int = 2) -> str:
-    return f"CAST({fixed(col, digits)} AS DOUBLE) / CAST({10 ** digits} AS DOUBLE)"
+    return half_up(billionths(col), "1000000000", digits)
 
 
-def fixed_avg(col: str, digits: int = 4, cond: str = "TRUE") -> str:
-    return (f"CAST({fixed(col, digits)} FILTER (WHERE {cond}) AS DOUBLE) / "
-            f"(nullif(count({col}) FILTER (WHERE {cond}), 0) * CAST({10 ** digits} AS DOUBLE))")
+def fixed_avg(col: str, cond: str = "TRUE") -> str:
+    return (f"CAST({billionths(col, cond)} AS DOUBLE) / CAST(1000000000 AS DOUBLE) / "
+            f"nullif(count({col}) FILTER (WHERE {cond}), 0)")
 
 
 def date_key(d: str) -> str:
@@ -194,26 +197,26 @@ def date_key(d: str) -> str:
 
 
 V_TRIPFACT = ",\n".join([V_CLEAN, V_DIMFX, V_ZONE]) + f""", v_trip_day AS (
-  SELECT CAST(pickup AS DATE) AS day, pu_zone, count(*) AS n, {fixed('fare_amount', 2)} AS cents,
+  SELECT CAST(pickup AS DATE) AS day, pu_zone, count(*) AS n, {billionths('fare_amount')} AS fare,
          sum(epoch_us(dropoff) // 1000000 - epoch_us(pickup) // 1000000) AS secs,
-         {fixed('trip_distance', 4)} AS dist, sum(passenger_count) AS pass
+         {billionths('trip_distance')} AS dist, sum(passenger_count) AS pass
   FROM v_clean GROUP BY ALL), trip_fact AS (
   SELECT {date_key('day')} AS date_key, CAST(location_id AS INTEGER) AS zone_key, fx_key,
-         n AS trip_count, CAST(cents AS DOUBLE) / CAST(100 AS DOUBLE) AS total_fare_usd,
-         CAST(((2 * cents * CAST(round(rate * 100) AS BIGINT) + 100) // 200) AS DOUBLE) / CAST(100 AS DOUBLE)
+         n AS trip_count, {half_up('fare', '1000000000', 2)} AS total_fare_usd,
+         CAST(((2 * ((fare * 2 + 10000000) // 20000000) * CAST(round(rate * 100) AS BIGINT) + 100) // 200) AS DOUBLE) / CAST(100 AS DOUBLE)
            AS total_fare_eur,
-         {half_up('cents', '(n * 100)', 4)} AS avg_fare_usd,
+         {half_up('fare', '(n::HUGEINT * 1000000000)', 4)} AS avg_fare_usd,
          {half_up('secs', '(n * 60)', 4)} AS avg_trip_duration_min,
-         {half_up('dist', '(n * 10000)', 4)} AS avg_trip_distance_mi,
+         {half_up('dist', '(n::HUGEINT * 1000000000)', 4)} AS avg_trip_distance_mi,
          CAST(floor(pass) AS BIGINT) AS total_passengers, CAST(year(day) AS INTEGER) AS year
   FROM v_trip_day LEFT JOIN v_dimfx ON day = d
   LEFT JOIN v_zone ON pu_zone = location_id)"""
 V_AIRFACT = ",\n".join([V_MCLEAN, V_STATION]) + f""", v_air_day AS (
-  SELECT CAST(ts AS DATE) AS day, location_id, parameter, count(*) AS n, {fixed('value', 4)} AS total,
+  SELECT CAST(ts AS DATE) AS day, location_id, parameter, count(*) AS n, {billionths('value')} AS total,
          round(max(value), 4) AS max_value, round(min(value), 4) AS min_value
   FROM v_mclean GROUP BY ALL), air_fact AS (
   SELECT {date_key('day')} AS date_key, location_id, location_name AS city, country_name AS country, latitude,
-         longitude, parameter, {half_up('total', '(n * 10000)', 4)} AS avg_value, max_value, min_value,
+         longitude, parameter, {half_up('total', '(n::HUGEINT * 1000000000)', 4)} AS avg_value, max_value, min_value,
          n AS measurement_count, CAST(year(day) AS INTEGER) AS year
   FROM v_air_day LEFT JOIN v_station USING (location_id))"""
 TRIP_COLS = ("date_key, zone_key, fx_key, trip_count, total_fare_usd, total_fare_eur, avg_fare_usd, "
