@@ -1,8 +1,9 @@
 """Token ids of whole texts, with each different stretch of characters encoded once a task.
 
 A text is cut only where the tokenizer's own pre-tokenizer always cuts: before runs of white space (byte-level
-vocabularies) or between white space (word vocabularies, which drop it). The library encodes each different
-piece once, and numpy puts the ids of a batch together; the ids equal those of the whole text."""
+vocabularies) or between white space (word vocabularies, which drop it), and before a stop that ends a word. Numpy finds the cuts in
+the bytes of a batch and Arrow its different pieces; the library encodes each of them once a task, and numpy puts the ids of the
+batch together; they equal those of the whole texts."""
 from __future__ import annotations
 
 import os
@@ -10,11 +11,12 @@ import re
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 _WS = r" \t\n\r\x0b\x0c\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-#: Pieces of a text: white space with what follows it; or words between ASCII white space.
-_SPACED, _WORDS = re.compile(f"[{_WS}]*[^{_WS}]+|[{_WS}]+"), re.compile("[^ \t\n\r\x0b\x0c]+")
-_ODD = re.compile("[\x1c-\x1f]")
+#: Bytes that are white space, stops that end a word, and letters.
+_BLANK, _STOP, _LETTER = (np.isin(np.arange(256), list(x)) for x in (b" \t\n\r\x0b\x0c", b".,;:!?", b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"))
 #: A word of letters that every step before the merges leaves as it is and in one.
 _LETTERS = {True: re.compile(" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+"), False: re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")}
 _CLOSED = re.compile("(.*[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff])([.,;:!?]+)", re.DOTALL)
@@ -58,10 +60,44 @@ class Encoder:
         self.ids, self.used, self.chars = np.empty(1 << 20, np.uint32), 0, 0
         self.start, self.length = np.empty(1 << 16, np.int64), np.empty(1 << 16, np.int64)
 
-    def pieces(self, text: str) -> list[str]:
+    def cut(self, texts: pa.LargeStringArray) -> tuple[pa.LargeStringArray, np.ndarray]:
+        """All pieces one after another, and how many each text has."""
+        bounds = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+        if bounds[0] == bounds[-1]:
+            return pa.array([], pa.large_string()), np.zeros(len(texts), np.int64)
+        data, bounds = np.frombuffer(texts.buffers()[2], np.uint8)[bounds[0]:bounds[-1]], bounds - bounds[0]
+        some = np.diff(bounds) > 0
+        blank = _BLANK[data]
+        # a text starts and ends as if white space stood beside it
+        before, after = np.empty_like(blank), np.empty_like(blank)
+        before[1:], after[:-1] = blank[:-1], blank[1:]
+        before[bounds[:-1][some]] = after[bounds[1:][some] - 1] = True
+        stop = np.flatnonzero(_STOP[data] & after & ~before)
+        last = data[stop - 1]
+        latin = (last >= 0x80) & (data[stop - 2] == 0xC3) & (last != 0x97) & (last != 0xB7)  # A0-FF but for the two signs
         if self.keeps_space:
-            return _SPACED.findall(text)
-        return text.split() if text.isascii() and not _ODD.search(text) else _WORDS.findall(text)
+            begin = blank & ~before
+            wide = np.flatnonzero(begin)
+            wide = wide[data[wide - 1] >= 0x80]  # a run goes on after white space of more than one byte
+            begin[wide[self.ends_blank(data, wide)]] = False
+            begin[bounds[:-1][some]] = True
+            line = np.flatnonzero((data == 10) & begin & ~after)  # one line break is not drawn to the word after it
+            begin[line[data[line + 1] < 0x80] + 1] = True
+        else:
+            begin = before & ~blank
+        begin[stop[_LETTER[last] | latin]] = True
+        at = np.flatnonzero(begin)
+        counts = np.diff(np.searchsorted(at, bounds))
+        if not self.keeps_space:
+            at, data = np.cumsum(~blank)[at] - 1, data[~blank]
+        return pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(np.append(at, len(data)).astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))), counts
+
+    def ends_blank(self, data: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Whether the character before each place is white space of two or three bytes."""
+        two = np.where(at > 1, data[at - 2], 0).astype(np.int64) << 8 | data[at - 1]
+        three = np.where(at > 2, data[at - 3], 0).astype(np.int64) << 16 | two
+        wide = [c.encode() for c in self.blank if ord(c) > 127]
+        return np.isin(two, [int.from_bytes(c) for c in wide if len(c) == 2]) | np.isin(three, [int.from_bytes(c) for c in wide if len(c) == 3])
 
     def together(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids and counts of pieces, encoded as one text. Byte-level ids spell their text, so lengths in bytes tell the
@@ -92,9 +128,12 @@ class Encoder:
 
     def parts(self, piece: str) -> tuple[str, ...]:
         """What the piece is made of: a final stop or comma after a letter always stands apart, and a word vocabulary folds case."""
-        whole = piece.lower() if not self.keeps_space and piece.isascii() else piece
-        m = _CLOSED.fullmatch(whole) if whole[-1] in ".,;:!?" else None
-        return (m[1], m[2]) if m else (whole,)
+        m = _CLOSED.fullmatch(piece) if piece[-1] in ".,;:!?" else None
+        return (self.folded(m[1]), m[2]) if m else (self.folded(piece),)
+
+    def folded(self, piece: str) -> str:
+        folds = not self.keeps_space and (piece.isascii() and "<|" not in piece or _LETTERS[True].fullmatch(piece))
+        return piece.lower() if folds else piece
 
     def learn(self) -> None:
         """Encode what was met for the first time."""
@@ -141,13 +180,15 @@ class Encoder:
         total = int(ends[-1]) if len(ends) else 0
         return self.ids[np.repeat(self.start[rows] - ends + n, n) + np.arange(total)], n
 
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: list[str | None] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, and how many each text has. A null text has none."""
         if len(self.known) > KEPT_PIECES or self.chars > KEPT_CHARS:
             self.forget()
-        cut = [self.pieces(t) if t else [] for t in texts]
-        sizes = np.fromiter(map(len, cut), np.int64, len(cut))
-        rows = np.fromiter(map(self.known.__getitem__, chain.from_iterable(cut)), np.int64, int(sizes.sum()))
+        texts = texts.cast(pa.large_string()) if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())
+        pieces, sizes = self.cut(texts.fill_null(""))
+        coded = pieces.dictionary_encode()
+        different = coded.dictionary.to_pylist()
+        rows = np.fromiter(map(self.known.__getitem__, different), np.int64, len(different))[coded.indices.to_numpy()]
         self.learn()
         ids, n = self.gather(rows)
         ends = np.concatenate([[0], np.cumsum(n)])
@@ -178,9 +219,9 @@ def encoder(path: str, keeps_space: bool) -> Encoder:
 
 
 def batches(it, text_col: str, limit: int = 1 << 20):
-    """Record batches cut into slices of about ``limit`` characters, one row at least."""
+    """Record batches cut into slices of about ``limit`` bytes of text, one row at least."""
     for batch in it:
-        sizes = np.array([len(x) if x is not None else 0 for x in batch.column(text_col).to_pylist()], np.int64)
+        sizes = pc.fill_null(pc.binary_length(batch.column(text_col)), 0).to_pylist()
         at, total = 0, 0
         for k, size in enumerate(sizes):
             if k > at and total + size > limit:

@@ -108,7 +108,7 @@ def pack(docs: DataFrame, path: str, end_id: int, keeps_space: bool = False, id_
         enc, stops, part = encoder(path, keeps_space), sentence_stops(path, keeps_space, end_id), TaskContext.get().partitionId()
         sequence, held, flats, doc_ids, sizes = 0, 0, [], [], []
         for batch in batches(it, "text", 2 << 20):
-            flat, n = enc.encode(batch.column("text").to_pylist())
+            flat, n = enc.encode(batch.column("text"))
             flats.append(np.insert(flat, np.cumsum(n), end_id).astype("<u4"))
             doc_ids += batch.column("doc_id").to_pylist()
             sizes.append(n + 1)

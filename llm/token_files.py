@@ -50,7 +50,7 @@ def tokens(docs: DataFrame, path: str, keeps_space: bool, end_id: int, id_col: s
             return pa.RecordBatch.from_pylist([{"part": part, "block": block, "first": first, "doc_ids": docs_, "sizes": sizes,
                                                 "ids": np.concatenate(ids).astype("<u4").tobytes()}], schema)
         for batch in batches(it, "text", 2 << 20):
-            flat, n = enc.encode(batch.column("text").to_pylist())
+            flat, n = enc.encode(batch.column("text"))
             at = 0
             for doc, k in zip(batch.column("doc_id").to_pylist(), n.tolist()):
                 ids += [flat[at:at + k], np.array([end_id], np.uint32)]

@@ -172,3 +172,14 @@ def test_file(spark, docs):
     empty = token_files.tokens(docs.limit(0), vocabulary("byte_bpe_50k.json"), True, 0)
     file, lengths = token_files.write(empty, token_files.learn_code(empty))
     assert token_files.read(file, lengths).count() == 0
+
+
+def test_odd_pieces_side_by_side():
+    """Marks, wide and doubled white space, special tokens and foreign letters in any order."""
+    rng, some = random.Random(5), ["a", "B", "é", "É", "×", "ß", "İ", " ", "  ", "\n", "\t", "\xa0", " ", "　", "\x85", "\x1c", "\r", ".", ",", "!", ";", "'s", "'", "中", "़",
+                                   "<|", "<|endoftext|>", "<PAD>", "1", "23", "-", "…", "the", "Word", "ÅÖ", "\U0001f600", "​", "ﬁ", "_"]
+    texts = ["".join(rng.choice(some) for _ in range(rng.randint(0, 14))) for _ in range(5000)]
+    for enc in (WORD, BYTE):
+        ids, n = enc.encode(texts)
+        want = [e.ids for e in enc.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        assert n.tolist() == [len(w) for w in want] and ids.tolist() == [k for w in want for k in w]
