@@ -218,6 +218,12 @@ def encoder(path: str, keeps_space: bool) -> Encoder:
     return _ENCODERS[path, keeps_space]
 
 
+def release() -> None:
+    """Drop the encoders that a worker keeps from task to task. Workers serve every stage of a session, so tasks of
+    other operators call this before they fill memory of their own; the next encoding task begins anew."""
+    _ENCODERS.clear()
+
+
 def batches(it, text_col: str, limit: int = 1 << 20):
     """Record batches cut into slices of about ``limit`` bytes of text, one row at least."""
     for batch in it:

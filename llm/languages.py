@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from llm.encoding import batches
+from llm.encoding import batches, release
 
 #: Labelled documents a language; hash buckets of trigrams; words in a unit; EM rounds.
 SAMPLE, BUCKETS, UNIT, ROUNDS = 4000, 1 << 16, 4, 12
@@ -119,6 +119,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     chosen = labelled.join(F.broadcast(ids), "id")  # at most ``sample`` ids a language
 
     def count(it):
+        release()
         total: dict[str, np.ndarray] = {}
         for batch in it:
             for part in batches([batch], "text"):
@@ -142,6 +143,7 @@ def predict(docs: DataFrame, langs: list[str], logs: np.ndarray, id_col: str = "
     shared = docs.sparkSession.sparkContext.broadcast((langs, logs))  # BUCKETS x languages floats
 
     def run(it):
+        release()
         names, table = shared.value
         for batch in batches(it, "text"):
             share = mixtures(batch.column("text").to_pylist(), table)
@@ -159,6 +161,7 @@ def accepted(docs: DataFrame, langs: list[str], logs: np.ndarray, text_col: str
     shared = docs.sparkSession.sparkContext.broadcast(logs)
 
     def run(it):
+        release()
         for batch in batches(it, text_col):
             yield batch.filter(pa.array(mixtures(batch.column(text_col).to_pylist(), shared.value).any(1)))
     return docs.mapInArrow(run, docs.schema)

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from llm.common import stored
-from llm.encoding import batches
+from llm.encoding import batches, release
 
 WORDS, COLLECTION, HALF = 5, 12, 3
 HASHES = 2 * COLLECTION * HALF
@@ -125,6 +125,7 @@ def named(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def describe(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """doc, text_key, n, id (the digest of the set), low (the low byte of each minhash), a and b (the half keys)."""
     def run(it):
+        release()
         for batch in it:
             for part in batches([batch], "text"):
                 sets = shingle_sets(part.column("text").to_pylist())
@@ -245,6 +246,7 @@ def near_duplicates(docs: DataFrame, similarity: int = 85, id_col: str = "doc_id
     wanted = stored(reps.join(tables.select("id").distinct(), "id").select("id", "doc"), "dedup-wanted")
 
     def as_sets(it):
+        release()
         for batch in it:
             for part in batches([batch], "text"):
                 sets = shingle_sets(part.column("text").to_pylist())
