@@ -4,7 +4,7 @@ A page is read into a tree of block elements and text slots. Repeated neighbours
 trees of a host are then aligned one after another, children against children, and what only one side has becomes optional.
 The result is a union-free expression: elements, text slots, optional and repeated groups, no alternatives. Each text slot of the
 wrapper is judged once for the host, by where it stands, the names on its way and, outside an article, by how its texts vary and link; a page's text is what fills
-the slots that were kept.
+the slots that were kept: those inside an article or main on a page that fills one of them, the others on any other page.
 
 Pages of a host are first reduced to different folded trees, so a host with a third of all pages costs few alignments; trees of one host are aligned in several
 tasks and the results once more. Slot statistics are sums.
@@ -184,8 +184,9 @@ def slot_paths(node: list, at: tuple = ()) -> list[str]:
     return list(dict.fromkeys([*own, *(p for c in node[2] if c[0] != "#" for p in slot_paths(c, here))]))
 
 
-def kept_slots(paths: list[str], stats: dict[str, tuple[int, int, int, int]]) -> list[str]:
-    """``stats``: pages, different texts, characters and characters in links of each slot's texts."""
+def kept_slots(paths: list[str], stats: dict[str, tuple[int, int, int, int]]) -> tuple[list[str], list[str]]:
+    """Slots inside an article or main, for pages that fill one of them, and slots for all other pages.
+    ``stats``: pages, different texts, characters and characters in links of each slot's texts."""
     def named_outside(path: str) -> bool:
         for part in path.split("/"):
             name, *words = part.split(".")
@@ -194,13 +195,11 @@ def kept_slots(paths: list[str], stats: dict[str, tuple[int, int, int, int]]) ->
         return False
     open_ = [p for p in paths if not named_outside(p)]
     inside = [p for p in open_ if WITHIN & {x.split(".")[0] for x in p.split("/")}]
-    if inside:
-        return inside
 
     def varies(path: str) -> bool:
         pages, texts, chars, links = stats.get(path, (0, 0, 0, 0))
         return links * 2 <= chars and not (pages >= 5 and texts * 10 <= pages)
-    return [p for p in open_ if varies(p)]
+    return inside, [p for p in open_ if p not in inside and varies(p)]
 
 
 def survey(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
@@ -245,19 +244,21 @@ def infer(seen: DataFrame) -> DataFrame:
 
 
 def decide(wrappers: DataFrame, seen: DataFrame) -> DataFrame:
-    """(host, wrapper, keep): the paths of the slots to keep."""
+    """(host, wrapper, keep, other): the paths of the slots to keep, on pages that fill one inside an article or main and on others."""
     slots = seen.select("host", F.explode("slots").alias("s")).groupBy("host", "s.path").agg(
         F.count(F.lit(1)).alias("pages"), F.approx_count_distinct("s.text").alias("texts"), F.sum("s.chars").alias("chars"), F.sum("s.links").alias("links"))
     stats = slots.groupBy("host").agg(F.collect_list(F.struct("path", "pages", "texts", "chars", "links")).alias("stats"))
 
     def run(it):
         for batch in it:
-            keep = []
+            keep, other = [], []
             for wrapper, rows in zip(batch.column("wrapper").to_pylist(), batch.column("stats").to_pylist()):
                 known = {r["path"]: (r["pages"], r["texts"], r["chars"], r["links"]) for r in rows or []}
-                keep.append(kept_slots(slot_paths(["", "1", json.loads(wrapper)]), known))
-            yield pa.RecordBatch.from_arrays([batch.column("host"), batch.column("wrapper"), pa.array(keep, pa.list_(pa.string()))], ["host", "wrapper", "keep"])
-    return stored(wrappers.join(stats, "host", "left").mapInArrow(run, "host string, wrapper string, keep array<string>"), "wrappers")
+                for to, paths in zip((keep, other), kept_slots(slot_paths(["", "1", json.loads(wrapper)]), known)):
+                    to.append(paths)
+            kind = pa.list_(pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column("host"), batch.column("wrapper"), pa.array(keep, kind), pa.array(other, kind)], ["host", "wrapper", "keep", "other"])
+    return stored(wrappers.join(stats, "host", "left").mapInArrow(run, "host string, wrapper string, keep array<string>, other array<string>"), "wrappers")
 
 
 def wrappers_of(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -267,16 +268,16 @@ def wrappers_of(pages: DataFrame, url_col: str = "url", html_col: str = "html")
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Columns: the id, url, text, n_chars."""
-    kept = small(wrappers_of(pages, url_col, html_col).select("host", "keep"), "octet_length(host) + 64 * size(keep) + octet_length(array_join(keep, ''))")
+    kept = small(wrappers_of(pages, url_col, html_col).select("host", "keep", "other"), "octet_length(host) + 64 * size(keep) + octet_length(array_join(keep, '')) + 64 * size(other) + octet_length(array_join(other, ''))")
 
     def run(it):
         for batch in it:
             for part in batches([batch], "html"):
                 texts = []
-                for source, keep in zip(part.column("html").to_pylist(), part.column("keep").to_pylist()):
-                    keep = set(keep or ())
-                    texts.append(" ".join(text for path, text, _ in Page(source or "").blocks if path in keep))
+                for source, keep, other in zip(*(part.column(c).to_pylist() for c in ("html", "keep", "other"))):
+                    blocks, keep, other = Page(source or "").blocks, set(keep or ()), set(other or ())
+                    texts.append(" ".join([text for path, text, _ in blocks if path in keep] or [text for path, text, _ in blocks if path in other]))
                 yield pa.RecordBatch.from_arrays([part.column("id"), part.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], [id_col, "url", "text", "n_chars"])
     kind = pages.schema[id_col].dataType.simpleString()
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), host_of(F.col(url_col)).alias("host"))
-    return rows.join(kept, "host", "left").select("id", "url", "html", "keep").mapInArrow(run, f"`{id_col}` {kind}, url string, text string, n_chars long")
+    return rows.join(kept, "host", "left").select("id", "url", "html", "keep", "other").mapInArrow(run, f"`{id_col}` {kind}, url string, text string, n_chars long")

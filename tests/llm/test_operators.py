@@ -185,6 +185,18 @@ def test_pages(spark):
     assert wrappers.main_text(pages.limit(0)).count() == 0
 
 
+def texts_of(spark, rows):
+    pages = spark.createDataFrame([(i, u, h) for i, (u, h) in enumerate(rows)], "page_id long, url string, html string")
+    return {r.page_id: r.text for r in wrappers.main_text(pages).collect()}
+
+
+def test_pages_of_two_templates(spark):
+    old = [("http://h.org/", f"<div class=body><p>old {i} text</p></div>") for i in range(3)]
+    new = [("http://h.org/", f"<article><p>new {i} text</p></article>") for i in range(3)]
+    assert texts_of(spark, old + new) == {**{i: f"old {i} text" for i in range(3)}, **{3 + i: f"new {i} text" for i in range(3)}}
+    assert texts_of(spark, [(None, "<main><p>a</p></main>"), ("no scheme", "<p>b</p>"), (None, "<div>c</div>")]) == {0: "a", 1: "b", 2: "c"}
+
+
 def test_fold_and_align():
     leaf = lambda *names: [[n, "1", []] for n in names]
     assert wrappers.expression(["", "1", wrappers.fold(leaf("a", "b", "a", "b", "c", "c"))]) == "(<a></> <b></>)+ (<c></>)+"
