@@ -7,13 +7,14 @@ wrapper is judged once for the host, by where it stands, the names on its way an
 the slots that were kept: those inside an article or main on a page that fills one of them, the others on any other page.
 
 Pages of a host are first reduced to different folded trees, so a host with a third of all pages costs few alignments; trees of one host are aligned in several
-tasks and the results once more. Slot statistics are sums.
+tasks and the results once more. Slot statistics are exact counts over the different pages of a host, so copies of a page count once.
 
 Defined cases: a null html is empty; a null url has the empty host; a page without kept slots has an empty text; repeated and null ids are rows of their
 own; unclosed and misplaced tags end where the next fitting element ends; an empty table gives no rows; other columns are ignored.
 """
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import json
 import re
@@ -30,6 +31,8 @@ from llm.encoding import batches
 from llm.urls import host_of
 
 SALTS = 16
+#: A slot is fixed text if two different pages that fill it hold the same text in one of FIXED cases or more.
+FIXED = 4
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|template|noscript|svg|math|iframe|object|canvas|select|textarea|button)\b(?:\"[^\"]*\"|'[^']*'|[^>\"'])*>.*?(?:</\1\s*>|\Z)"
                     r"|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>|[^<]+|<", re.DOTALL | re.IGNORECASE)
@@ -186,7 +189,7 @@ def slot_paths(node: list, at: tuple = ()) -> list[str]:
 
 def kept_slots(paths: list[str], stats: dict[str, tuple[int, int, int, int]]) -> tuple[list[str], list[str]]:
     """Slots inside an article or main, for pages that fill one of them, and slots for all other pages.
-    ``stats``: pages, different texts, characters and characters in links of each slot's texts."""
+    ``stats``, over different pages: pages, ordered pairs of pages with the same text, characters and characters in links of each slot's texts."""
     def named_outside(path: str) -> bool:
         for part in path.split("/"):
             name, *words = part.split(".")
@@ -197,8 +200,8 @@ def kept_slots(paths: list[str], stats: dict[str, tuple[int, int, int, int]]) ->
     inside = [p for p in open_ if WITHIN & {x.split(".")[0] for x in p.split("/")}]
 
     def varies(path: str) -> bool:
-        pages, texts, chars, links = stats.get(path, (0, 0, 0, 0))
-        return links * 2 <= chars and not (pages >= 5 and texts * 10 <= pages)
+        pages, same, chars, links = stats.get(path, (0, 0, 0, 0))
+        return links * 2 <= chars and not (pages > 1 and same * FIXED >= pages * (pages - 1))
     return inside, [p for p in open_ if p not in inside and varies(p)]
 
 
@@ -226,9 +229,7 @@ def survey(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
 
 
 def hash_text(text: str) -> int:
-    import zlib
-
-    return zlib.crc32(text.encode("utf-8", "surrogatepass"))
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big")
 
 
 def infer(seen: DataFrame) -> DataFrame:
@@ -245,15 +246,17 @@ def infer(seen: DataFrame) -> DataFrame:
 
 def decide(wrappers: DataFrame, seen: DataFrame) -> DataFrame:
     """(host, wrapper, keep, other): the paths of the slots to keep, on pages that fill one inside an article or main and on others."""
-    slots = seen.select("host", F.explode("slots").alias("s")).groupBy("host", "s.path").agg(
-        F.count(F.lit(1)).alias("pages"), F.approx_count_distinct("s.text").alias("texts"), F.sum("s.chars").alias("chars"), F.sum("s.links").alias("links"))
-    stats = slots.groupBy("host").agg(F.collect_list(F.struct("path", "pages", "texts", "chars", "links")).alias("stats"))
+    different = seen.select("host", "slots", F.md5(F.to_json("slots")).alias("page")).dropDuplicates(["host", "page"])
+    texts = different.select("host", F.explode("slots").alias("s")).groupBy("host", "s.path", "s.text").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("s.chars").alias("chars"), F.sum("s.links").alias("links"))
+    slots = texts.groupBy("host", "path").agg(F.sum("n").alias("pages"), F.sum(F.col("n") * (F.col("n") - 1)).alias("same"), F.sum("chars").alias("chars"), F.sum("links").alias("links"))
+    stats = slots.groupBy("host").agg(F.collect_list(F.struct("path", "pages", "same", "chars", "links")).alias("stats"))
 
     def run(it):
         for batch in it:
             keep, other = [], []
             for wrapper, rows in zip(batch.column("wrapper").to_pylist(), batch.column("stats").to_pylist()):
-                known = {r["path"]: (r["pages"], r["texts"], r["chars"], r["links"]) for r in rows or []}
+                known = {r["path"]: (r["pages"], r["same"], r["chars"], r["links"]) for r in rows or []}
                 for to, paths in zip((keep, other), kept_slots(slot_paths(["", "1", json.loads(wrapper)]), known)):
                     to.append(paths)
             kind = pa.list_(pa.string())

@@ -197,6 +197,15 @@ def test_pages_of_two_templates(spark):
     assert texts_of(spark, [(None, "<main><p>a</p></main>"), ("no scheme", "<p>b</p>"), (None, "<div>c</div>")]) == {0: "a", 1: "b", 2: "c"}
 
 
+def test_copied_pages_keep_their_text(spark):
+    """The same pages once or many times, on hosts of 1 and 3 different pages; text that all pages share goes at every size."""
+    body = lambda h, i: f"<div class=top>Site {h}</div><div class=body><p>text {h} {i}</p></div>"
+    rows = [(f"http://h{n}.org/", body(n, 0)) for n in (1, 4, 20) for _ in range(n)] + [("http://k.org/", body("k", i)) for i in range(3) for _ in range(15)] + [("http://l.org/", body("l", i)) for i in range(2)]
+    got = texts_of(spark, rows)
+    assert {got[k] for k in range(25)} == {f"Site {n} text {n} 0" for n in (1, 4, 20)}
+    assert [got[25 + k] for k in range(45)] == [f"text k {k // 15}" for k in range(45)] and [got[70], got[71]] == ["text l 0", "text l 1"]
+
+
 def test_fold_and_align():
     leaf = lambda *names: [[n, "1", []] for n in names]
     assert wrappers.expression(["", "1", wrappers.fold(leaf("a", "b", "a", "b", "c", "c"))]) == "(<a></> <b></>)+ (<c></>)+"
