@@ -2,9 +2,10 @@
 
 A page is read into a tree of block elements and text slots. Repeated neighbours, single or in groups, are folded into repeated groups; the
 trees of a host are then aligned one after another, children against children, and what only one side has becomes optional.
-The result is a union-free expression: elements, text slots, optional and repeated groups, no alternatives. Each text slot of the
-wrapper is judged once for the host, by where it stands, the names on its way and, outside an article, by how its texts vary and link; a page's text is what fills
-the slots that were kept: those inside an article or main on a page that fills one of them, the others on any other page.
+The result is a union-free expression: elements, text slots, optional and repeated groups, no alternatives. Each page's tree is then placed in
+its host's wrapper, which gives every block of text the slot it fills. Blocks below elements of OUTSIDE or with words of OUTSIDE_WORDS never count as text: these rules come
+before the wrapper. On a page with blocks inside an article or main, these are the text. On any other page the text is what varies: slots of links go, and in each slot the
+texts that a share of the different pages have in common (fixed text of the template) go, be it one of several paragraphs of a repeated slot.
 
 Pages of a host are first reduced to different folded trees, so a host with a third of all pages costs few alignments; trees of one host are aligned in several
 tasks and the results once more. Slot statistics are exact counts over the different pages of a host, so copies of a page count once.
@@ -14,7 +15,6 @@ own; unclosed and misplaced tags end where the next fitting element ends; an emp
 """
 from __future__ import annotations
 
-import hashlib
 import html as entities
 import json
 import re
@@ -31,7 +31,7 @@ from llm.encoding import batches
 from llm.urls import host_of
 
 SALTS = 16
-#: A slot is fixed text if two different pages that fill it hold the same text in one of FIXED cases or more.
+#: A text is fixed in a slot if at least one in FIXED of the other different pages that fill the slot have it too.
 FIXED = 4
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|template|noscript|svg|math|iframe|object|canvas|select|textarea|button)\b(?:\"[^\"]*\"|'[^']*'|[^>\"'])*>.*?(?:</\1\s*>|\Z)"
@@ -54,7 +54,7 @@ class Page:
     """Blocks (path, text, characters in links) and the tree of a page."""
 
     def __init__(self, source: str):
-        self.blocks: list[tuple[str, str, int]] = []
+        self.blocks: list[tuple[str, str, int]] = []  # in the tree, a slot's fourth entry has the numbers of its blocks
         root = ["", "1", []]
         stack = [root]
         self.tree, self._text, self._links = root, [], 0
@@ -96,7 +96,7 @@ class Page:
         text = " ".join(entities.unescape("".join(self._text)).split()) if self._text else ""
         if text:
             self.blocks.append(("/".join(n[0] for n in stack[1:]), text, self._links))
-            stack[-1][2].append(["#", "1", []])
+            stack[-1][2].append(["#", "1", [], [len(self.blocks) - 1]])
         self._text, self._links = [], 0
 
 
@@ -122,7 +122,7 @@ def fold(children: list) -> list:
                 unit = [merge(a, b) for a, b in zip(unit, children[j:j + size])]
                 j += size
             if j > k + size:
-                out.append([unit[0][0], _many(unit[0][1]), unit[0][2]] if size == 1 else ["(" + ",".join(names) + ")", "+", unit])
+                out.append([unit[0][0], _many(unit[0][1]), *unit[0][2:]] if size == 1 else ["(" + ",".join(names) + ")", "+", unit])
                 k = j
             else:
                 out.append(children[k])
@@ -143,7 +143,9 @@ def _maybe(mult: str) -> str:
 def merge(a: list, b: list) -> list:
     """The narrowest node that covers both; they have one label."""
     mult = "*" if {a[1], b[1]} & {"*"} or {a[1], b[1]} == {"+", "?"} else "+" if "+" in (a[1], b[1]) else "?" if "?" in (a[1], b[1]) else "1"
-    return [a[0], mult, align(a[2], b[2])]
+    for more in a[3:]:
+        more.extend(b[3])
+    return [a[0], mult, align(a[2], b[2]), *a[3:]]
 
 
 def align(xs: list, ys: list) -> list:
@@ -160,10 +162,10 @@ def align(xs: list, ys: list) -> list:
             out.append(merge(xs[i], ys[j]))
             i, j = i + 1, j + 1
         elif j == len(ys) or i < len(xs) and best[i + 1, j] >= best[i, j + 1]:
-            out.append([xs[i][0], _maybe(xs[i][1]), xs[i][2]])
+            out.append([xs[i][0], _maybe(xs[i][1]), *xs[i][2:]])
             i += 1
         else:
-            out.append([ys[j][0], _maybe(ys[j][1]), ys[j][2]])
+            out.append([ys[j][0], _maybe(ys[j][1]), *ys[j][2:]])
             j += 1
     return out
 
@@ -180,56 +182,74 @@ def expression(node: list) -> str:
     return f"({body}){mult}" if mult else body
 
 
-def slot_paths(node: list, at: tuple = ()) -> list[str]:
-    """Paths of the text slots, in the order of the wrapper."""
-    here = at if not node[0] or node[0].startswith("(") else (*at, node[0])
-    own = ["/".join(here)] if any(c[0] == "#" for c in node[2]) or (node[0].startswith("(") and "#" in node[0]) else []
-    return list(dict.fromkeys([*own, *(p for c in node[2] if c[0] != "#" for p in slot_paths(c, here))]))
+def slots_of(children: list) -> list[list]:
+    """The text slots in the order of the tree."""
+    return [x for c in children for x in ([c] if c[0] == "#" else slots_of(c[2]))]
 
 
-def kept_slots(paths: list[str], stats: dict[str, tuple[int, int, int, int]]) -> tuple[list[str], list[str]]:
-    """Slots inside an article or main, for pages that fill one of them, and slots for all other pages.
-    ``stats``, over different pages: pages, ordered pairs of pages with the same text, characters and characters in links of each slot's texts."""
-    def named_outside(path: str) -> bool:
-        for part in path.split("/"):
-            name, *words = part.split(".")
-            if name in OUTSIDE and not (name == "header" and WITHIN & {p.split(".")[0] for p in path.split("/")}) or OUTSIDE_WORDS.intersection(words):
-                return True
-        return False
-    open_ = [p for p in paths if not named_outside(p)]
-    inside = [p for p in open_ if WITHIN & {x.split(".")[0] for x in p.split("/")}]
+def bare(children: list) -> list:
+    """The tree without the numbers of blocks."""
+    return [[c[0], c[1], bare(c[2])] for c in children]
 
-    def varies(path: str) -> bool:
-        pages, same, chars, links = stats.get(path, (0, 0, 0, 0))
-        return links * 2 <= chars and not (pages > 1 and same * FIXED >= pages * (pages - 1))
-    return inside, [p for p in open_ if p not in inside and varies(p)]
 
+def n_slots(node: list) -> int:
+    return 1 if node[0] == "#" else sum(map(n_slots, node[2]))
+
+
+def place(xs: list, ys: list, at: int = 0) -> list[int] | None:
+    """For each slot of ``xs`` the number of the wrapper's slot that it fills, ``ys`` starting with slot ``at``; None if xs do not fit. Each node takes the first
+    node after the one before that has its label and room for its children; whatever was merged into a wrapper fits."""
+    out: list[int] = []
+    j = 0
+    for x in xs:
+        while True:
+            if j == len(ys):
+                return None
+            y, here = ys[j], at
+            j, at = j + 1, at + n_slots(ys[j])
+            if x[0] != y[0]:
+                continue
+            got = [here] if x[0] == "#" else place(x[2], y[2], here)
+            if got is not None:
+                out += got
+                break
+    return out
+
+
+def named_outside(path: str) -> bool:
+    for part in path.split("/"):
+        name, *words = part.split(".")
+        if name in OUTSIDE and not (name == "header" and within(path)) or OUTSIDE_WORDS.intersection(words):
+            return True
+    return False
+
+
+def within(path: str) -> bool:
+    return bool(WITHIN & {p.split(".")[0] for p in path.split("/")})
+
+
+BLOCK = pa.struct([("slot", pa.int32()), ("inside", pa.bool_()), ("links", pa.int64()), ("text", pa.string())])
+
+
+def survey(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
+    """For each page: id, url, host, tree (folded, as JSON), shape (its digest), blocks (not below a name outside; slot: its number in the page's tree), page (a digest of their texts)."""
+    kind = pages.schema[id_col].dataType.simpleString()
 
-def survey(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
-    """For each page: host, tree (folded, as JSON), slots (path, chars, links, a hash of the text)."""
     def run(it):
         for batch in it:
             for part in batches([batch], "html"):
-                trees, slots = [], []
+                trees, blocks = [], []
                 for source in part.column("html").to_pylist():
                     page = Page(source or "")
-                    page.tree[2] = fold(page.tree[2])
-                    trees.append(json.dumps(page.tree[2], separators=(",", ":"), ensure_ascii=False))
-                    own: dict[str, list] = {}
-                    for path, text, links in page.blocks:
-                        s = own.setdefault(path, [0, 0, 0])
-                        s[0] += len(text)
-                        s[1] += links
-                        s[2] = (s[2] * 1000003 + hash_text(text)) & 0x7FFFFFFFFFFFFFFF
-                    slots.append([{"path": p, "chars": s[0], "links": s[1], "text": s[2]} for p, s in own.items()])
-                kind = pa.list_(pa.struct([("path", pa.string()), ("chars", pa.int64()), ("links", pa.int64()), ("text", pa.int64())]))
-                yield pa.RecordBatch.from_arrays([part.column("host"), pa.array(trees, pa.string()), pa.array(slots, kind)], ["host", "tree", "slots"])
-    rows = pages.select(host_of(F.col(url_col)).alias("host"), F.col(html_col).alias("html"))
-    return stored(rows.mapInArrow(run, "host string, tree string, slots array<struct<path: string, chars: long, links: long, text: long>>"), "pages-read")
-
-
-def hash_text(text: str) -> int:
-    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big")
+                    tree = fold(page.tree[2])
+                    slot = {k: n for n, x in enumerate(slots_of(tree)) for k in x[3]}
+                    outside = {path: named_outside(path) for path in {b[0] for b in page.blocks}}
+                    trees.append(json.dumps(bare(tree), separators=(",", ":"), ensure_ascii=False))
+                    blocks.append([{"slot": slot[k], "inside": within(path), "links": links, "text": text} for k, (path, text, links) in enumerate(page.blocks) if not outside[path]])
+                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("url"), part.column("host"), pa.array(trees, pa.string()), pa.array(blocks, pa.list_(BLOCK))], ["id", "url", "host", "tree", "blocks"])
+    rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), host_of(F.col(url_col)).alias("host"), F.col(html_col).alias("html"))
+    read = rows.mapInArrow(run, f"id {kind}, url string, host string, tree string, blocks array<struct<slot: int, inside: boolean, links: long, text: string>>")
+    return stored(read.select("*", F.md5("tree").alias("shape"), F.md5(F.array_join("blocks.text", "\0")).alias("page")), "pages-read")
 
 
 def infer(seen: DataFrame) -> DataFrame:
@@ -241,46 +261,53 @@ def infer(seen: DataFrame) -> DataFrame:
         return pd.DataFrame({"host": [key[0]], "tree": [json.dumps(tree, separators=(",", ":"), ensure_ascii=False)]})
     trees = seen.groupBy("host", "tree").agg(F.count(F.lit(1)).alias("n")).withColumn("salt", F.pmod(F.xxhash64("tree"), F.lit(SALTS)))
     part = trees.groupBy("host", "salt").applyInPandas(one, "host string, tree string")
-    return part.groupBy("host").applyInPandas(one, "host string, tree string").withColumnRenamed("tree", "wrapper")
+    return stored(part.groupBy("host").applyInPandas(one, "host string, tree string").withColumnRenamed("tree", "wrapper"), "wrappers")
 
 
-def decide(wrappers: DataFrame, seen: DataFrame) -> DataFrame:
-    """(host, wrapper, keep, other): the paths of the slots to keep, on pages that fill one inside an article or main and on others."""
-    different = seen.select("host", "slots", F.md5(F.to_json("slots")).alias("page")).dropDuplicates(["host", "page"])
-    texts = different.select("host", F.explode("slots").alias("s")).groupBy("host", "s.path", "s.text").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("s.chars").alias("chars"), F.sum("s.links").alias("links"))
-    slots = texts.groupBy("host", "path").agg(F.sum("n").alias("pages"), F.sum(F.col("n") * (F.col("n") - 1)).alias("same"), F.sum("chars").alias("chars"), F.sum("links").alias("links"))
-    stats = slots.groupBy("host").agg(F.collect_list(F.struct("path", "pages", "same", "chars", "links")).alias("stats"))
-
+def placed(seen: DataFrame, wrappers: DataFrame) -> DataFrame:
+    """(host, shape, at): for each different tree of a host, the wrapper's slots that its slots fill."""
     def run(it):
         for batch in it:
-            keep, other = [], []
-            for wrapper, rows in zip(batch.column("wrapper").to_pylist(), batch.column("stats").to_pylist()):
-                known = {r["path"]: (r["pages"], r["same"], r["chars"], r["links"]) for r in rows or []}
-                for to, paths in zip((keep, other), kept_slots(slot_paths(["", "1", json.loads(wrapper)]), known)):
-                    to.append(paths)
-            kind = pa.list_(pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column("host"), batch.column("wrapper"), pa.array(keep, kind), pa.array(other, kind)], ["host", "wrapper", "keep", "other"])
-    return stored(wrappers.join(stats, "host", "left").mapInArrow(run, "host string, wrapper string, keep array<string>, other array<string>"), "wrappers")
-
-
-def wrappers_of(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    seen = survey(pages, url_col, html_col)
-    return decide(infer(seen), seen)
+            last, wrapper, at = None, [], []
+            for tree, w in zip(batch.column("tree"), batch.column("wrapper")):
+                w = w.as_py()
+                if w != last:
+                    last, wrapper = w, json.loads(w)
+                found = place(json.loads(tree.as_py()), wrapper)
+                if found is None:
+                    raise ValueError("a page does not fit its host's wrapper")
+                at.append(found)
+            yield pa.RecordBatch.from_arrays([batch.column("host"), batch.column("shape"), pa.array(at, pa.list_(pa.int32()))], ["host", "shape", "at"])
+    trees = seen.select("host", "shape", "tree").distinct()
+    return stored(trees.join(small(wrappers, "octet_length(host) + octet_length(wrapper)"), "host").select("host", "shape", "tree", "wrapper").mapInArrow(run, "host string, shape string, at array<int>"), "wrapper-places")
+
+
+def judge(filled: DataFrame) -> DataFrame:
+    """(host, drop, fixed): slots of links, and (slot, hash of the text) of fixed texts. ``filled``: host, page, blocks with wrapper slots."""
+    blocks = filled.select("host", "page", F.explode("blocks").alias("b")).filter("NOT b.inside").select(
+        "host", "page", "b.slot", F.xxhash64("b.text").alias("text"), F.length("b.text").cast("long").alias("chars"), "b.links")
+    # a page that was copied, or that repeats a text in a slot, counts once
+    each = stored(blocks.groupBy("host", "slot", "text", "page").agg(F.max("chars").alias("chars"), F.min("links").alias("links")), "slot-texts")
+    slots = each.groupBy("host", "slot", "page").agg(F.sum("chars").alias("chars"), F.sum("links").alias("links")).groupBy("host", "slot").agg(
+        F.count(F.lit(1)).alias("pages"), F.sum("chars").alias("chars"), F.sum("links").alias("links"))
+    slots = stored(slots, "slots")
+    texts = each.groupBy("host", "slot", "text").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    fixed = texts.join(slots, ["host", "slot"]).filter((F.col("n") - 1) * FIXED >= F.col("pages") - 1)
+    rows = slots.filter(F.col("links") * 2 > F.col("chars")).select("host", F.col("slot").alias("drop"), F.lit(None).alias("fixed")).unionByName(
+        fixed.select("host", F.lit(None).cast("int").alias("drop"), F.struct("slot", "text").alias("fixed")))
+    return stored(rows.groupBy("host").agg(F.collect_list("drop").alias("drop"), F.collect_list("fixed").alias("fixed")), "slots-judged")
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Columns: the id, url, text, n_chars."""
-    kept = small(wrappers_of(pages, url_col, html_col).select("host", "keep", "other"), "octet_length(host) + 64 * size(keep) + octet_length(array_join(keep, '')) + 64 * size(other) + octet_length(array_join(other, ''))")
-
-    def run(it):
-        for batch in it:
-            for part in batches([batch], "html"):
-                texts = []
-                for source, keep, other in zip(*(part.column(c).to_pylist() for c in ("html", "keep", "other"))):
-                    blocks, keep, other = Page(source or "").blocks, set(keep or ()), set(other or ())
-                    texts.append(" ".join([text for path, text, _ in blocks if path in keep] or [text for path, text, _ in blocks if path in other]))
-                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], [id_col, "url", "text", "n_chars"])
-    kind = pages.schema[id_col].dataType.simpleString()
-    rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), host_of(F.col(url_col)).alias("host"))
-    return rows.join(kept, "host", "left").select("id", "url", "html", "keep", "other").mapInArrow(run, f"`{id_col}` {kind}, url string, text string, n_chars long")
+    seen = survey(pages, id_col, url_col, html_col)
+    places = placed(seen, infer(seen))
+    filled = seen.drop("tree").join(small(places, "octet_length(host) + 48 + 4 * size(at)"), ["host", "shape"]).select("id", "url", "host", "page", F.transform(
+        "blocks", lambda b: F.struct(F.col("at")[b["slot"]].alias("slot"), b["inside"].alias("inside"), b["links"].alias("links"), b["text"].alias("text"))).alias("blocks"))
+    judged = judge(filled)
+    both = filled.join(small(judged, "octet_length(host) + 8 * size(drop) + 24 * size(fixed)"), "host", "left")
+    inside = F.filter("blocks", lambda b: b["inside"])
+    varies = F.filter("blocks", lambda b: ~F.coalesce(F.array_contains("drop", b["slot"]), F.lit(False))
+                      & ~F.coalesce(F.array_contains("fixed", F.struct(b["slot"].alias("slot"), F.xxhash64(b["text"]).alias("text"))), F.lit(False)))
+    text = F.array_join(F.transform(F.when(F.size(inside) > 0, inside).otherwise(varies), lambda b: b["text"]), " ")
+    return both.select(F.col("id").alias(id_col), F.col("url").alias("url"), text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))

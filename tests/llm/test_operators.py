@@ -206,6 +206,26 @@ def test_copied_pages_keep_their_text(spark):
     assert [got[25 + k] for k in range(45)] == [f"text k {k // 15}" for k in range(45)] and [got[70], got[71]] == ["text l 0", "text l 1"]
 
 
+def test_fixed_text_in_a_slot_of_many(spark):
+    """A notice with the tag path of the body goes, the body paragraphs stay; slots are places of the wrapper."""
+    rows = [("http://h.org/", f"<div><p>All pages say this</p><p>one {i}</p><p>two {i}</p></div>") for i in range(6)]
+    assert texts_of(spark, rows) == {i: f"one {i} two {i}" for i in range(6)}
+
+
+def test_trees_find_their_places():
+    def tree(html):
+        return wrappers.bare(wrappers.fold(wrappers.Page(html).tree[2]))
+    trees = [tree(h) for h in ("<h1>a</h1><p>b</p>", "<div>n</div><h1>a</h1><p>b<p>c<p>d", "<h1>a</h1><ul><li>x</ul><div>e</div>", "text<p>x</p>")]
+    wrapper = trees[0]
+    for t in trees[1:]:
+        wrapper = wrappers.align(wrapper, t)
+    slots = len(wrappers.slots_of(wrapper))
+    for t in trees:
+        at = wrappers.place(t, wrapper)
+        assert len(at) == len(wrappers.slots_of(t)) and at == sorted(set(at)) and at[-1] < slots
+    assert wrappers.place(tree("<h3>z</h3>"), wrapper) is None
+
+
 def test_fold_and_align():
     leaf = lambda *names: [[n, "1", []] for n in names]
     assert wrappers.expression(["", "1", wrappers.fold(leaf("a", "b", "a", "b", "c", "c"))]) == "(<a></> <b></>)+ (<c></>)+"
