@@ -1,7 +1,8 @@
 """A corpus from raw documents to packed training sequences, as stages over whole tables.
 
 1. language: documents without a language (no text or no letter) go.
-2. near_dedup: of each group of near-duplicates (0.8, shingles of five words) the one with the smallest id stays; rows that repeat it go.
+2. near_dedup: of each group of near-duplicates (0.8, shingles of five words) one row stays, that with the smallest id (nulls last) and of those the
+   smallest hash of the text.
 3. decontamination: documents with a hit in at least a twentieth of their words go.
 4. packing: the token ids of what is left, in sequences of 4096.
 
@@ -20,10 +21,12 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = near_dedup.near_duplicates(docs, similarity=80).filter("kept").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
-    keyed = docs.withColumn("_key", F.xxhash64("text"))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (keyed["_key"] == kept["_key"])
-    return keyed.join(kept, same, "left_semi").dropDuplicates(["doc_id", "_key"]).drop("_key")
+    # null ids, and rows that repeat an id, can all be the smallest of their group: the smallest text hash decides between them
+    kept = near_dedup.near_duplicates(docs, similarity=80).filter("kept").withColumn("_id", F.coalesce("doc_id", F.lit(near_dedup.NO_ID)))
+    alone = F.col("component").isNull()
+    one = kept.groupBy("component", F.when(alone, F.col("_id")), F.when(alone, F.col("text_key"))).agg(F.min("_id").alias("_id"), F.min("text_key").alias("_key")).select("_id", "_key")
+    keyed = docs.withColumn("_id", F.coalesce("doc_id", F.lit(near_dedup.NO_ID))).withColumn("_key", F.xxhash64("text"))
+    return keyed.join(one, ["_id", "_key"], "left_semi").dropDuplicates(["_id", "_key"]).select(docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

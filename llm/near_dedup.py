@@ -232,7 +232,8 @@ def leftover_pairs(tables: DataFrame, comps: DataFrame, sets: DataFrame, similar
 
 
 def near_duplicates(docs: DataFrame, similarity: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Columns: the id, n_shingles, component_id, kept, text_key (xxhash64 of the text). ``similarity`` in hundredths."""
+    """Columns: the id, n_shingles, component_id, kept, text_key (xxhash64 of the text), component (a label of the group, null for an empty set). ``similarity`` in hundredths.
+    Rows that share the smallest id of their group are all ``kept``."""
     rows = describe(docs, id_col, text_col)
     reps = stored(rows.filter("n > 0").groupBy("id").agg(F.min("doc").alias("doc"), F.min("low").alias("low"), F.min("a").alias("a"), F.min("b").alias("b")), "dedup-classes")
     tables = table_keys(reps)
@@ -261,7 +262,7 @@ def near_duplicates(docs: DataFrame, similarity: int = 85, id_col: str = "doc_id
     comps = components(links.union(confirmed(more, sets, similarity)))
     of_class = stored(reps.join(comps, "id", "left").select("id", "doc", F.coalesce("component", "id").alias("component")), "dedup-components")
     smallest = of_class.groupBy("component").agg(F.min("doc").alias("first"))
-    first = of_class.join(smallest, "component").select("id", "first")
+    first = of_class.join(smallest, "component").select("id", "first", "component")
     out = rows.select("id", "doc", "n", "text_key").join(first, "id", "left").withColumn("first", F.coalesce("first", "doc"))
     name = lambda c: F.when(F.col(c) < NO_ID, F.col(c))
-    return out.select(name("doc").alias(id_col), F.col("n").alias("n_shingles"), name("first").alias("component_id"), (F.col("first") == F.col("doc")).alias("kept"), "text_key")
+    return out.select(name("doc").alias(id_col), F.col("n").alias("n_shingles"), name("first").alias("component_id"), (F.col("first") == F.col("doc")).alias("kept"), "text_key", "component")

@@ -83,7 +83,7 @@ def op6(spark, d):
 
 @query("op5_near_dedup")
 def op5(spark, d):
-    return near_dedup.near_duplicates(table(spark, d, "documents"), similarity=85).drop("text_key")
+    return near_dedup.near_duplicates(table(spark, d, "documents"), similarity=85).drop("text_key", "component")
 
 
 _WORDS_SQL = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"

@@ -232,6 +232,15 @@ def test_fold_and_align():
     assert wrappers.expression(["", "1", wrappers.align(leaf("a", "b"), leaf("a", "x", "b"))]) == "<a></> (<x></>)? <b></>"
 
 
+def test_one_row_of_each_group_stays(spark):
+    """Groups of near-copies whose smallest id is null or repeated."""
+    text = lambda g, k: " ".join([f"{g}{i}" for i in range(100)] + [f"end{k}"])
+    rows = [(None, text("a", k), "x") for k in range(4)] + [(7, text("b", k % 3), "x") for k in range(6)] + [(7, text("c", 0), "x"), (8, text("c", 1), "x"), (None, text("c", 2), "x"), (None, text("d", 0), "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    out = corpus_pipeline.dedup(spark, docs, "")
+    assert sorted((str(r.doc_id), r.text[0]) for r in out.collect()) == [("7", "b"), ("7", "c"), ("None", "a"), ("None", "d")] and out.columns == docs.columns
+
+
 @pytest.mark.skipif(not SF.exists(), reason="driver tables are not here")
 def test_pipeline(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
