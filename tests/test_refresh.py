@@ -126,6 +126,25 @@ def test_verification_counts(spark, runs):
     assert rows(v["air_parameters"]) == [("no2", 1), ("o3", 1), ("pm25", 2)]
 
 
+def test_a_future_reading_hides_no_later_ones(spark, tmp_path):
+    first_drop(tmp_path)
+    # the archive of January holds one reading of December and one of another year
+    folder = tmp_path / "measurements" / "locationid=7" / "year=2024" / "month=01"
+    for day in (D(2024, 12, 30), D(2031, 5, 1)):
+        L.write_readings(tmp_path, 7, day, [(1, 1, "pm25", "µg/m³", 5.0)])
+        name = f"location-7-{day:%Y%m%d}.csv.gz"
+        (tmp_path / "measurements" / "locationid=7" / f"year={day.year}" / f"month={day.month:02d}" / name).rename(folder / name)
+    inc = Config(work_database(spark, "stray"), str(tmp_path), 2024, 2024, today=D(2024, 2, 4))
+    refresh(spark, inc)
+    second_drop(tmp_path)
+    assert refresh(spark, inc)[C.MEASUREMENTS.name] == 2 and refresh(spark, inc)[C.MEASUREMENTS.name] == 0
+    full = replace(inc, database=work_database(spark, "strayfull"), force_refresh=True)
+    refresh(spark, full)
+    for c in (C.MEASUREMENTS, C.AIR_FACT):
+        a, b = spark.table(inc.table(c.name)), spark.table(full.table(c.name))
+        assert rows(a, *sorted(a.columns)) == rows(b, *sorted(a.columns)) and a.count() == 5
+
+
 def test_no_trip_files_is_an_error(spark, runs, tmp_path):
     first_drop(tmp_path)
     cfg = replace(runs[0], database=work_database(spark, "none"), landing=str(tmp_path), year_start=2030, year_end=2031)

@@ -151,8 +151,24 @@ def _load_series(spark: SparkSession, cfg: Config, raw: str, contract: C.Contrac
     return (W.merge_upsert if upsert else W.merge_insert)(newer, t, contract.keys)
 
 
+def _load_readings(spark: SparkSession, cfg: Config, touched: dict[str, date] | None = None) -> int:
+    """Readings of the year range; an incremental run adds what the table lacks, by key and not by a mark that one stray
+    future reading moves."""
+    t, c = cfg.table(C.MEASUREMENTS.name), C.MEASUREMENTS
+    clean = in_years(silver.measurements(spark.table(cfg.table("raw_measurements"))), cfg.year_start, cfg.year_end)
+    if I.run_mode(spark, t, cfg.force_refresh) == "full":
+        return W.write_range(clean, t, c.parts, cfg.year_start, cfg.year_end, merge_schema=True)
+    fresh = W.not_matched(clean, spark.table(t), c.keys)
+    first = fresh.agg(F.to_date(F.min("datetime"))).first()[0]
+    if first is None:
+        return 0
+    if touched is not None:
+        touched["readings"] = first
+    return W.merge_insert(fresh, t, c.keys)
+
+
 def build_silver(spark: SparkSession, cfg: Config, touched: dict[str, date] | None = None) -> dict[str, int]:
-    """Clean tables; ``touched`` gets the first day of the trips that this run added."""
+    """Clean tables; ``touched`` gets the first day of the trips and of the readings that this run added."""
     raw = lambda n: spark.table(cfg.table(n))
     out = {
         C.FX.name: W.write_full(silver.fx_rates(raw("raw_fx")), cfg.table(C.FX.name)),
@@ -160,8 +176,7 @@ def build_silver(spark: SparkSession, cfg: Config, touched: dict[str, date] | No
         C.LOCATIONS.name: W.write_full(silver.locations(raw("raw_locations")), cfg.table(C.LOCATIONS.name)),
         C.ZONES.name: W.write_full(silver.zones(drop_blank_rows(raw("raw_zones"))), cfg.table(C.ZONES.name)),
         C.TRIPS.name: _load_trips(spark, cfg, touched),
-        C.MEASUREMENTS.name: _load_series(spark, cfg, "raw_measurements", C.MEASUREMENTS,
-                                          silver.measurements, upsert=False, lookback_days=READING_LOOKBACK_DAYS),
+        C.MEASUREMENTS.name: _load_readings(spark, cfg, touched),
         # two days back, so that corrected hours reach the clean table
         C.WEATHER.name: _load_series(spark, cfg, "raw_weather", C.WEATHER, silver.weather, upsert=True,
                                      lookback_days=WEATHER_LOOKBACK_DAYS),
@@ -204,7 +219,8 @@ def build_gold(spark: SparkSession, cfg: Config, touched: dict[str, date] | None
     out[C.TRIP_FACT.name] = _load_fact(spark, cfg, C.TRIP_FACT, clean(C.TRIPS), "pickup_datetime",
                                        lambda df: gold.trip_fact(df, fx, zone), cfg.lookback_days, (touched or {}).get("trips"))
     out[C.AIR_FACT.name] = _load_fact(spark, cfg, C.AIR_FACT, clean(C.MEASUREMENTS), "datetime",
-                                      lambda df: gold.air_fact(df, clean(C.LOCATIONS)), max(cfg.lookback_days, READING_LOOKBACK_DAYS))
+                                      lambda df: gold.air_fact(df, clean(C.LOCATIONS)), max(cfg.lookback_days, READING_LOOKBACK_DAYS),
+                                      (touched or {}).get("readings"))
     return out
 
 
