@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from llm import decontaminate, languages, near_dedup, packing, sharding, token_counts, token_files, topk, urls, wrappers
+from llm import decontaminate, languages, near_dedup, packing, runs, sharding, token_counts, token_files, topk, urls, wrappers
 from llm.common import table, vocabulary
 from tidemart.session import tune
 
@@ -114,3 +114,25 @@ def pipeline(spark, d):
 @query("op8_html_text")
 def op8(spark, d):
     return wrappers.main_text(table(spark, d, "pages"))
+
+
+#: Fixed values of the contract: a tenth of the documents, by the checksum of the id, repeat a stretch of their own words to the end.
+REPEATED_SQL = r"""
+CASE WHEN crc32(CAST(doc_id AS STRING)) % 10 = 0 AND size(w) > 0
+     THEN array_join(transform(w, (x, i) -> if(i < a, x, w[a + (i - a) % p])), ' ') ELSE text END"""
+
+
+@query("op13_periodic_runs")
+def op13(spark, d):
+    g = F.expr("crc32(CAST(doc_id AS STRING)) div 10")
+    words = F.when(F.crc32(F.col("doc_id").cast("string")) % 10 == 0, F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)")))
+    docs = (table(spark, d, "documents").select("doc_id", "text", g.alias("g"), words.alias("w"))
+            .withColumn("a", F.expr("CAST(CASE WHEN size(w) > 0 THEN g % size(w) END AS INT)")).withColumn("p", F.expr("CAST(1 + (size(w) - a) div (3 + g % 8) AS INT)"))
+            .select("doc_id", F.expr(REPEATED_SQL).alias("text")))
+    found = runs.periodic_runs(docs, least=12)
+    longest = F.expr("array_max(transform(runs, r -> struct(r.length, -r.start AS back, -r.period AS short)))")
+    lines = F.expr("array_join(transform(runs, r -> concat_ws(',', r.start, r.length, r.period) || '\n'), '')")
+    return found.withColumn("best", longest).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.back")).alias("start"), F.col("best.length").alias("length"),
+        (-F.col("best.short")).alias("period"), F.expr("1000 * best.length div -best.short").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2(F.col("collapsed"), 256).alias("collapsed_sha256"))
