@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from llm import decontaminate, languages, near_dedup, packing, runs, sharding, token_counts, token_files, topk, urls, wrappers
-from llm.common import table, vocabulary
+from llm import decontaminate, languages, near_dedup, packing, runs, sharding, token_counts, token_files, token_windows, topk, urls, warc, wrappers
+from llm.common import stored, table, vocabulary
 from tidemart.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -136,3 +136,33 @@ def op13(spark, d):
         "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.back")).alias("start"), F.col("best.length").alias("length"),
         (-F.col("best.short")).alias("period"), F.expr("1000 * best.length div -best.short").alias("exponent_milli"),
         F.sha2(lines, 256).alias("runs_sha256"), F.sha2(F.col("collapsed"), 256).alias("collapsed_sha256"))
+
+
+@query("op12_token_alignment")
+def op12(spark, d):
+    aligned = token_windows.alignments(table(spark, d, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+    # the groups are long: only their digest is kept
+    aligned = stored(aligned.withColumn("groups_sha256", F.when(F.col("n_a") > 0, F.sha2(F.col("groups"), 256)).otherwise("")).drop("groups"), "aligned")
+    scores = token_windows.link_scores(aligned, stored(token_windows.pair_counts(aligned), "aligned-counts"))
+    zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
+    return aligned.drop("pairs").join(scores, "row", "left").select("doc_id", "n_a", "n_b", "n_groups", "n_links", zero("n_best"), zero("count_sum"), "groups_sha256")
+
+
+_BASE32_SQL = f"""array_to_string(list_transform(range(0, 32), lambda i: substr('{warc.ALPHABET}', 1 + ((('0x' || substr(sha1(p), (i // 4) * 5 + 1, 5))::INT >> (15 - 5 * (i % 4))::INT) & 31), 1)), '')"""
+
+
+@query("op11_warc", f"""
+WITH r AS (SELECT page_id, coalesce(html, '') AS p FROM pages),
+f AS (SELECT page_id, p, min(coalesce(page_id, {warc.NO_ID})) OVER (PARTITION BY p) AS f FROM r)
+SELECT page_id, strlen(p)::BIGINT AS payload_bytes, {_BASE32_SQL} AS payload_digest,
+       CASE WHEN f = coalesce(page_id, {warc.NO_ID}) THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN f <> coalesce(page_id, {warc.NO_ID}) THEN f END AS refers_to
+FROM f""")
+def op11(spark, d):
+    pages = table(spark, d, "pages")
+    folder = warc.write(warc.records(pages, min_bytes=0))
+    index = warc.build_index(warc.captures(spark, folder))
+    found = warc.read_ranges(warc.lookup(index, pages.select(warc.capture_key(F.col("url"), F.col("page_id")).alias("key"))), folder)
+    # of what was read: a response's digest and size from its payload, a revisit's from its record
+    return found.select(F.col("id").alias("page_id"), F.coalesce(F.octet_length("payload").cast("long"), F.col("payload_bytes")).alias("payload_bytes"),
+                        F.coalesce(warc.base32(F.sha1("payload")), F.col("digest")).alias("payload_digest"), F.col("kind").alias("record_type"), "refers_to")
