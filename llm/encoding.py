@@ -40,7 +40,7 @@ class Encoder:
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import CharDelimiterSplit
 
-        self.tokenizer, self.keeps_space = Tokenizer.from_file(path), keeps_space
+        self.tokenizer, self.keeps_space, self.kept = Tokenizer.from_file(path), keeps_space, KEPT_PIECES
         # the same merges without the steps before them, for lines of words that those steps would not change
         self.merges = Tokenizer.from_file(path)
         self.merges.normalizer, self.merges.pre_tokenizer = None, CharDelimiterSplit("\n")
@@ -182,7 +182,7 @@ class Encoder:
 
     def encode(self, texts: list[str | None] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, and how many each text has. A null text has none."""
-        if len(self.known) > KEPT_PIECES or self.chars > KEPT_CHARS:
+        if len(self.known) > self.kept or self.chars > KEPT_CHARS:
             self.forget()
         texts = texts.cast(pa.large_string()) if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())
         pieces, sizes = self.cut(texts.fill_null(""))

@@ -22,6 +22,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,8 +30,8 @@ from pyspark.sql import functions as F
 from llm.common import small
 from llm.encoding import Encoder, Known, batches, byte_letters
 
-#: Windows, and bytes of their keys and groups, that a worker remembers before it starts anew.
-KEPT_WINDOWS, KEPT_BYTES = 400_000, 64 << 20
+#: Windows, and bytes of their keys and groups, that a worker remembers before it starts anew; the same bounds hold for the tokenizers' stretches of text.
+KEPT_WINDOWS, KEPT_BYTES = 250_000, 32 << 20
 #: Counts are broadcast if they take at most so many bytes.
 COUNT_BYTES = 64 << 20
 _SPACE = 32
@@ -51,10 +52,11 @@ class Spelling:
 
 
 class ByteLevel:
-    """Tokens of a byte-level vocabulary, over the text after a space."""
+    """Tokens of a byte-level vocabulary. Texts come with the space before them."""
 
     def __init__(self, path: str):
         self.encoder = Encoder(path, keeps_space=True)
+        self.encoder.kept = KEPT_WINDOWS
         self.encoder.tokenizer.encode_special_tokens = True
         letters = {c: b for b, c in byte_letters().items()}
         tokenizer = self.encoder.tokenizer
@@ -62,13 +64,14 @@ class ByteLevel:
         size = tokenizer.get_vocab_size()
         self.spelling = Spelling([special[k].content.encode() if k in special else bytes(letters[c] for c in tokenizer.id_to_token(k)) for k in range(size)])
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        ids, counts = self.encoder.encode([" " + t for t in texts])
+    def encode(self, spaced: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
+        ids, counts = self.encoder.encode(spaced)
         return ids.astype(np.int64), counts
 
 
 class Pieces:
-    """Tokens of a sentence-piece vocabulary, which puts the space before the text itself."""
+    """Tokens of a sentence-piece vocabulary, which puts a space before a text itself. No piece has a space after another character (checked), so
+    that merges never pass from one character to a following space: each stretch of spaces and what follows it is encoded once and remembered."""
 
     def __init__(self, path: str):
         from sentencepiece import SentencePieceProcessor
@@ -78,11 +81,45 @@ class Pieces:
         def spelled(k: int) -> bytes:
             piece = self.model.id_to_piece(k)
             return bytes.fromhex(re.fullmatch("<0x(..)>", piece)[1]) if self.model.is_byte(k) else piece.replace("▁", " ").encode()
-        self.spelling = Spelling([spelled(k) for k in range(self.model.get_piece_size())])
+        pieces = [spelled(k) for k in range(self.model.get_piece_size())]
+        if any(b" " in p.lstrip(b" ") for p in pieces):
+            raise ValueError(f"{path} has pieces with a space inside")
+        self.spelling = Spelling(pieces)
+        self.forget()
+
+    def forget(self) -> None:
+        self.known, self.chars = Known(), 0
+        self.ids, self.counts = [np.empty(0, np.int32)], [np.empty(0, np.int32)]
+
+    def encode(self, spaced: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.known) > KEPT_WINDOWS or self.chars > KEPT_BYTES:
+            self.forget()
+        bounds = np.frombuffer(spaced.buffers()[1], np.int64)[spaced.offset:spaced.offset + len(spaced) + 1]
+        data, bounds = np.frombuffer(spaced.buffers()[2], np.uint8)[bounds[0]:bounds[-1]], bounds - bounds[0]
+        begin = data == _SPACE
+        begin[1:] &= ~begin[:-1]
+        begin[bounds[:-1]] = True
+        at = np.flatnonzero(begin)
+        stretches = pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(np.append(at, len(data)).astype(np.int64)), pa.py_buffer(data))
+        coded = stretches.dictionary_encode()
+        row = np.fromiter(map(self.known.__getitem__, coded.dictionary.to_pylist()), np.int64, len(coded.dictionary))[coded.indices.to_numpy()]
+        if fresh := self.known.fresh:
+            # the model adds one space itself, but none to an empty text
+            got = [ids or [self.model.piece_to_id("▁")] for ids in self.model.encode([x[1:] for x in fresh], num_threads=1)]
+            self.counts = [np.concatenate([*self.counts, np.fromiter(map(len, got), np.int32, len(got))])]
+            self.ids = [np.concatenate([*self.ids, np.fromiter(chain.from_iterable(got), np.int32)])]
+            self.chars += sum(map(len, fresh))
+            fresh.clear()
+        counts = self.counts[0].astype(np.int64)
+        ends, n = np.cumsum(counts), counts[row]
+        total = np.concatenate([[0], np.cumsum(n)])[np.searchsorted(at, bounds)]
+        return self.ids[0][_within(ends[row] - n, n)].astype(np.int64), np.diff(total)
+
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        got = self.model.encode(texts, num_threads=1)
-        return np.fromiter(chain.from_iterable(got), np.int64), np.fromiter(map(len, got), np.int64, len(got))
+def joined(parts: pa.Array, ends: np.ndarray, by: str) -> pa.Array:
+    """Stretches of ``parts``, ending at ``ends``, each as one string."""
+    lists = pa.LargeListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int64()), parts)
+    return pc.binary_join(lists, pa.scalar(by, parts.type))
 
 
 def _within(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -109,7 +146,7 @@ class Aligner:
 
     def forget(self) -> None:
         self.known, self.size = Known(), 0
-        self.text: list[str] = []
+        self.text = pa.array([], pa.large_string())
         self.groups, self.start, self.length = [], [], []
         self.codes, self.used = [], 0
 
@@ -131,19 +168,15 @@ class Aligner:
         shared = np.intersect1d(a_ends, b_ends, assume_unique=True)
         cut_a, cut_b = np.searchsorted(a_ends, shared) + 1, np.searchsorted(b_ends, shared) + 1
         groups = np.diff(np.searchsorted(cut_a, last_a, side="right"), prepend=0)
-        sa, sb = list(map(str, a.tolist())), list(map(str, b.tolist()))
-        ca, cb = [0, *cut_a.tolist()], [0, *cut_b.tolist()]
-        texts = [f"{','.join(sa[i:j])}|{','.join(sb[k:m])}" for i, j, k, m in zip(ca, ca[1:], cb, cb[1:])]
-        done = 0
-        for g in groups.tolist():
-            self.text.append(";".join(texts[done:done + g]))
-            done += g
+        sides = [joined(pa.array(x).cast(pa.large_string()), cut, ",") for x, cut in ((a, cut_a), (b, cut_b))]
+        texts = joined(pc.binary_join_element_wise(*sides, pa.scalar("|", pa.large_string())), np.cumsum(groups), ";")
+        self.text = pa.concat_arrays([self.text, texts])
         self.groups.append(groups)
         self.start.append(self.used + np.cumsum(links) - links)
         self.length.append(links)
         self.codes.append(codes)
         self.used += len(codes)
-        self.size += 4 * len(data) + 8 * len(codes) + sum(map(len, texts))
+        self.size += 4 * len(data) + 8 * len(codes) + texts.nbytes
         fresh.clear()
 
     def align(self, texts: list[str]) -> tuple[np.ndarray, ...]:
@@ -151,7 +184,8 @@ class Aligner:
         and the distinct pairs as (text, a, b, how often)."""
         if len(self.known) > KEPT_WINDOWS or self.size > KEPT_BYTES:
             self.forget()
-        sides = [t.encode(texts) for t in (self.a, self.b)]
+        spaced = pa.array([" " + t for t in texts], pa.large_string())
+        sides = [t.encode(spaced) for t in (self.a, self.b)]
         raw = [b" " + t.encode() for t in texts]
         ends = np.cumsum([len(r) for r in raw])
         fits = np.ones(len(texts), bool)
@@ -192,10 +226,7 @@ class Aligner:
         else:
             both, often, n_groups = np.empty(0, np.int64), np.empty(0, np.int64), n_links
         which, pair = np.divmod(both, self.pairs_of << 24)
-        words, groups, at = [self.text[r] for r in row.tolist()], [], 0
-        for w in windows.tolist():
-            groups.append(";".join(words[at:w]))
-            at = w
+        groups = joined(self.text.take(pa.array(row)), windows, ";")
         return fits, n_a, n_b, n_groups, n_links, groups, (which, *np.divmod(pair, self.pairs_of), often)
 
 
@@ -229,7 +260,7 @@ def alignments(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id"
                     at = np.array(some)[fits]
                     for column, values in zip(columns, found):
                         column[at] = values
-                    for k, text in zip(at.tolist(), said):
+                    for k, text in zip(at.tolist(), said.to_pylist()):
                         groups[k] = text
                     counts[at] = np.bincount(pairs[0], minlength=len(at))
                 items = pa.StructArray.from_arrays([pa.array(x.astype(np.int32)) for x in pairs[1:]], ["a", "b", "n"])
