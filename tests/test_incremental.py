@@ -57,13 +57,60 @@ def test_reaggregation_repairs_late_days_only(spark):
     assert rows(I.reaggregated(old.where("n > 9"), src, build, "at", partitioned=False)) == [(20240101, 1), (20240108, 2), (20240111, 1)]
 
 
-def test_ledger_names_files_not_periods(spark, db):
-    ledger = f"{db}.ledger"
-    files = spark.createDataFrame([("trips_2024-01.parquet",), ("trips_2024-02.parquet",)], "file STRING")
-    assert I.unread_files(spark, files, ledger, "trips").count() == 2
-    I.record_files(files.limit(1), ledger, "trips")
-    assert I.unread_files(spark, files, ledger, "trips").count() == 1
-    assert I.unread_files(spark, files, ledger, "other").count() == 2
+def test_the_ledger_knows_files_by_place_length_and_time(spark, db):
+    ledger, at = f"{db}.ledger", dt.datetime(2024, 1, 1)
+    ddl = "path STRING, length BIGINT, modified TIMESTAMP"
+    files = spark.createDataFrame([("trips_2024-01", 5, at), ("trips_2024-02", 5, at)], ddl)
+    assert I.next_run(spark, ledger, "trips") == 1
+    todo, n = I.new_files(spark, files, ledger, "trips")
+    assert n == 2 and I.record_run(todo.where("path LIKE '%01'"), ledger, "trips", 1) == 1
+    assert I.new_files(spark, files, ledger, "trips")[1] == 1
+    assert I.new_files(spark, files, ledger, "other")[1] == 2
+    again = spark.createDataFrame([("trips_2024-01", 6, at), ("trips_2024-01", 5, at + dt.timedelta(1)), ("trips_2024-01", 5, at)], ddl)
+    assert I.new_files(spark, again, ledger, "trips")[1] == 2
+    assert I.next_run(spark, ledger, "trips") == 2 and I.next_run(spark, ledger, "other") == 1
+
+
+def test_marks_of_consumers(spark, db):
+    marks = f"{db}.marks"
+    assert I.consumed(spark, marks, "a") == 0
+    for consumer, run in (("a", 1), ("b", 5), ("a", 2)):
+        I.mark_consumed(spark, marks, consumer, run)
+    assert (I.consumed(spark, marks, "a"), I.consumed(spark, marks, "b"), I.consumed(spark, marks, "c")) == (2, 5, 0)
+
+
+def test_exactly_the_touched_days_are_built_again(spark, db):
+    t, s = f"{db}.fact", f"{db}.source"
+    at = F.timestamp_seconds(F.lit(1609459200) + F.col("id") * 43200)  # two rows a day from 2021 on
+    src = spark.range(1600).select(at.alias("at"), "id")
+    W.append(src.withColumns({"year": F.year("at"), "month": F.month("at")}), s, ["year", "month"])
+    build = lambda df: df.groupBy(F.to_date("at").alias("day")).agg(F.count("*").alias("n"), F.max("id").alias("top")).select(
+        F.expr("year(day) * 10000 + month(day) * 100 + day(day)").alias("date_key"), "n", "top", F.year("day").alias("year"))
+    W.write_full(build(spark.table(s)), t, ["year"])
+    before = {r["date_key"]: r for r in spark.table(t).collect()}
+    late = spark.createDataFrame([(dt.datetime(2021, 3, 5, 7), 99999), (dt.datetime(2022, 7, 1, 7), 88888)], "at TIMESTAMP, id BIGINT")
+    W.append(late.withColumns({"year": F.year("at"), "month": F.month("at")}), s)
+    untouched = {r[0] for r in spark.table(t).where("year = 2023").select(F.input_file_name()).collect()}
+    got = I.rebuild_days(t, spark.table(s), {dt.date(2021, 3, 5), dt.date(2022, 7, 1), dt.date(2022, 7, 1)}, build, "at")
+    assert got == {"days": 2, "built": 2, "written": 365 + 365}
+    after = {r["date_key"]: r for r in spark.table(t).collect()}
+    assert {k for k in after if after[k] != before.get(k)} == {20210305, 20220701} and len(after) == len(before)
+    assert after[20210305]["n"] == 3 and after[20220701]["top"] == 88888
+    assert untouched and untouched == {r[0] for r in spark.table(t).where("year = 2023").select(F.input_file_name()).collect()}
+    # a day whose rows are gone goes too; no day, no write
+    assert I.rebuild_days(t, spark.table(s).where("id > 5"), [dt.date(2021, 1, 1)], build, "at")["built"] == 0
+    assert spark.table(t).where("date_key = 20210101").count() == 0
+    assert I.rebuild_days(t, spark.table(s), [], build, "at") == {"days": 0, "built": 0, "written": 0}
+
+
+def test_registered_keys_stay(spark, db):
+    reg = f"{db}.keys"
+    frame = lambda *ds: spark.createDataFrame([(d and dt.date(2024, 1, d), i) for i, d in enumerate(ds)], "date DATE, v INT")
+    number = lambda df: {r["date"] and r["date"].day: r["k"] for r in keys.registered_keys(df, reg, ["date"], "k", "year(date)").collect()}
+    assert number(frame(5, 9, 7)) == {5: 1, 7: 2, 9: 3}
+    assert number(frame(9, 3, 8, None)) == {9: 3, None: 4, 3: 5, 8: 6}
+    assert number(frame(5, None, 3)) == {5: 1, None: 4, 3: 5}
+    assert spark.table(reg).count() == 6 and number(frame()) == {}
 
 
 def test_month_grid_and_missing(spark):

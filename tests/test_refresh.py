@@ -153,12 +153,16 @@ def test_no_trip_files_is_an_error(spark, runs, tmp_path):
         _load_trips(spark, cfg)
 
 
-def test_footer_groups_follow_the_schema(spark, tmp_path):
+def test_generations_follow_the_schema(spark, tmp_path):
     first_drop(tmp_path)
     second_drop(tmp_path)
     files = parquet_drift.files_for_years(parquet_drift.list_files(spark, str(tmp_path / "trips")), 2019, 2024)
-    groups = parquet_drift.footer_groups(files)
-    assert sorted(len(g) for g in groups) == [1, 2]
+    for units in (parquet_drift.period_units(files), parquet_drift.file_units(files), parquet_drift.folder_units(files)):
+        groups = parquet_drift.generations(spark, units)
+        assert len(groups) == 2
+        assert parquet_drift.read_drifting(spark, groups, {"Airport_fee": "airport_fee"}, {}).count() == 11
+    only = parquet_drift.read_drifting(spark, groups, {}, {}, files.where("month = 12"))
+    assert only.count() == 1
     assert parquet_drift.files_for_years(files, 2024, 2024).count() == 2
 
 

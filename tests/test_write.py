@@ -133,3 +133,40 @@ def test_null_and_text_partitions_survive_replacement(spark, db):
     assert rows(spark.table(t), "k", "p", "n") == [(1, "a b", 2), (2, None, 2), (3, "x:y", 2)]
     W.replace_slice(spark.table(t).where("k = 2").withColumn("n", F.lit(9)), t, F.col("k") != 2)
     assert rows(spark.table(t), "k", "n") == [(1, 2), (2, 9), (3, 2)]
+
+
+def counting(df, seen):
+    """The frame with every evaluated row counted."""
+    def run(it):
+        for batch in it:
+            seen.add(batch.num_rows)
+            yield batch
+    return df.mapInArrow(run, df.schema)
+
+
+@pytest.mark.parametrize("parts", [[], ["year"]])
+@pytest.mark.parametrize("merge", ["merge_insert", "merge_upsert"])
+def test_a_merge_evaluates_its_source_once(spark, db, parts, merge):
+    t = f"{db}.t"
+    W.append(frame(spark, [(k, "old", 2019 + k % 3) for k in range(50)]), t, parts)
+    seen = spark.sparkContext.accumulator(0)
+    source = counting(frame(spark, [(k, "new", 2019 + k % 3) for k in range(40, 60)]), seen)
+    getattr(W, merge)(source, t, ["k"])
+    assert seen.value == 20
+    assert spark.table(t).count() == 60
+
+
+def test_a_merge_reports_what_it_added(spark, db):
+    t = f"{db}.t"
+    W.append(frame(spark, [(1, "a", 2019), (2, "b", 2020)]), t, ["year"])
+    src = frame(spark, [(1, "x", 2019), (3, "c", 2020), (4, "d", 2021), (5, "d", 2021)])
+    assert W.merge_insert_touching(src, t, ["k"], F.col("v")) == (3, {"c", "d"})
+    assert W.merge_insert_touching(src, t, ["k"], F.col("v")) == (0, set())
+    assert W.merge_insert_touching(src.where("k > 99"), t, ["k"], F.col("v")) == (0, set())
+
+
+def test_an_untyped_column_may_be_merged(spark, db):
+    t = f"{db}.t"
+    W.append(frame(spark, [(1, "a", 2019)]), t, ["year"])
+    assert W.merge_insert(spark.range(2, 3).selectExpr("CAST(id AS INT) AS k", "NULL AS v", "2019 AS year"), t, ["k"]) == 1
+    assert W.merge_upsert(spark.range(2, 3).selectExpr("CAST(id AS INT) AS k", "NULL AS v", "2019 AS year"), t, ["k"]) == 2

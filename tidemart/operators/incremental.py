@@ -1,15 +1,15 @@
 """Choosing what a run has to read: watermarks, file ledgers, lookback windows, run modes."""
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.functions.dates import lookback_key, recent_months
+from tidemart.functions.dates import date_to_key, lookback_key, recent_months
 from tidemart.operators.clean import keep_outside
-from tidemart.operators.write import append
+from tidemart.operators.write import append, observed, once, replace_slice
 from tidemart.sources.tables import exists, scan_or_empty
 
 
@@ -42,20 +42,61 @@ def increment_since(source: DataFrame, mark, time_col: str, lookback_days: int =
     return source.where(t > F.lit(mark))
 
 
-LEDGER_SCHEMA = "source STRING, file STRING"
+# Fixed value: columns of the ledger of landed files. A file is known by its place, length and time of writing, so one sent again is new.
+LANDED = "source STRING, path STRING, length BIGINT, modified TIMESTAMP, run BIGINT"
+_SAME = ("path", "length", "modified")
 
 
-def unread_files(spark: SparkSession, files: DataFrame, ledger: str, source: str) -> DataFrame:
-    """Files of ``(path, file, …)`` that the ledger does not name yet. The ledger records files
-    read, not periods seen in rows: a stray row of a neighbouring month marks nothing as done."""
+def new_files(spark: SparkSession, files: DataFrame, ledger: str, source: str) -> tuple[DataFrame, int]:
+    """Landed files (``path, length, modified, …``) that the ledger of ``source`` doesn't hold, and how many. The choice is kept in the shared folder: what a run
+    reads and what it records stay the same set, whatever lands meanwhile."""
     from pyspark.sql.types import StructType
 
-    done = scan_or_empty(spark, ledger, StructType.fromDDL(LEDGER_SCHEMA)).where(F.col("source") == source)
-    return files.join(done.select("file"), "file", "left_anti")
+    done = scan_or_empty(spark, ledger, StructType.fromDDL(LANDED)).where(F.col("source") == source)
+    fresh, n, _ = once(files.join(done.select(*_SAME), list(_SAME), "left_anti"))
+    return fresh, n
 
 
-def record_files(files: DataFrame, ledger: str, source: str) -> int:
-    return append(files.select(F.lit(source).alias("source"), F.col("file").cast("string")), ledger)
+def next_run(spark: SparkSession, ledger: str, source: str) -> int:
+    """The number of the next run of a source: 1, 2, 3 …"""
+    if not exists(spark, ledger):
+        return 1
+    return (max_of(spark.table(ledger).where(F.col("source") == source), "run") or 0) + 1
+
+
+def record_run(files: DataFrame, ledger: str, source: str, run: int) -> int:
+    """Enter the files of a run, after their rows are stored: a run cut off in between reads them again."""
+    return append(files.select(F.lit(source).alias("source"), *_SAME, F.lit(run).cast("bigint").alias("run")), ledger)
+
+
+def consumed(spark: SparkSession, marks: str, consumer: str) -> int:
+    """The last run of raw rows that a consumer has taken; 0 before the first."""
+    if not exists(spark, marks):
+        return 0
+    return max_of(spark.table(marks).where(F.col("consumer") == consumer), "run") or 0
+
+
+def mark_consumed(spark: SparkSession, marks: str, consumer: str, run: int) -> None:
+    append(spark.createDataFrame([(consumer, run)], "consumer STRING, run BIGINT"), marks)
+
+
+def rebuild_days(fact: str, source: DataFrame, days: Iterable[date], build: Callable[[DataFrame], DataFrame], time_col: str,
+                 key: str = "date_key") -> dict[str, int]:
+    """Build exactly the given days of a fact again, whatever lies between them. Of a source partitioned by ``year, month`` only the days'
+    partitions are listed, and in them only the days' rows are aggregated; of the fact only the touched years are rewritten, with the
+    rows of other days as they are. Returns days, rows built and rows written. The set of days is bounded by the calendar."""
+    days = sorted(set(days))
+    if not days:
+        return {"days": 0, "built": 0, "written": 0}
+    months = sorted({(d.year, d.month) for d in days})
+    if {"year", "month"} <= set(source.columns):
+        source = source.where(F.struct("year", "month").isin([F.struct(F.lit(y), F.lit(m)) for y, m in months]))
+    rows = source.where(F.to_date(time_col).isin(days))
+    seen = Observation()
+    new = build(rows).observe(seen, F.count(F.lit(1)).alias("rows"))
+    years = {d.year for d in days}
+    written = replace_slice(new, fact, ~F.col(key).isin([date_to_key(d) for d in days]), lambda s: s["year"].isdigit() and int(s["year"]) in years)
+    return {"days": len(days), "built": observed(seen)["rows"], "written": written}
 
 
 def tail_cutoff(max_key: int, days: int) -> tuple[int, date]:

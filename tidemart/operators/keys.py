@@ -6,9 +6,12 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemart.functions.dates import MONDAY_FIRST, date_key
+from tidemart.operators.write import append, once
 from tidemart.session import shared_dir
+from tidemart.sources.tables import scan_or_empty
 
 
 def surrogate_key(df: DataFrame, order: Sequence[str], name: str, bucket: str) -> DataFrame:
@@ -43,13 +46,28 @@ def surrogate_key_ranged(df: DataFrame, order: Sequence[str], name: str,
     # position inside the partition: the low 33 bits of the built-in per-partition id
     ranged = ranged.select("*", F.spark_partition_id().alias(part),
                            F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias(pos))
-    sizes = dict(ranged.groupBy(part).count().collect())
-    start, offsets = 0, []
-    for p in sorted(sizes):
-        offsets += [F.lit(p), F.lit(start).cast("long")]
-        start += sizes[p]
-    base = F.element_at(F.create_map(*offsets), F.col(part)) if offsets else F.lit(0).cast("long")
-    return ranged.withColumn(name, base + F.col(pos) + 1).drop(part, pos)
+    sizes = ranged.groupBy(part).agg(F.count(F.lit(1)).alias("__n"))  # one row a partition
+    offsets = sizes.selectExpr(f"{part} AS __of", f"coalesce(sum(__n) OVER (ORDER BY {part} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS __before")
+    numbered = ranged.join(F.broadcast(offsets), F.col(part) == F.col("__of"))  # n rows at most
+    return numbered.select(*[F.col(f"`{c}`") for c in df.columns], (F.col("__before") + F.col(pos) + 1).cast("long").alias(name))
+
+
+def registered_keys(df: DataFrame, registry: str, natural: Sequence[str], name: str, bucket: str) -> DataFrame:
+    """Surrogate keys that never change: those of natural keys in the registry table stay, new natural keys are numbered after its
+    largest key, in the order of ``natural`` (``bucket`` as for :func:`surrogate_key`), and entered. A run that ends after the entry finds its keys
+    again. Null parts of a natural key are values like others."""
+    spark = df.sparkSession
+    kind = dict(df.dtypes)
+    empty = StructType.fromDDL(", ".join([*(f"`{c}` {kind[c]}" for c in natural), f"`{name}` INT"]))
+    known = scan_or_empty(spark, registry, empty)
+    same = lambda a, b: F.expr(" AND ".join(f"{a}.`{c}` <=> {b}.`{c}`" for c in natural))
+    fresh, n, _ = once(df.select(*natural).distinct().alias("d").join(known.alias("k"), same("d", "k"), "left_anti"))
+    if n:
+        top = known.agg(F.max(name)).first()[0] or 0
+        numbered = surrogate_key(fresh, list(natural), name, bucket)
+        append(numbered.withColumn(name, F.col(name) + F.lit(top)), registry)
+    keys = scan_or_empty(spark, registry, empty)
+    return df.alias("d").join(keys.alias("k"), same("d", "k")).select("d.*", f"k.{name}")
 
 
 def date_spine(spark: SparkSession, first: date, last: date) -> DataFrame:

@@ -8,12 +8,14 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 from contextlib import contextmanager
+from typing import NamedTuple
 from urllib.parse import unquote
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tidemart.session import work_path
 from tidemart.sources.tables import exists
 
 _MODE = "spark.sql.sources.partitionOverwriteMode"
@@ -54,15 +56,17 @@ def _spread(df: DataFrame, parts: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *[F.col(p) for p in parts]) if parts else df
 
 
-def _counted(df: DataFrame, parts: Sequence[str] = ()) -> tuple[DataFrame, Observation]:
-    """Count rows, and collect the partition values met, while the write runs. The set is bounded
-    by the number of partitions."""
+def _counted(df: DataFrame, parts: Sequence[str] = (), values: Column | None = None) -> tuple[DataFrame, Observation]:
+    """Count rows, and collect the partition values met, while the write runs; with ``values`` also the different values of that
+    expression. The sets are bounded by the number of partitions and, for ``values``, by what the caller asks for (days, say)."""
     seen = Observation()
     extra = [F.collect_set(F.struct(*parts)).alias("parts")] if parts else []
+    if values is not None:
+        extra.append(F.collect_set(values).alias("values"))
     return df.observe(seen, F.count(F.lit(1)).alias("rows"), *extra), seen
 
 
-def _metrics(seen: Observation) -> dict:
+def observed(seen: Observation) -> dict:
     """The observed values after a write. An input that proves empty while running is cut out of
     the plan together with its counters; nothing was written then."""
     try:
@@ -70,7 +74,7 @@ def _metrics(seen: Observation) -> dict:
     except Py4JJavaError as e:
         if "toPyRow" not in str(e):
             raise
-        return {"rows": 0, "parts": []}
+        return {"rows": 0, "parts": [], "values": []}
 
 
 def align(spark: SparkSession, df: DataFrame, table: str, merge_schema: bool = False) -> DataFrame:
@@ -102,7 +106,7 @@ def write_full(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> i
             return replace_partitions(df, table, lambda spec: True)
         out, seen = _counted(df)
         _spread(out, partition_by).write.mode("overwrite").partitionBy(*partition_by).saveAsTable(table)
-        return _metrics(seen)["rows"]
+        return observed(seen)["rows"]
     out, seen = _counted(df)
     aside, old = (f"{table}_{tag}_{uuid.uuid4().hex[:8]}" for tag in ("new", "old"))
     out.write.saveAsTable(aside)
@@ -110,7 +114,7 @@ def write_full(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> i
         spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
     spark.sql(f"ALTER TABLE {aside} RENAME TO {table}")
     spark.sql(f"DROP TABLE IF EXISTS {old}")
-    return _metrics(seen)["rows"]
+    return observed(seen)["rows"]
 
 
 def replace_partitions(df: DataFrame, table: str, in_scope) -> int:
@@ -121,7 +125,7 @@ def replace_partitions(df: DataFrame, table: str, in_scope) -> int:
     out, seen = _counted(align(spark, df, table), parts)
     with _dynamic(spark):
         _spread(out, parts).write.mode("overwrite").insertInto(table)
-    done = _metrics(seen)
+    done = observed(seen)
     written = {tuple(_spec_value(v) for v in p) for p in (done["parts"] or [])}
     gone = [s for s in stored_partitions(spark, table)
             if in_scope(s) and tuple(s[p] for p in parts) not in written]
@@ -148,15 +152,25 @@ def write_range(df: DataFrame, table: str, partition_by: Sequence[str], lo: int,
 
 def append(df: DataFrame, table: str, partition_by: Sequence[str] = (), merge_schema: bool = False) -> int:
     """Add rows and return how many, counted while writing."""
+    return _append(df, table, partition_by, merge_schema)["rows"]
+
+
+def append_touching(df: DataFrame, table: str, values: Column, partition_by: Sequence[str] = (), merge_schema: bool = False) -> tuple[int, set]:
+    """As :func:`append`; also the different values of an expression over the rows added, such as their days."""
+    done = _append(df, table, partition_by, merge_schema, values)
+    return done["rows"], set(done["values"] or [])
+
+
+def _append(df: DataFrame, table: str, partition_by: Sequence[str], merge_schema: bool, values: Column | None = None) -> dict:
     spark = df.sparkSession
     if not exists(spark, table):
-        out, seen = _counted(df)
+        out, seen = _counted(df, values=values)
         w = _spread(out, partition_by).write
         (w.partitionBy(*partition_by) if partition_by else w).saveAsTable(table)
-        return _metrics(seen)["rows"]
-    out, seen = _counted(align(spark, df, table, merge_schema))
+        return observed(seen)
+    out, seen = _counted(align(spark, df, table, merge_schema), values=values)
     _spread(out, partition_columns(spark, table)).write.mode("append").insertInto(table)
-    return _metrics(seen)["rows"]
+    return observed(seen)
 
 
 def not_matched(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -181,32 +195,64 @@ def _within(parts: Sequence[str], specs: Sequence[Sequence[str]]) -> Column:
     return F.struct(*named).isin([F.struct(*[F.lit(v) for v in s]) for s in specs])
 
 
-def _touched(target: DataFrame, source: DataFrame, parts: Sequence[str]) -> DataFrame:
-    """Target rows in partitions that the source touches. The partition values come to the driver
-    first (never more than the table has partitions, plus new ones), because only literals prune
-    the target for certain: run-time pruning needs a broadcast, which a large increment rules out."""
-    if not parts:
-        return target
-    met = source.select(*parts).distinct().collect()
-    return target.where(_within(parts, [[_spec_value(v) for v in r] for r in met]))
+class Increment(NamedTuple):
+    """Rows of a merge that lie in files, how many they are, and the values of the partition columns among them."""
+    frame: DataFrame
+    rows: int
+    parts: list[tuple]
+
+
+def once(source: DataFrame, by: Sequence[str] = ()) -> Increment:
+    """The increment of a merge, evaluated once: written below the shared folder and read back, with its number of rows and the
+    values of the columns ``by`` counted on the way. Files outlive executors, so nothing upstream runs again."""
+    spark = source.sparkSession
+    path = work_path(spark, "increment")
+    out, seen = _counted(source, by)
+    out.write.parquet(path)
+    done = observed(seen)
+    return Increment(spark.read.schema(source.schema).parquet(path), done["rows"], [tuple(p) for p in (done.get("parts") or [])])
+
+
+def _typed(df: DataFrame) -> DataFrame:
+    """Columns of nulls without a type become text, which files can hold."""
+    return df.withColumns({c: F.col(c).cast("string") for c, t in df.dtypes if t == "void"})
+
+
+def _touched(target: DataFrame, by: Sequence[str], met: Sequence[tuple]) -> DataFrame:
+    """Target rows in the partitions met. The values come to the driver (never more than the table has partitions, plus new ones), because only
+    literals prune the target for certain: run-time pruning needs a broadcast, which a large increment rules out."""
+    return target.where(_within(by, [[_spec_value(v) for v in m] for m in met])) if by else target
 
 
 def merge_insert(source: DataFrame, table: str, keys: Sequence[str], merge_schema: bool = False) -> int:
     """Append source rows with unknown keys. In a partitioned table the partition columns must
-    follow from the key (a period taken from a key time), so that only touched partitions are read."""
-    spark = source.sparkSession
+    follow from the key (a period taken from a key time), so that only touched partitions are read. The source is evaluated once."""
+    return merge_insert_touching(source, table, keys, None, merge_schema)[0]
+
+
+def merge_insert_touching(source: DataFrame | Increment, table: str, keys: Sequence[str], values: Column | None, merge_schema: bool = False) -> tuple[int, set]:
+    """As :func:`merge_insert`; also the different values of an expression over the rows that were added. The source may have been
+    written already, with the table's partition columns."""
+    spark = (source.frame if isinstance(source, Increment) else source).sparkSession
     parts = partition_columns(spark, table)
-    target = _touched(spark.table(table), source, parts)
-    return append(not_matched(source, target, keys), table, merge_schema=merge_schema)
+    increment, n, met = source if isinstance(source, Increment) else once(_typed(source), parts)
+    if not n:
+        return 0, set()
+    fresh = not_matched(increment, _touched(spark.table(table), parts, met), keys)
+    done = _append(fresh, table, (), merge_schema, values)
+    return done["rows"], set(done.get("values") or [])
 
 
 def merge_upsert(source: DataFrame, table: str, keys: Sequence[str]) -> int:
     """Update matched rows, insert the others; rewrites touched partitions only (the whole table
-    when it is unpartitioned). Same condition on partition columns as :func:`merge_insert`."""
+    when it is unpartitioned). Same condition on partition columns as :func:`merge_insert`. The source is evaluated once."""
     spark = source.sparkSession
     parts = partition_columns(spark, table)
+    increment, n, met = once(align(spark, source, table), parts)
     target = spark.table(table)
-    result = merged(_touched(target, source, parts), align(spark, source, table), keys)
+    if not n:
+        return 0 if parts else target.count()
+    result = merged(_touched(target, parts, met), increment, keys)
     return replace_partitions(result, table, lambda s: False) if parts else write_full(result, table)
 
 

@@ -10,7 +10,7 @@ from tidemart.functions.dates import date_key
 from tidemart.functions.exact import decimal_sum, half_up_mean, half_up_ratio
 from tidemart.functions.units import convert_currency, in_units
 from tidemart.operators.joins import lookup
-from tidemart.operators.keys import date_attributes, date_spine, surrogate_key
+from tidemart.operators.keys import date_attributes, date_spine, registered_keys, surrogate_key
 from tidemart.plans import contracts as C
 
 
@@ -30,17 +30,23 @@ def dim_zone(zones: DataFrame) -> DataFrame:
             .orderBy("zone_key"))
 
 
-def dim_fx(rates: DataFrame) -> DataFrame:
-    """One row per trading day, numbered by date."""
+def _keyed(df: DataFrame, natural: list[str], name: str, bucket: str, registry: str | None) -> DataFrame:
+    if registry is None:
+        return surrogate_key(df, natural, name, bucket)
+    return registered_keys(df, registry, natural, name, bucket)
+
+
+def dim_fx(rates: DataFrame, registry: str | None = None) -> DataFrame:
+    """One row per trading day, numbered by date; with a ``registry`` table a day keeps its number for good and a
+    day published late takes the next one."""
     df = rates.select("date", date_key("date").alias("date_key"), "usd_eur_rate")
-    return surrogate_key(df, ["date"], "fx_key", bucket="year(date)").select(C.DIM_FX.schema.names)
+    return _keyed(df, ["date"], "fx_key", "year(date)", registry).select(C.DIM_FX.schema.names)
 
 
-def dim_gdp(gdp: DataFrame, unit: float = 1e12) -> DataFrame:
-    """One row per country and year, numbered in that order."""
+def dim_gdp(gdp: DataFrame, unit: float = 1e12, registry: str | None = None) -> DataFrame:
+    """One row per country and year, numbered in that order; ``registry`` as for :func:`dim_fx`."""
     df = gdp.withColumn("gdp_trillion_usd", in_units("gdp_usd", unit))
-    keyed = surrogate_key(df, ["country_code", "year"], "gdp_key", bucket="country_code")
-    return keyed.select(C.DIM_GDP.schema.names)
+    return _keyed(df, ["country_code", "year"], "gdp_key", "country_code", registry).select(C.DIM_GDP.schema.names)
 
 
 def trip_fact(trips: DataFrame, fx: DataFrame, zone: DataFrame, quote: str = "eur_per_usd") -> DataFrame:

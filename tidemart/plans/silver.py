@@ -48,18 +48,18 @@ def measurements(raw: DataFrame, pollutants=POLLUTANTS,
     # value before units: the conversion still looks at the raw unit
     df = df.withColumns({"value": convert_value(factors=factors), "units": relabel_units(),
                          "datetime": soft_cast("datetime", "timestamp")})
-    df = require(df.drop("year", "month"), *C.MEASUREMENTS.keys)
+    df = require(df.drop("year", "month", "ingest_run"), *C.MEASUREMENTS.keys)
     return period_keys(first_per_key(df, C.MEASUREMENTS.keys), "datetime")
 
 
 def weather(raw: DataFrame) -> DataFrame:
-    """Hourly weather with unit names and a rain flag (null rain stays null). Of repeated hours the
-    newest ingestion wins when the raw rows are stamped."""
+    """Hourly weather with unit names and a rain flag (null rain stays null). Of repeated hours the row of the
+    newest file wins, then of the newest ingestion, where the raw rows tell."""
     df = rename_map(raw, WEATHER_RENAMES)
     df = df.withColumn("datetime", soft_cast("datetime", "timestamp"))
     df = df.withColumn("is_rainy", F.col("precipitation_mm") > 0)
     df = require(df, "datetime", "temperature_c")
-    newest = ["ingestion_timestamp DESC"] if "ingestion_timestamp" in df.columns else []
+    newest = [f"{c} DESC" for c in ("file_modified", "file", "ingestion_timestamp") if c in df.columns]
     df = period_keys(first_per_key(df, C.WEATHER.keys, newest), "datetime")
     return df.select(C.WEATHER.schema.names)
 

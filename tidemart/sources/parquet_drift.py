@@ -1,21 +1,23 @@
 """Parquet files whose footers disagree: column case, number types, new columns."""
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
+from typing import NamedTuple
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemart.functions.casts import cast_map
+from tidemart.sources import files as L
 
 
 def list_files(spark: SparkSession, folder: str, glob: str = "*.parquet") -> DataFrame:
-    """``(path, file)`` of the files below a folder. Only metadata is read: the content column of
-    the file source is never selected."""
-    return (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-            .option("recursiveFileLookup", True).load(folder)
-            .select("path", F.element_at(F.split("path", "/"), -1).alias("file")))
+    """``(path, file, parent, length, modified)`` of the files below a folder."""
+    return L.landed(spark, folder, glob=glob)
 
 
 PERIOD = r"(\d{4})-(\d{2})"
@@ -33,53 +35,87 @@ def files_for_years(files: DataFrame, start: int, end: int, pattern: str = PERIO
     return with_period(files, pattern, column).where(F.col("year").between(start, end))
 
 
-def _footer_reader():
-    """The task function, built inside so that it travels to executors by value and needs only
-    pyarrow there."""
-    def read(batches):
-        import re
-
-        import pandas as pd
-        import pyarrow.parquet as pq
-        from pyarrow import fs
-
-        for batch in batches:
-            rows = []
-            for path in batch["path"]:
-                uri = re.sub("^s3a:", "s3:", path)
-                if uri.startswith("file:"):
-                    store, name = fs.LocalFileSystem(), re.sub("^file:/+", "/", uri)
-                else:
-                    store, name = fs.FileSystem.from_uri(uri)
-                with store.open_input_file(name) as handle:
-                    schema = pq.read_schema(handle)
-                rows.append((path, ";".join(f"{f.name}:{f.type}" for f in schema)))
-            yield pd.DataFrame(rows, columns=["path", "footer"])
-    return read
-
-
-def footer_groups(files: DataFrame) -> list[list[str]]:
-    """Paths grouped by equal footer schema. Tasks read the footers; the driver sees one short
-    row per schema generation with its path list, which a reader needs anyway."""
-    rows = (files.select("path").repartition(max(1, files.sparkSession.sparkContext.defaultParallelism))
-            .mapInPandas(_footer_reader(), "path string, footer string")
-            .groupBy("footer").agg(F.sort_array(F.collect_list("path")).alias("paths"))
-            .orderBy("footer").collect())
-    return [r["paths"] for r in rows]
-
-
-def read_drifting(spark: SparkSession, groups: Iterable[Iterable[str]],
-                  renames: Mapping[str, str], casts: Mapping[str, str]) -> DataFrame:
+class Generation(NamedTuple):
+    """Paths or globs whose files can be read with one schema."""
+    units: list[str]
+    schema: StructType
+
+
+def period_units(files: DataFrame) -> list[str]:
+    """One glob for each folder and period in the names of ``files`` (with ``year, month``), however many files that are."""
+    rows = files.select("parent", "year", "month").distinct().orderBy("parent", "year", "month").collect()
+    return [f"{L.escaped(r['parent'])}/*{r['year']:04d}-{r['month']:02d}*.parquet" for r in rows]
+
+
+def folder_units(files: DataFrame) -> list[str]:
+    """One glob for each folder that holds some of ``files``."""
+    return [f"{L.escaped(r[0])}/*.parquet" for r in files.select("parent").distinct().orderBy("parent").collect()]
+
+
+def file_units(files: DataFrame) -> list[str]:
+    rows = files.select(F.concat_ws("/", "parent", "file").alias("path")).orderBy("path").collect()
+    return [L.escaped(r[0]) for r in rows]
+
+
+def _fits(a: StructType, b: StructType) -> bool:
+    types = {f.name.lower(): f.dataType for f in a}
+    return all(types.get(f.name.lower(), f.dataType) == f.dataType for f in b)
+
+
+def _both(a: StructType, b: StructType) -> StructType:
+    have = {f.name.lower() for f in a}
+    return StructType([*a, *(f for f in b if f.name.lower() not in have)])
+
+
+def _schema(spark: SparkSession, units: Sequence[str]) -> StructType | None:
+    """The schema of all files of the units, from their footers, which Spark's reader opens in tasks; None if they disagree."""
+    try:
+        return spark.read.option("mergeSchema", True).parquet(*units).schema
+    except (Py4JJavaError, PySparkException) as e:
+        if "CANNOT_MERGE_SCHEMAS" not in str(e):
+            raise
+        return None
+
+
+def generations(spark: SparkSession, units: Sequence[str]) -> list[Generation]:
+    """Units (globs in the order of their periods, such as :func:`period_units` gives) grouped by schema. Footers are merged by Spark's own
+    reader; where they disagree the units are halved, a single unit into its files, and neighbours that agree meet again. So
+    the driver gets one schema a generation and no list of files, but for a unit that disagrees within itself."""
+    def split(units: list[str]) -> list[Generation]:
+        schema = _schema(spark, units)
+        if schema is not None:
+            return [Generation(units, schema)]
+        if len(units) == 1:
+            units = file_units(L.landed(spark, *units, recursive=False))
+            if len(units) == 1:
+                raise ValueError(f"{units[0]} has no single schema")
+        half = len(units) // 2
+        return split(units[:half]) + split(units[half:])
+
+    out: list[Generation] = []
+    for g in split(list(units)) if units else []:
+        k = next((k for k, o in enumerate(out) if _fits(o.schema, g.schema)), None)
+        if k is None:
+            out.append(g)
+        else:
+            out[k] = Generation(out[k].units + g.units, _both(out[k].schema, g.schema))
+    return out
+
+
+def read_drifting(spark: SparkSession, groups: Sequence[Generation],
+                  renames: Mapping[str, str], casts: Mapping[str, str], files: DataFrame | None = None) -> DataFrame:
     """One branch per schema generation (not per file): read, fix case drift, cast, union by name.
 
     Columns that a generation lacks come back as nulls. ``renames`` is matched exactly, so
-    ``{"Airport_fee": "airport_fee"}`` repairs a changed capital letter."""
-    def one(paths):
-        df = spark.read.parquet(*paths)
+    ``{"Airport_fee": "airport_fee"}`` repairs a changed capital letter. With ``files`` only those are read of what the units match."""
+    def one(group: Generation) -> DataFrame:
+        df = spark.read.schema(group.schema).parquet(*group.units)
+        if files is not None:
+            df = L.only(df, files)
         fix = {a: b for a, b in renames.items() if a in df.columns}
         return cast_map(df.withColumnsRenamed(fix), casts)
 
-    frames = [one(list(g)) for g in groups]
+    frames = [one(g) for g in groups]
     if not frames:
         raise ValueError("no source files to read")
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

@@ -57,15 +57,11 @@ def append_sink(table: str) -> Callable[[DataFrame, int], None]:
 
 def _merge_sink(table: str, keys: Sequence[str], partition_by: Sequence[str], merge, order: Sequence[str] = ()) -> Callable[[DataFrame, int], None]:
     def sink(batch: DataFrame, _: int) -> None:
-        # several passes over one batch: keep it instead of running the stream's plan again
-        rows = first_per_key(batch, keys, order).persist()
-        try:
-            if not exists(batch.sparkSession, table):
-                W.append(rows, table, partition_by)
-            elif not rows.isEmpty():
-                merge(rows, table, keys)
-        finally:
-            rows.unpersist()
+        rows = first_per_key(batch, keys, order)
+        if exists(batch.sparkSession, table):
+            merge(rows, table, keys)  # evaluates the batch once, an empty one included
+        else:
+            W.append(rows, table, partition_by)
     return sink
 
 

@@ -104,12 +104,10 @@ def unread_files(spark, d):
 
     def run():
         files = P.files_for_years(P.list_files(spark, base), 1996, 2000, column="path")
-        todo = I.unread_files(spark, files.withColumn("file", F.col("path")), ledger, "orders")
-        groups = P.footer_groups(todo)
-        if groups:
-            W.append(P.read_drifting(spark, groups, {}, {"o_orderkey": "bigint"}), t)
-            names = spark.createDataFrame([(p,) for g in groups for p in g], "file STRING")
-            I.record_files(names, ledger, "orders")
+        todo, n = I.new_files(spark, files, ledger, "orders")
+        if n:
+            W.append(P.read_drifting(spark, P.generations(spark, P.file_units(todo)), {}, {"o_orderkey": "bigint"}), t)
+            I.record_run(todo, ledger, "orders", I.next_run(spark, ledger, "orders"))
 
     o.where("year <= 1998").write.partitionBy("period").parquet(base)
     run()

@@ -27,7 +27,7 @@ def drift_union(spark, d):
     ]
     for i, g in enumerate(gens):
         g.write.parquet(f"{base}/gen{i}")
-    groups = parquet_drift.footer_groups(parquet_drift.list_files(spark, base))
+    groups = parquet_drift.generations(spark, parquet_drift.folder_units(parquet_drift.list_files(spark, base)))
     return parquet_drift.read_drifting(spark, groups, {"Airport_fee": "airport_fee"}, {"vendor": "bigint", "passengers": "double"})
 
 
