@@ -185,7 +185,9 @@ def _load_trips(spark: SparkSession, cfg: Config, touched: Touched | None = None
     """Trip files by name period: all of the year range, or those the ledger does not hold."""
     t, ledger, name = cfg.table(C.TRIPS.name), cfg.table("landed_files"), C.TRIPS.name
     mode = I.run_mode(spark, t, cfg.force_refresh)
-    files = parquet_drift.files_for_years(parquet_drift.list_files(spark, cfg.source("trips")), cfg.year_start, cfg.year_end)
+    # the period stands in the file's name or in that of its folder, where a writer made many files of it
+    files = parquet_drift.list_files(spark, cfg.source("trips")).withColumn("named", F.concat_ws("/", F.element_at(F.split("parent", "/"), -1), "file"))
+    files = parquet_drift.files_for_years(files, cfg.year_start, cfg.year_end, column="named")
     todo, n = I.new_files(spark, files, ledger, name) if mode == "incremental" else W.once(files)[:2]
     if not n:
         if mode == "full":

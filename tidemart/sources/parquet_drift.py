@@ -42,9 +42,11 @@ class Generation(NamedTuple):
 
 
 def period_units(files: DataFrame) -> list[str]:
-    """One glob for each folder and period in the names of ``files`` (with ``year, month``), however many files that are."""
-    rows = files.select("parent", "year", "month").distinct().orderBy("parent", "year", "month").collect()
-    return [f"{L.escaped(r['parent'])}/*{r['year']:04d}-{r['month']:02d}*.parquet" for r in rows]
+    """One glob for each folder and period of ``files`` (with ``year, month``), however many files that are. Where the period stands in the folder's
+    name, the glob is the whole folder."""
+    period = F.format_string("%04d-%02d", "year", "month")
+    rows = files.select("parent", F.when(F.contains("file", period), period).alias("period")).distinct().orderBy("parent", "period").collect()
+    return [f"{L.escaped(r['parent'])}/*{r['period'] + '*' if r['period'] else ''}.parquet" for r in rows]
 
 
 def folder_units(files: DataFrame) -> list[str]:
@@ -78,28 +80,43 @@ def _schema(spark: SparkSession, units: Sequence[str]) -> StructType | None:
 
 
 def generations(spark: SparkSession, units: Sequence[str]) -> list[Generation]:
-    """Units (globs in the order of their periods, such as :func:`period_units` gives) grouped by schema. Footers are merged by Spark's own
-    reader; where they disagree the units are halved, a single unit into its files, and neighbours that agree meet again. So
-    the driver gets one schema a generation and no list of files, but for a unit that disagrees within itself."""
-    def split(units: list[str]) -> list[Generation]:
+    """Units (globs in the order of their periods, such as :func:`period_units` gives) grouped by schema. A stretch of periods whose first and last
+    units agree by one footer each is taken for one generation, others are halved; then Spark's reader merges all footers of a stretch in
+    tasks, and only where they disagree is it looked at unit by unit, and a unit that disagrees within itself file by file. So the driver
+    gets one schema a generation and no list of files, but for such a unit."""
+    footers: dict[str, StructType] = {}
+
+    def footer(unit: str) -> StructType:
+        if unit not in footers:
+            footers[unit] = spark.read.parquet(unit).schema
+        return footers[unit]
+
+    def stretches(units: list[str]) -> list[list[str]]:
+        if len(units) < 2 or _fits(footer(units[0]), footer(units[-1])):
+            return [units]
+        half = len(units) // 2
+        return stretches(units[:half]) + stretches(units[half:])
+
+    def alike(found: Sequence[Generation]) -> list[Generation]:
+        out: list[Generation] = []
+        for g in found:
+            k = next((k for k, o in enumerate(out) if _fits(o.schema, g.schema)), None)
+            if k is None:
+                out.append(g)
+            else:
+                out[k] = Generation(out[k].units + g.units, _both(out[k].schema, g.schema))
+        return out
+
+    def settled(units: list[str]) -> list[Generation]:
         schema = _schema(spark, units)
         if schema is not None:
             return [Generation(units, schema)]
         if len(units) == 1:
             units = file_units(L.landed(spark, *units, recursive=False))
-            if len(units) == 1:
-                raise ValueError(f"{units[0]} has no single schema")
-        half = len(units) // 2
-        return split(units[:half]) + split(units[half:])
-
-    out: list[Generation] = []
-    for g in split(list(units)) if units else []:
-        k = next((k for k, o in enumerate(out) if _fits(o.schema, g.schema)), None)
-        if k is None:
-            out.append(g)
-        else:
-            out[k] = Generation(out[k].units + g.units, _both(out[k].schema, g.schema))
-    return out
+            return [Generation([u], footer(u)) for u in units]
+        parts = alike([Generation([u], footer(u)) for u in units])
+        return [g for p in parts for g in settled(p.units)] if len(parts) > 1 else [g for u in units for g in settled([u])]
+    return alike([g for s in stretches(list(units)) for g in settled(s)]) if units else []
 
 
 def read_drifting(spark: SparkSession, groups: Sequence[Generation],

@@ -1,7 +1,7 @@
 """Queries over the driver tables, each beside its SQL check."""
 from importlib import import_module
 
-MODULES = ("q_clean", "q_facts", "q_measures", "q_windows", "q_writes", "q_incremental", "q_quality", "q_sources", "q_streams", "q_star")
+MODULES = ("q_clean", "q_facts", "q_measures", "q_windows", "q_writes", "q_incremental", "q_quality", "q_sources", "q_streams", "q_star", "q_refresh")
 
 
 def load_all() -> None:
