@@ -31,8 +31,9 @@ def test_merge_reads_only_touched_partitions(spark, db):
     t = f"{db}.t"
     W.append(spark.range(100).select("id", (F.col("id") % 10).cast("int").alias("part")), t, ["part"])
     src = spark.createDataFrame([(3, 3), (103, 3), (14, 4)], "id BIGINT, part INT")
-    assert len({f.split("part=")[1][0] for f in W._touched(spark.table(t), src, ["part"]).inputFiles()}) == 2
-    assert W._touched(spark.table(t), src.where("id < 0"), ["part"]).count() == 0
+    met = W.once(src, ["part"]).parts
+    assert len({f.split("part=")[1][0] for f in W._touched(spark.table(t), ["part"], met).inputFiles()}) == 2
+    assert W._touched(spark.table(t), ["part"], W.once(src.where("id < 0"), ["part"]).parts).count() == 0
 
 
 def test_hot_join_key_is_split(spark):
@@ -72,3 +73,21 @@ def test_orphan_join_sees_one_row_per_key(spark):
 def test_builders_do_not_leave_codegen_for_python(spark):
     for df in (S.trip_fact(spark, SF), S.air_fact(spark, SF), silver.weather(S.raw_weather(spark, SF))):
         assert "Python" not in plan(df) and "ArrowEval" not in plan(df)
+
+
+def test_latest_rows_and_station_map_need_no_sort_aggregate(spark):
+    from tidemart.operators import timeseries as T
+    from tidemart.plans import marts
+    latest = T.latest_per_series(S.table(spark, SF, "events"), ["user_id", "event_type"], "ts", ["event_id", "value", "props"])
+    points = T.to_points(S.raw_weather(spark, SF), "w", {"l": "x"}, ["temperature_2m"], "datetime", unique=True)
+    for df in (latest, points, marts.station_map(S.model(spark, SF), "click")):
+        assert "SortAggregate" not in plan(df)
+
+
+def test_an_increment_opens_only_its_own_run(spark, db):
+    """Raw rows are found by the partition of their run: the files opened stay the same however many runs there are."""
+    t, opened = f"{db}.raw", []
+    for run in range(1, 6):
+        W.append(spark.range(100).select("id", F.lit(2024).alias("year"), F.lit(run).cast("bigint").alias("ingest_run")).coalesce(1), t, ["year", "ingest_run"])
+        opened.append(len(spark.table(t).where(F.col("ingest_run") > run - 1).inputFiles()))
+    assert len(set(opened)) == 1 and len(spark.table(t).inputFiles()) == 5 * opened[0]

@@ -122,21 +122,12 @@ def run_suites(spark: SparkSession, suites: Mapping[str, Callable[[], DataFrame]
     return spark.createDataFrame(rows, RESULT)
 
 
-# The line formats of the text report.
-HEAD_LINES = "Data Quality Report - {now:%Y-%m-%d %H:%M} UTC\nTables: {tables} | Checks: {checks} | Passed: {passed} | Failed: {failed}"
-TABLE_LINE = "[%s] %-30s %d/%d checks"
-FAILED_LINE = "        - %s: %s"
-
-
 def report_lines(results: DataFrame) -> DataFrame:
-    """Ordered text lines: one per table, followed by its failed checks."""
+    """Ordered text lines: one per table with the share of its checks that hold, then one for each that does not."""
     tables = summary(results).select(
         "table", F.lit(0).alias("level"), F.lit("").alias("name"),
-        F.format_string(TABLE_LINE, F.when(F.col("failed") == 0, F.lit("OK ")).otherwise(F.lit("FAIL")),
-                        "table", "passed", "checks").alias("line"))
-    failed = results.where(~F.col("passed")).select(
-        "table", F.lit(1).alias("level"), "name",
-        F.format_string(FAILED_LINE, "name", "observed").alias("line"))
+        F.concat(F.when(F.col("failed") == 0, "pass  ").otherwise("FAIL  "), "table", F.lit(": "), F.col("passed").cast("string"), F.lit(" of "), F.col("checks").cast("string")).alias("line"))
+    failed = results.where(~F.col("passed")).select("table", F.lit(1).alias("level"), "name", F.concat(F.lit("      "), "name", F.lit(" <- "), "observed").alias("line"))
     return tables.unionByName(failed).orderBy("table", "level", "name").select("line")
 
 
@@ -144,6 +135,7 @@ def report(results: DataFrame, now: datetime | None = None) -> str:
     """The report as one text. ``results`` holds finished check rows (see :func:`run_suites`)."""
     t = summary(results).agg(F.count("*").alias("tables"), F.sum("checks").alias("checks"),
                              F.sum("passed").alias("passed"), F.sum("failed").alias("failed")).first()
-    counts = {k: v or 0 for k, v in t.asDict().items()}
-    head = HEAD_LINES.format(now=now or datetime.now(timezone.utc), **counts)
-    return "\n".join([head, "-" * 60, *[r["line"] for r in report_lines(results).collect()]])
+    n = {k: v or 0 for k, v in t.asDict().items()}
+    at = (now or datetime.now(timezone.utc)).isoformat(" ", "minutes")
+    head = f"{n['passed']} of {n['checks']} checks hold in {n['tables']} tables, {n['failed']} fail ({at})"
+    return "\n".join([head, *[r["line"] for r in report_lines(results).collect()]])

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.functions.exact import exact_avg, exact_sum
+from tidemart.operators.clean import first_per_key
 
 
 def last_days(df: DataFrame, time_col: str, now, days: int) -> DataFrame:
@@ -43,11 +44,15 @@ def window_rollup(df: DataFrame, time_col: str, every: str, fields: Sequence[str
 
 def latest_per_series(df: DataFrame, series: Sequence[str], time_col: str,
                       take: Sequence[str]) -> DataFrame:
-    """The newest row of each series; equal instants are decided by the taken columns. A running
-    maximum needs no sort of a series, however long it is."""
-    best = F.max(F.struct(time_col, *take)).alias("__best")
-    return df.groupBy(*series).agg(best).select(*series, f"__best.{time_col}",
-                                                *[f"__best.{c}" for c in take])
+    """The newest row of each series; equal instants are decided by the taken columns, the largest first, nulls last.
+
+    The newest instant of a series is a maximum of fixed width, a hash aggregate that Spark combines in the map tasks; a second pass over the
+    input picks the rows of these instants, and only they are ranked."""
+    newest = df.groupBy(*series).agg(F.max(time_col).alias("__newest"))
+    same = F.expr(" AND ".join([*(f"r.`{c}` <=> n.`{c}`" for c in series), f"r.`{time_col}` <=> n.__newest"]))
+    rows = df.select(*dict.fromkeys([*series, time_col, *take])).alias("r").join(newest.alias("n"), same, "left_semi")
+    order = [f"`{c}` DESC NULLS LAST" for c in take if c not in series]
+    return first_per_key(rows, series, order).select(*series, *dict.fromkeys([time_col, *take]))
 
 
 def latest_rows(df: DataFrame, order: str, n: int, ties: Sequence[str] = ()) -> DataFrame:
@@ -65,6 +70,8 @@ def to_points(df: DataFrame, measurement: str, tags: Mapping[str, str], fields:
     ids = ["measurement", *tags, "time"]
     points = long_form(base, [*ids, "__at"], fields)
     if unique:
+        # of rows at one instant the largest value; both steps are hash aggregates
+        points = points.groupBy(*ids, "field", "__at").agg(F.max("value").alias("value"))
         return points.groupBy(*ids, "field").agg(F.max_by("value", "__at").alias("value"))
     return points.drop("__at")
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.functions.dates import date_key
-from tidemart.functions.exact import decimal_sum, half_up_mean, half_up_ratio
+from tidemart.functions.exact import decimal_sum, half_up_mean, half_up_ratio, rounded_avg
 from tidemart.functions.units import convert_currency, in_units
 from tidemart.operators.joins import lookup
 from tidemart.operators.keys import date_attributes, date_spine, registered_keys, surrogate_key
@@ -74,10 +74,9 @@ def trip_fact(trips: DataFrame, fx: DataFrame, zone: DataFrame, quote: str = "eu
 def air_fact(readings: DataFrame, stations: DataFrame) -> DataFrame:
     """Day × station × parameter, with the station's name, country and position."""
     daily = readings.groupBy(F.expr("to_date(datetime) AS day"), "location_id", "parameter").agg(
-        decimal_sum("value").alias("total"), F.expr("round(max(value), 4) AS max_value"),
+        rounded_avg("value", 4).alias("avg_value"), F.expr("round(max(value), 4) AS max_value"),
         F.expr("round(min(value), 4) AS min_value"), F.expr("count(*) AS measurement_count"))
-    daily = daily.select("*", date_key("day").alias("date_key"), F.expr("year(day) AS year"),
-                         half_up_mean("total", "measurement_count", 4).alias("avg_value"))
+    daily = daily.select("*", date_key("day").alias("date_key"), F.expr("year(day) AS year"))
     about = stations.selectExpr("location_id", "location_name AS city", "country_name AS country", "latitude", "longitude")
     daily = lookup(daily, about, "location_id", "location_id", ["city", "country", "latitude", "longitude"])
     return daily.select(C.AIR_FACT.schema.names)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tidemart.functions.dates import year_of_key
 from tidemart.functions.exact import exact_avg
 from tidemart.functions.labels import LIMITS, band, limit_of
+from tidemart.operators.clean import first_per_key
 from tidemart.operators.measures import pearson, ratio_percent, year_over_year
 from tidemart.operators.timeseries import window_rollup
 from tidemart.plans.model import Model
@@ -41,36 +42,43 @@ def top_zones(model: Model, n: int = 10) -> DataFrame:
     return df.orderBy(F.col("total_trips").desc(), "zone_name").limit(n)
 
 
-def pollutant_cards(model: Model, limits: dict[str, float] = LIMITS, warn_share: float = 0.8) -> DataFrame:
+def sliced(model: Model, slicer: Column | None) -> Model:
+    """The model under a filter on the date dimension, such as one year of a page's slicer."""
+    return model if slicer is None else model.where("date", slicer)
+
+
+def pollutant_cards(model: Model, limits: dict[str, float] = LIMITS, warn_share: float = 0.8, slicer: Column | None = None) -> DataFrame:
     """Mean per pollutant with its limit and band."""
-    air = model.tables["air"].where(F.col("parameter").isin(list(limits)))
+    air = sliced(model, slicer).tables["air"].where(F.col("parameter").isin(list(limits)))
     df = air.groupBy("parameter").agg(exact_avg("avg_value").alias("mean_value"))
     df = df.withColumn("limit_value", limit_of("parameter", limits))
     return df.withColumn("band", band("mean_value", F.col("limit_value"), warn_share))
 
 
 def pollutant_trend(model: Model, names: Sequence[str] = tuple(POLLUTANT_MEANS),
-                    limits: dict[str, float] = LIMITS) -> DataFrame:
+                    limits: dict[str, float] = LIMITS, slicer: Column | None = None) -> DataFrame:
     """Daily means side by side, with the limits as constant columns."""
-    df = model.evaluate(list(names), [("date", "date")]).where("date IS NOT NULL")
+    df = sliced(model, slicer).evaluate(list(names), [("date", "date")]).where("date IS NOT NULL")
     return df.withColumns({f"limit_{p}": F.lit(float(v)) for p, v in limits.items()})
 
 
-def station_map(model: Model, parameter: str = "pm25") -> DataFrame:
-    """Mean of one pollutant per station with its position."""
-    air = model.tables["air"].where(F.col("parameter") == parameter)
-    return air.groupBy("location_id").agg(
-        F.max("city").alias("city"), F.max("latitude").alias("latitude"),
-        F.max("longitude").alias("longitude"), exact_avg("avg_value").alias("mean_value"))
+def station_map(model: Model, parameter: str = "pm25", slicer: Column | None = None) -> DataFrame:
+    """Mean of one pollutant per station with its position. Of several names of a station the last in the alphabet is shown; the
+    mean and the names are hash aggregates, and only the names, a few a station, are ranked."""
+    air = sliced(model, slicer).tables["air"].where(F.col("parameter") == parameter)
+    means = air.groupBy("location_id").agg(F.max("latitude").alias("latitude"), F.max("longitude").alias("longitude"), exact_avg("avg_value").alias("mean_value"))
+    names = first_per_key(air.select("location_id", "city").distinct(), ["location_id"], ["city DESC NULLS LAST"])
+    named = means.alias("m").join(names.alias("n"), F.expr("m.location_id <=> n.location_id"))
+    return named.select("m.location_id", "n.city", "latitude", "longitude", "mean_value")
 
 
-def top_stations(model: Model, parameter: str = "pm25", n: int = 10) -> DataFrame:
-    return station_map(model, parameter).orderBy(F.col("mean_value").desc(), "location_id").limit(n)
+def top_stations(model: Model, parameter: str = "pm25", n: int = 10, slicer: Column | None = None) -> DataFrame:
+    return station_map(model, parameter, slicer).orderBy(F.col("mean_value").desc(), "location_id").limit(n)
 
 
-def monthly_combo(model: Model, names: Sequence[str] = tuple(POLLUTANT_MEANS)) -> DataFrame:
+def monthly_combo(model: Model, names: Sequence[str] = tuple(POLLUTANT_MEANS), slicer: Column | None = None) -> DataFrame:
     """Monthly trips beside the pollutant means; months present in both facts."""
-    return (model.evaluate(["total_trips", *names], [YEAR, ("date", "month")], how="inner")
+    return (sliced(model, slicer).evaluate(["total_trips", *names], [YEAR, ("date", "month")], how="inner")
             .where("year IS NOT NULL"))
 
 
@@ -89,8 +97,8 @@ def correlations(model: Model, ys: Sequence[str] = tuple(POLLUTANT_MEANS), x: st
     return wide.unpivot([], list(ys), "measure", "r")
 
 
-def revenue_by_year(model: Model) -> DataFrame:
-    return model.evaluate(["total_revenue_usd", "total_revenue_eur"], [YEAR]).where("year IS NOT NULL")
+def revenue_by_year(model: Model, slicer: Column | None = None) -> DataFrame:
+    return sliced(model, slicer).evaluate(["total_revenue_usd", "total_revenue_eur"], [YEAR]).where("year IS NOT NULL")
 
 
 def gdp_of(model: Model, country: str, year: int | None = None) -> DataFrame:

@@ -40,6 +40,8 @@ MEASURES = {m.name: m for m in (
     additive("total_revenue_usd", "trips", "total_fare_usd", 2),
     additive("total_revenue_eur", "trips", "total_fare_eur", 2),
     mean_of_means("avg_fare_usd", "trips", "avg_fare_usd"),
+    mean_of_means("avg_trip_distance_mi", "trips", "avg_trip_distance_mi"),
+    mean_of_means("avg_trip_duration_min", "trips", "avg_trip_duration_min"),
     filtered_mean("avg_pm25", "air", "avg_value", "parameter", "pm25"),
     filtered_mean("avg_no2", "air", "avg_value", "parameter", "no2"),
     filtered_mean("avg_o3", "air", "avg_value", "parameter", "o3"),

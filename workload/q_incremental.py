@@ -140,19 +140,22 @@ def skip_if_current(spark, d):
     return spark.createDataFrame(rows, "run STRING, outcome STRING, rows BIGINT")
 
 
-@query("mode_switch", """SELECT * FROM (VALUES ('missing', 'full', true), ('filled', 'incremental', true), ('forced', 'full', true),
-('no new rows', 'incremental', false)) t(situation, mode, loads) WHERE (SELECT count(*) FROM events) > 0""")
+@query("mode_switch", """SELECT 'missing' AS situation, 'full' AS mode, count(*) > 0 AS loads, count(*) AS rows, 0::BIGINT AS before FROM events
+UNION ALL SELECT 'filled', 'incremental', count(*) FILTER (WHERE event_type = 'error') > 0, count(*) FILTER (WHERE event_type = 'error'), count(*) FROM events
+UNION ALL SELECT 'forced', 'full', count(*) > 0, count(*), count(*) FROM events
+UNION ALL SELECT 'no new rows', 'incremental', count(*) FILTER (WHERE value < -1e9) > 0, count(*) FILTER (WHERE value < -1e9), count(*) FROM events""")
 def mode_switch(spark, d):
+    """How each situation is run, whether there is something to load, rows of the source and rows stored before."""
     t = f"{work_database(spark, 'mode')}.t"
-    e = S.table(spark, d, "events").select("event_id", "ts")
+    e = S.table(spark, d, "events").select("event_id", "ts", "event_type", "value")
     out = []
-    for name, force, src in (("missing", False, e), ("filled", False, e), ("forced", True, e), ("no new rows", False, e.where("event_id < 0"))):
+    for name, force, src in (("missing", False, e), ("filled", False, e.where("event_type = 'error'")), ("forced", True, e), ("no new rows", False, e.where("value < -1e9"))):
+        before = spark.table(t).count() if spark.catalog.tableExists(t) else 0
         mode = I.run_mode(spark, t, force)
-        loads = I.guard_source(src, mode, "events")
+        out.append((name, mode, I.guard_source(src, mode, "events"), src.count(), before))
         if name == "missing":
             W.write_full(src, t)
-        out.append((name, mode, loads))
-    return spark.createDataFrame(out, "situation STRING, mode STRING, loads BOOLEAN")
+    return spark.createDataFrame(out, "situation STRING, mode STRING, loads BOOLEAN, rows BIGINT, before BIGINT")
 
 
 @query("period_list", "SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month FROM orders")

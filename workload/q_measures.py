@@ -3,7 +3,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from tidemart.functions.labels import band, yoy_label
+from tidemart.functions.labels import band, limit_of, yoy_label
 from tidemart.operators.measures import pearson, ratio_percent, year_over_year
 from tidemart.plans import marts
 from workload import standins as S
@@ -49,6 +49,12 @@ def avg_of_avg(spark, d):
     return S.model(spark, d).evaluate(["avg_fare_usd"], [("zone", "borough")])
 
 
+@query("measure_means", f"""{_T} SELECT borough, {S.fixed_avg('avg_trip_distance_mi')} AS avg_trip_distance_mi, {S.fixed_avg('avg_trip_duration_min')} AS avg_trip_duration_min
+FROM trip_fact LEFT JOIN v_zone ON zone_key = location_id GROUP BY ALL""")
+def measure_means(spark, d):
+    return S.model(spark, d).evaluate(["avg_trip_distance_mi", "avg_trip_duration_min"], [("zone", "borough")])
+
+
 def _pol(p):
     return f"{S.fixed_avg('avg_value', chr(39).join(['parameter = ', p, '']))} AS avg_{p}"
 
@@ -124,23 +130,24 @@ def pearson_daily(spark, d):
     return e.agg(F.count("y").alias("days"), F.round(pearson("x", "y"), 9).alias("r"))
 
 
-@query("pearson_no_variance", """SELECT event_type, NULL::DOUBLE AS r FROM events GROUP BY 1""")
+@query("pearson_no_variance", """SELECT event_type, NULL::DOUBLE AS r, CASE WHEN max(value) > min(value) THEN -1.0::DOUBLE END AS falling, count(*) AS n FROM events GROUP BY 1""")
 def pearson_no_variance(spark, d):
-    """A constant series has no correlation: null, not an error."""
-    e = S.table(spark, d, "events").withColumn("flat", F.lit(3.0))
-    return e.groupBy("event_type").agg(pearson("value", "flat").alias("r"))
+    """A constant series has no correlation: null, not an error; beside it a series that falls as the values rise."""
+    e = S.table(spark, d, "events").withColumns({"flat": F.lit(3.0), "less": 5 - F.col("value") * 2})
+    return e.groupBy("event_type").agg(pearson("value", "flat").alias("r"), F.round(pearson("value", "less"), 9).alias("falling"), F.count("*").alias("n"))
 
 
 _BAND = """CASE WHEN mean_value > limit_value THEN 'red' WHEN mean_value > limit_value * CAST(0.8 AS DOUBLE) THEN 'yellow'
 WHEN mean_value IS NOT NULL THEN 'green' END AS band"""
 
 
+_LIMIT = "CASE parameter WHEN 'click' THEN 7000 WHEN 'view' THEN 9500 ELSE 8 END::DOUBLE"
+
+
 @query("threshold_bands", f"""{_A} SELECT date_key, parameter, avg_value AS mean_value,
-CASE WHEN avg_value > 9500 THEN 'red' WHEN avg_value > 9500 * CAST(0.8 AS DOUBLE) THEN 'yellow' ELSE 'green' END AS band
-FROM air_fact WHERE parameter = 'view'""")
+CASE WHEN avg_value > {_LIMIT} THEN 'red' WHEN avg_value > {_LIMIT} * CAST(0.8 AS DOUBLE) THEN 'yellow' ELSE 'green' END AS band FROM air_fact""")
 def threshold_bands(spark, d):
-    f = S.air_fact(spark, d).where("parameter = 'view'")
-    return f.select("date_key", "parameter", F.col("avg_value").alias("mean_value"), band("avg_value", 9500).alias("band"))
+    return S.air_fact(spark, d).select("date_key", "parameter", F.col("avg_value").alias("mean_value"), band("avg_value", limit_of("parameter", S.LIMITS)).alias("band"))
 
 
 @query("top10_zones", f"""{_T} SELECT zone_name, sum(trip_count)::BIGINT AS total_trips FROM trip_fact JOIN v_zone ON zone_key = location_id
@@ -334,6 +341,60 @@ def mart_m13(spark, d):
     return marts.weather_panels(w).select("panel", F.unix_seconds(F.col("time").cast("timestamp")).alias("end_s"), "field", "value")
 
 
+# ---- the year slicer of the report pages ----------------------------------------------------
+
+def _year():
+    return F.col("year") == 1998
+
+
+_IN = "(SELECT * FROM air_fact WHERE year = 1998)"
+
+
+@query("mart_m4_year", f"""{_B}, c AS (SELECT parameter, {S.fixed_avg('avg_value')} AS mean_value, {_LIMIT} AS limit_value FROM {_IN} GROUP BY 1)
+SELECT parameter, mean_value, limit_value, {_BAND} FROM c""")
+def mart_m4_year(spark, d):
+    return marts.pollutant_cards(S.model(spark, d), S.LIMITS, slicer=_year())
+
+
+@query("mart_m5_year", f"""{_B} SELECT make_date(date_key // 10000, date_key // 100 % 100, date_key % 100) AS date, {_POL},
+7000::DOUBLE AS limit_click, 9500::DOUBLE AS limit_view, 8::DOUBLE AS limit_error FROM {_IN} GROUP BY 1""")
+def mart_m5_year(spark, d):
+    return marts.pollutant_trend(S.model(spark, d), _POLS, S.LIMITS, slicer=_year())
+
+
+@query("mart_m6_year", f"""{_B} SELECT location_id, max(city) AS city, max(latitude) AS latitude, max(longitude) AS longitude,
+{S.fixed_avg('avg_value')} AS mean_value FROM {_IN} WHERE parameter = 'view' GROUP BY 1""")
+def mart_m6_year(spark, d):
+    return marts.station_map(S.model(spark, d), "view", slicer=_year())
+
+
+@query("mart_m7_year", f"""{_B}, t AS (SELECT year, CAST(date_key // 100 % 100 AS INTEGER) AS month, sum(trip_count)::BIGINT AS total_trips FROM trip_fact GROUP BY ALL),
+a AS (SELECT year, CAST(date_key // 100 % 100 AS INTEGER) AS month, {_POL} FROM {_IN} GROUP BY ALL)
+SELECT * FROM t JOIN a USING (year, month)""")
+def mart_m7_year(spark, d):
+    return marts.monthly_combo(S.model(spark, d), _POLS, slicer=_year())
+
+
+@query("mart_m9_year", f"{_T}, {_KPI} SELECT year, total_revenue_usd, total_revenue_eur FROM kpi WHERE year = 1998")
+def mart_m9_year(spark, d):
+    return marts.revenue_by_year(S.model(spark, d), slicer=_year())
+
+
+@query("sums_any_double", """WITH t AS (SELECT event_type, sum((event_id % 1000)::BIGINT) AS k, count(*) AS n FROM events GROUP BY 1)
+SELECT event_type, k::DOUBLE * pow(2.0, -1000) AS tiny_beside_huge, CASE event_type WHEN 'error' THEN 'NaN' WHEN 'view' THEN 'Infinity' ELSE 'finite' END AS odd,
+       2 * n::DOUBLE * pow(2.0, 900) + 0.0 AS huge, 3 * n AS tiny_beside_huge_count FROM t""")
+def sums_any_double(spark, d):
+    """Each event gives a number near 1e-300 and two near 1e300 of opposite signs, which must leave the small ones whole; NaN and infinities in some groups."""
+    from tidemart.operators.sums import error_free_sums
+    e = S.table(spark, d, "events").select("event_id", "event_type")
+    big = "power(2D, 900) * (event_id % 97 + 1)"
+    rows = e.selectExpr("event_type", "event_id", f"explode(array((event_id % 1000) * power(2D, -1000), {big}, -{big})) AS x")
+    odd = "CASE WHEN event_type = 'error' AND event_id % 7 = 0 THEN double('NaN') WHEN event_type = 'view' AND event_id % 3 = 0 THEN double('infinity') ELSE x END"
+    got = error_free_sums(rows, ["event_type"], {"tiny_beside_huge": "x", "odd": odd, "huge": "CASE WHEN abs(x) > 1 THEN power(2D, 900) END"})
+    state = F.when(F.isnan("odd"), "NaN").when(F.col("odd") == float("inf"), "Infinity").otherwise("finite")
+    return got.select("event_type", "tiny_beside_huge", state.alias("odd"), "huge", "tiny_beside_huge_count")
+
+
 @query("month_label", f"""SELECT month, month_name, sum(n)::BIGINT AS orders FROM (SELECT CAST(month(o_orderdate) AS INTEGER) AS month,
 monthname(o_orderdate) AS month_name, count(*) AS n FROM orders GROUP BY ALL) GROUP BY ALL ORDER BY month""")
 def month_label(spark, d):

@@ -79,8 +79,8 @@ def dq_summary(spark, d):
     return Q.summary(_results(spark, d))
 
 
-@query("dq_report_lines", f"""WITH r AS ({_ALL}) SELECT printf('[%s] %-30s %d/%d checks', CASE WHEN bool_and(passed) THEN 'OK ' ELSE 'FAIL' END, "table",
-count(*) FILTER (WHERE passed), count(*)) AS line FROM r GROUP BY "table" UNION ALL SELECT '        - ' || name || ': ' || observed FROM r WHERE NOT passed""")
+@query("dq_report_lines", f"""WITH r AS ({_ALL}) SELECT CASE WHEN bool_and(passed) THEN 'pass  ' ELSE 'FAIL  ' END || "table" || ': ' ||
+count(*) FILTER (WHERE passed) || ' of ' || count(*) AS line FROM r GROUP BY "table" UNION ALL SELECT '      ' || name || ' <- ' || observed FROM r WHERE NOT passed""")
 def dq_report_lines(spark, d):
     return Q.report_lines(_results(spark, d))
 

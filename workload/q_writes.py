@@ -175,11 +175,16 @@ def ingest_stamp(spark, d):
                           stamp.eqNullSafe(F.current_timestamp()).alias("one_stamp"))
 
 
-@query("dq_store", "SELECT 'orders' AS \"table\", 'o_orderkey not null' AS name, true AS passed, '0 nulls' AS observed FROM range(2)")
+@query("dq_store", """WITH r AS (SELECT unnest(['F', 'O']) AS status), c AS (SELECT status, count(*) FILTER (WHERE o_orderpriority = '5-LOW') AS n, count(DISTINCT o_orderkey) = count(*) AS once
+  FROM r JOIN orders ON o_orderstatus = status GROUP BY 1)
+SELECT 'orders ' || status AS "table", 'o_orderpriority not null' AS name, n = 0 AS passed, replace(format('{:,}', n), ',', ',') || ' nulls' AS observed FROM c
+UNION ALL SELECT 'orders ' || status, 'o_totalprice in [0, 1000000000]', true, '0 rows outside range' FROM c""")
 def dq_store(spark, d):
-    """Check results of two runs, appended to one table."""
+    """Check results of two runs, over different rows, appended to one table."""
     from tidemart.operators import quality as Q
     t = _db(spark, "dqstore")
-    for _ in range(2):
-        W.append(Q.suite_results(S.table(spark, d, "orders"), "orders", [Q.not_null("o_orderkey")]), t)
+    o = S.table(spark, d, "orders").withColumn("o_orderpriority", F.nullif("o_orderpriority", F.lit("5-LOW")))
+    for status in ("F", "O"):
+        W.append(Q.suite_results(o.where(F.col("o_orderstatus") == status), f"orders {status}", [
+            Q.not_null("o_orderpriority"), Q.in_range("o_totalprice", 0, 10 ** 9)]), t)
     return spark.table(t)
