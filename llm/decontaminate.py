@@ -4,7 +4,7 @@ The index stores a posting (document, position, term) for each training word tha
 rarest terms, by their counts in the index: their lists, each shifted by the term's offset in the phrase, are intersected, and the
 starts that all of them give are compared with the document's words. ``near`` finds all terms of a query within a stretch of words the same way, without the order.
 
-Only SQL functions are used. A document is told apart by its id and text, so rows that repeat both count as one document and rows that
+Only SQL functions are used. Hits are found once for each id and text (a 128-bit digest of both) and given to every row that holds them; rows that
 share an id but not the text are documents of their own.
 
 Defined cases: a null or empty text has no words and no hits; an item without words has no windows; null ids stay; equal windows of
@@ -28,15 +28,21 @@ def words_of(text: Column) -> Column:
 
 
 def document_key(id_col: Column, text: Column) -> Column:
-    return F.xxhash64(id_col, text)
+    """128 bits that tell documents apart by id and text, nulls included."""
+    part = lambda c: F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit("-"))
+    return F.unhex(F.md5(F.concat(part(id_col), F.lit("\0"), part(text))))
 
 
-def build_index(docs: DataFrame, terms: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Postings (key, pos, term). Each document also has a row with its id and n_words, at position 0 or null."""
+def build_index(docs: DataFrame, terms: DataFrame | None, id_col: str, text_col: str) -> DataFrame:
+    """Postings (key, pos, term) of the words in ``terms``, or of all words for None: such an index serves any test set. Each row also has an entry
+    with its id and n_words, at position 0 or null."""
     text = F.col(text_col)
     words = docs.select(F.col(id_col).alias("id"), document_key(F.col(id_col), text).alias("key"), words_of(text).alias("words"))
     every = words.select("id", "key", F.size("words").cast("long").alias("n_words"), F.posexplode_outer("words").alias("pos", "word"))
-    known = every.join(small(terms, "octet_length(word) + 32"), "word", "left").filter("term IS NOT NULL OR coalesce(pos, 0) = 0")
+    if terms is None:
+        known = every.withColumn("term", F.when(F.col("word").isNotNull(), F.xxhash64("word")))
+    else:
+        known = every.join(small(terms, "octet_length(word) + 32"), "word", "left").filter("term IS NOT NULL OR coalesce(pos, 0) = 0")
     head = F.coalesce("pos", F.lit(0)) == 0
     return stored(known.select("key", "pos", "term", F.when(head, F.col("id")).alias("id"), F.when(head, F.col("n_words")).alias("n_words")), "index")
 
@@ -94,12 +100,14 @@ def covered(hits: Column) -> Column:
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
-                  size: int = WINDOW, one_in: int = 20) -> DataFrame:
-    """Columns: the id, n_words, n_hit, n_items, items_sha256, contaminated, hits, key. Contaminated: a hit, and ``one_in`` * n_hit >= n_words."""
+                  size: int = WINDOW, one_in: int = 20, index: DataFrame | None = None) -> DataFrame:
+    """Per row: the id, n_words, n_hit, n_items, items_sha256, contaminated, hits, key. Contaminated: a hit, and ``one_in`` * n_hit >= n_words.
+    ``index``: one of ``docs`` built before, with the words of this benchmark or all."""
     windows = stored(phrase_windows(benchmark, item_col, item_text, size), "index-windows")
-    index = build_index(docs, stored(vocabulary(windows), "index-terms"), id_col, text_col)
+    if index is None:
+        index = build_index(docs, stored(vocabulary(windows), "index-terms"), id_col, text_col)
     hits = phrase_hits(docs, index, windows, id_col, text_col)
-    heads = index.filter("n_words IS NOT NULL").groupBy("key").agg(F.min("id").alias("id"), F.max("n_words").alias("n_words"))
+    heads = index.filter("n_words IS NOT NULL").select("key", "id", "n_words")  # one a row
     n_hit = F.coalesce(covered(F.col("hits")), F.lit(0)).cast("long")
     found = F.coalesce(F.array_sort(F.array_distinct(F.flatten(F.transform("hits", lambda h: h["items"])))), F.array().cast("array<string>"))
     out = heads.join(hits, "key", "left").select("key", "id", "n_words", n_hit.alias("n_hit"), found.alias("found"), "hits")

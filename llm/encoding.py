@@ -6,6 +6,7 @@ the bytes of a batch and Arrow its different pieces; the library encodes each of
 batch together; they equal those of the whole texts."""
 from __future__ import annotations
 
+import ctypes
 import os
 import re
 from itertools import chain
@@ -211,17 +212,28 @@ class Known(dict):
 _ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
 
-def encoder(path: str, keeps_space: bool) -> Encoder:
-    """One encoder for each Python worker."""
+def encoder(path: str, keeps_space: bool, kept: int = KEPT_PIECES) -> Encoder:
+    """One encoder for each Python worker; it remembers ``kept`` pieces."""
     if (path, keeps_space) not in _ENCODERS:
         _ENCODERS[path, keeps_space] = Encoder(path, keeps_space)
+    _ENCODERS[path, keeps_space].kept = kept
     return _ENCODERS[path, keeps_space]
 
 
 def release() -> None:
-    """Drop the encoders that a worker keeps from task to task. Workers serve every stage of a session, so tasks of
+    """Drop the encoders that a worker keeps from task to task, and give freed memory back. Workers serve every stage of a session, so tasks of
     other operators call this before they fill memory of their own; the next encoding task begins anew."""
     _ENCODERS.clear()
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system, where the C library can (others keep it for themselves)."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):
+        pass
 
 
 def batches(it, text_col: str, limit: int = 1 << 20):

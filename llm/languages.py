@@ -5,7 +5,7 @@ labelled documents give each language's likelihood of a unit. For a document, EM
 languages; sets of growing size (by share) are compared by log-likelihood minus half a log of the
 number of units for each language more, and the best set's shares are the result.
 
-The model is fitted on at most SAMPLE labelled documents a language, those with the smallest hashes of their ids; every document is scored whole.
+The model is fitted on at most SAMPLE labelled documents for each of at most LANGUAGES languages, those with the smallest hashes of their ids; every document is scored whole.
 
 Defined cases: a text that is null or without a letter is ``und`` with score 0, as is every text if nothing was learned; ties go to the
 language first in order of names; repeated ids are rows of their own; a null id counts as held out and isn't learned from; an empty table gives no rows; other columns are ignored.
@@ -23,6 +23,10 @@ from llm.encoding import batches, release
 
 #: Labelled documents a language; hash buckets of trigrams; words in a unit; EM rounds.
 SAMPLE, BUCKETS, UNIT, ROUNDS = 4000, 1 << 16, 4, 12
+#: Languages learned at most: with BUCKETS this bounds what the driver gathers and what is broadcast (64 MB).
+LANGUAGES = 256
+#: A text is rejected if even chance is e**EVIDENCE times as likely as the learned languages; a few odd words are no such evidence.
+EVIDENCE = 10.0
 
 
 def letters() -> np.ndarray:
@@ -72,10 +76,17 @@ def em(like: np.ndarray, begin: np.ndarray, of: np.ndarray, allowed: np.ndarray)
 
 def mixtures(texts: list[str | None], logs: np.ndarray) -> np.ndarray:
     """Shares of the languages, documents x languages; all zero without a letter. ``logs``: buckets x languages."""
-    out = np.zeros((len(texts), logs.shape[1]))
+    return solved(texts, logs)[0]
+
+
+def solved(texts: list[str | None], logs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Shares as :func:`mixtures`; and by how much the chosen languages explain a document's trigrams better than even chance, in
+    log-likelihood: 0 without a letter, infinite where nothing was learned."""
+    out, gain = np.zeros((len(texts), logs.shape[1])), np.zeros(len(texts))
     bucket, unit, unit_doc = grams(texts)
     if not len(unit_doc) or not logs.shape[1]:
-        return out
+        gain[unit_doc] = np.inf
+        return out, gain
     begin_unit = np.flatnonzero(np.diff(unit, prepend=-1))
     ll = np.add.reduceat(logs[bucket], begin_unit, axis=0).astype(np.float64)
     like = np.exp(ll - ll.max(1, keepdims=True))
@@ -101,22 +112,34 @@ def mixtures(texts: list[str | None], logs: np.ndarray) -> np.ndarray:
         if not len(left):
             break
     out[docs] = best
-    return out
+    trigrams = np.diff(np.append(begin_unit, len(unit)))
+    gain[docs] = value + np.add.reduceat(ll.max(1) + trigrams * np.log(BUCKETS), begin)
+    return out, gain
+
+
+def rejected(texts: list[str | None], logs: np.ndarray) -> np.ndarray:
+    """Whether a text has no letter, or even chance explains its trigrams so much better than any mixture that EVIDENCE is passed."""
+    share, gain = solved(texts, logs)
+    return (gain < -EVIDENCE) | (gain == 0) & ~share.any(1)
 
 
 def held_out(id_col: Column) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % 3 == 1, F.lit(True))
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:
-    """Languages in order and log-probabilities, buckets x languages. The driver gets at most BUCKETS counts a language."""
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE,
+        languages: int = LANGUAGES) -> tuple[list[str], np.ndarray]:
+    """Languages in order and log-probabilities, buckets x languages. The driver gets at most BUCKETS counts for each of at most ``languages`` languages,
+    those with most labelled rows (ties: first by name)."""
     labelled = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).filter(~held_out(F.col("id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    common = [r[0] for r in labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()]
+    labelled = labelled.filter(F.col("lang").isin(common))
     first = Window.orderBy(F.xxhash64("id"), "id")
     ids = labelled.select("id", "lang")
     for by in (["lang", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(64))], ["lang"]):  # a common language is ranked in 64 tasks first
         ids = ids.withColumn("n", F.row_number().over(first.partitionBy(*by))).filter(F.col("n") <= sample).drop("n")
     ids = ids.select("id").distinct()
-    chosen = labelled.join(F.broadcast(ids), "id")  # at most ``sample`` ids a language
+    chosen = labelled.join(F.broadcast(ids), "id")  # at most ``sample`` ids for each of ``languages``
 
     def count(it):
         release()
@@ -140,7 +163,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
 def predict(docs: DataFrame, langs: list[str], logs: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Columns: the id, lang_pred, score (share of that language), shares (language to share)."""
-    shared = docs.sparkSession.sparkContext.broadcast((langs, logs))  # BUCKETS x languages floats
+    shared = docs.sparkSession.sparkContext.broadcast((langs, logs))  # BUCKETS x LANGUAGES floats at most
 
     def run(it):
         release()
@@ -157,11 +180,11 @@ def predict(docs: DataFrame, langs: list[str], logs: np.ndarray, id_col: str = "
 
 
 def accepted(docs: DataFrame, langs: list[str], logs: np.ndarray, text_col: str = "text") -> DataFrame:
-    """The rows whose text has a language, with all their columns and without a shuffle."""
-    shared = docs.sparkSession.sparkContext.broadcast(logs)
+    """The rows that aren't :func:`rejected`, with all their columns and without a shuffle; every row with a letter where nothing was learned."""
+    shared = docs.sparkSession.sparkContext.broadcast(logs)  # BUCKETS x LANGUAGES floats at most
 
     def run(it):
         release()
         for batch in batches(it, text_col):
-            yield batch.filter(pa.array(mixtures(batch.column(text_col).to_pylist(), shared.value).any(1)))
+            yield batch.filter(pa.array(~rejected(batch.column(text_col).to_pylist(), shared.value)))
     return docs.mapInArrow(run, docs.schema)

@@ -24,9 +24,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from llm.common import parts_for, stored
-from llm.encoding import batches, encoder
+from llm.encoding import KEPT_PIECES, batches, encoder, give_back
 
 CAPACITY, PART_BYTES, RUN_TOKENS = 4096, 8 << 20, 2 << 20
+#: Parts at most; beyond that they grow, which costs no memory, as a task solves run after run.
+MOST_PARTS = 50_000
 #: Tokens that a cut at a sentence end, and one inside a sentence, is worth.
 SENTENCE_PRICE, INNER_PRICE = 16, 64
 #: Distance of possible cuts inside a sentence that is longer.
@@ -83,12 +85,14 @@ def sentence_stops(path: str, keeps_space: bool, end_id: int) -> np.ndarray:
     return stops
 
 
-def pack(docs: DataFrame, path: str, end_id: int, keeps_space: bool = False, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY) -> DataFrame:
-    """Pieces: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids (binary, unsigned 32-bit little-endian)."""
+def pack(docs: DataFrame, path: str, end_id: int, keeps_space: bool = False, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY,
+         kept: int = KEPT_PIECES) -> DataFrame:
+    """``kept``: pieces of text that a worker remembers. Pieces: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids (binary, unsigned 32-bit little-endian)."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0]
     tie = F.xxhash64("text")
-    rows = rows.repartitionByRange(parts_for(total, PART_BYTES), "doc_id", tie).sortWithinPartitions("doc_id", tie)
+    # a random number parts rows that repeat both: a range holds its share of them whatever their number
+    rows = rows.withColumn("spread", F.rand(7)).repartitionByRange(min(parts_for(total, PART_BYTES), MOST_PARTS), "doc_id", tie, "spread").sortWithinPartitions("doc_id", tie, "spread").drop("spread")
 
     def solve(part: int, sequence: int, ids: np.ndarray, doc_ids: list, sizes: np.ndarray, stops: np.ndarray):
         doc_ends = np.cumsum(sizes)
@@ -105,7 +109,8 @@ def pack(docs: DataFrame, path: str, end_id: int, keeps_space: bool = False, id_
             ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "part", "sequence", "offset", "ids"])
 
     def run(it):
-        enc, stops, part = encoder(path, keeps_space), sentence_stops(path, keeps_space, end_id), TaskContext.get().partitionId()
+        give_back()
+        enc, stops, part = encoder(path, keeps_space, kept), sentence_stops(path, keeps_space, end_id), TaskContext.get().partitionId()
         sequence, held, flats, doc_ids, sizes = 0, 0, [], [], []
         for batch in batches(it, "text", 2 << 20):
             flat, n = enc.encode(batch.column("text"))
@@ -121,6 +126,6 @@ def pack(docs: DataFrame, path: str, end_id: int, keeps_space: bool = False, id_
             yield solve(part, sequence, np.concatenate(flats), doc_ids, np.concatenate(sizes), stops)[1]
     pieces = stored(rows.mapInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, part int, sequence long, offset long, ids binary"), "packed")
     count = pieces.groupBy("part").agg((F.max("sequence") + 1).alias("n"))
-    before = count.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))  # one row a part
+    before = count.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))  # a row a part, MOST_PARTS at most
     return pieces.join(F.broadcast(before), "part").select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", (F.col("sequence") + F.col("before")).alias("sequence_id"), "offset", "ids")

@@ -90,7 +90,7 @@ _WORDS_SQL = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOP
 
 
 @query("op3_decontamination", f"""
-WITH d AS (SELECT DISTINCT doc_id, text, {_WORDS_SQL} AS ws FROM documents),
+WITH d AS (SELECT doc_id, text, {_WORDS_SQL} AS ws FROM documents),
 b AS (SELECT item_id, {_WORDS_SQL} AS ws FROM benchmark),
 win AS (SELECT DISTINCT item_id, list_slice(ws, i, i + 12) AS g FROM (SELECT item_id, ws, unnest(generate_series(1, greatest(len(ws) - 12, 1))) AS i FROM b WHERE len(ws) > 0)),
 n AS (SELECT DISTINCT len(g) AS n FROM win),

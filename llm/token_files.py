@@ -31,15 +31,18 @@ from llm.encoding import batches, encoder
 
 #: Text bytes in a part; ids in a block; ids between checkpoints; longest code in bits.
 PART_BYTES, BLOCK_IDS, STEP, LONGEST = 16 << 20, 1 << 18, 128, 20
+#: Parts at most; beyond that they grow, which costs no memory, as a task writes block after block.
+MOST_PARTS = 50_000
 
 
 def tokens(docs: DataFrame, path: str, keeps_space: bool, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Blocks of plain ids (unsigned 32-bit) in ascending order of document ids."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0]
-    # the hash spreads an id that fills many rows over several ranges
+    # the hash spreads an id that fills many rows over several ranges, a random number rows that repeat the text too
     tie = F.xxhash64("text")
-    rows = rows.repartitionByRange(parts_for(total, PART_BYTES), "doc_id", tie).sortWithinPartitions("doc_id", tie)
+    rows = (rows.withColumn("spread", F.rand(7)).repartitionByRange(min(parts_for(total, PART_BYTES), MOST_PARTS), "doc_id", tie, "spread")
+            .sortWithinPartitions("doc_id", tie, "spread").drop("spread"))
 
     def encode(it):
         enc, part = encoder(path, keeps_space), TaskContext.get().partitionId()
@@ -193,7 +196,7 @@ def read(file: DataFrame, lengths: DataFrame) -> DataFrame:
 def digests(read_back: DataFrame, file: DataFrame) -> DataFrame:
     """Per document: doc_id, start over all parts, n_tokens, ids_crc32."""
     parts = file.select("part", F.expr("aggregate(sizes, 0L, (a, b) -> a + b)").alias("n")).groupBy("part").agg(F.sum("n").alias("n"))
-    before = parts.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))  # one row a part
+    before = parts.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))  # a row a part, MOST_PARTS at most
     return (read_back.select("part", "doc_id", "start", F.octet_length("ids").alias("bytes"), F.crc32("ids").alias("ids_crc32"))
             .join(F.broadcast(before), "part")
             .select("doc_id", (F.col("start") + F.col("before")).alias("start"), F.expr("bytes div 4").cast("long").alias("n_tokens"), "ids_crc32"))
