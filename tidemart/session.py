@@ -16,6 +16,9 @@ _RUNTIME = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a hot join partition even where that costs one more exchange above the join
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # what a Python worker and its task hold of a table at once: long texts come in small batches
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4194304",
 }
 
 
