@@ -1,6 +1,6 @@
 """URL rules by hash-prefix lookup.
 
-Each url is expanded into pairs of a host suffix (cut at dots) and a path prefix (of the lengths that rules have).
+Each url is expanded into pairs of a host suffix (of as many labels as rules have) and a path prefix (of the lengths that rules have).
 The pairs meet the rules in an equi-join on the first four bytes of their SHA-256; the full digests and the
 strings confirm, and the longest rule decides.
 
@@ -40,8 +40,12 @@ def verdicts(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_co
     lengths = sorted(r[0] for r in rules.select(F.char_length("r_path")).distinct().collect())
     urls = pages.select(F.col(id_col).alias("id"), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
     pairs = urls.select("host", "path").distinct()
-    labels = F.split("host", r"\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda k: F.array_join(F.slice(labels, k, F.size(labels)), "."))
+    # likewise only suffixes of as many labels as some rule's host has, however many the url's host has
+    counts = sorted(r[0] for r in rules.select(F.size(F.split("r_host", r"\."))).distinct().collect())
+    pairs = pairs.withColumn("labels", F.split("host", r"\."))
+    labels = F.col("labels")
+    suffixes = F.transform(F.filter(F.array(*[F.lit(n) for n in counts]).cast("array<int>"), lambda n: n <= F.size(labels)),
+                           lambda n: F.array_join(F.slice(labels, F.size(labels) - n + 1, n), "."))
     prefixes = F.transform(F.filter(F.array(*[F.lit(n) for n in lengths]).cast("array<int>"), lambda n: n <= F.char_length("path")),
                            lambda n: F.substring(F.col("path"), F.lit(1), n))
     forms = (pairs.select("host", "path", F.explode(F.array_distinct(suffixes)).alias("suffix"))

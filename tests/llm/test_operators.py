@@ -1,6 +1,7 @@
 """Operators on small tables with nulls, ties, repeats and clashing names, against brute force."""
 import hashlib
 import re
+import time
 import zlib
 from pathlib import Path
 
@@ -168,6 +169,41 @@ def test_topk(spark, n):
     assert topk.search(df.limit(0), F.col("id") % 50 == 0).count() == 0
 
 
+def test_topk_of_large_components(spark, monkeypatch):
+    """Scores are exact up to 2**61, also where several chunks of queries and blocks of rows meet; beyond that there is an error, not a wrong order."""
+    monkeypatch.setattr(topk, "QUERY_BYTES", 200)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 2)
+    rng = np.random.default_rng(9)
+    v = rng.integers(-1_500_000, 1_500_000, (200, 5)).astype(float)
+    v[:20] = rng.integers(-1_000, 1_000, (20, 5))
+    v[50] = [1.9e6, -1.9e6, 1, 0, 2]
+    rows = [(i, [float(x) for x in r]) for i, r in enumerate(v)] + [(300, [1.0, 0.0]), (301, [1e8, 0.0]), (302, [2e8, 0.0]), (303, [-1e9, 3.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(map(tuple, topk.search(df, F.col("id") % 50 == 0).collect()))
+    want = []
+    for i, q in rows:
+        if i % 50 == 0:
+            scores = sorted((-sum(int(a * 256) * int(b * 256) for a, b in zip(q, r)), j) for j, r in rows if j != i and len(r) == len(q))
+            want += [(i, k + 1, j, -s) for k, (s, j) in enumerate(scores[:5])]
+    assert got == sorted(want)
+    assert [(r[2], r[3]) for r in got if r[0] == 300][:2] == [(302, 13107200000000), (301, 6553600000000)]
+    with pytest.raises(ValueError, match="may not fit"):
+        topk.search(spark.createDataFrame([(0, [1e9]), (1, [1e9])], "vec_id long, embedding array<double>"), F.col("id") % 50 == 0)
+    with pytest.raises(Exception, match="does not fit a long"):
+        topk.search(spark.createDataFrame([(0, [1.0]), (1, [1e30])], "vec_id long, embedding array<double>"), F.col("id") % 50 == 0)
+
+
+def test_urls_of_very_many_labels(spark):
+    """64 KB of labels end in no time: only suffixes as long as rules' hosts are formed."""
+    rules = spark.createDataFrame(queries.RULES, "host string, path string, verdict string")
+    hosts = ["a." * 32_000 + "example.com", "a." * 32_000 + "net", "b" * 60_000, ".".join(["example.com"] * 5000)]
+    pages = spark.createDataFrame([(k, f"http://{h}/en/") for k, h in enumerate(hosts)], "page_id long, url string")
+    start = time.monotonic()
+    got = {r.page_id: (r.rule, r.verdict) for r in urls.verdicts(pages, rules).collect()}
+    assert got == {0: ("example.com/en/", "block"), 1: (None, "allow"), 2: (None, "allow"), 3: ("example.com/en/", "block")}
+    assert time.monotonic() - start < 30
+
+
 PAGE = """<html><head><title>t</title><style>p{}</style><script>var t="<p>no</p>";</script></head><body><header>Site</header><nav><ul><li><a href=x>One</a><li>Two</ul></nav>
 <aside class="sidebar"><p>side</p></aside><div id="cookie-notice">We use cookies</div><article><h1>Head %d</h1><p>First <b>bold</b>&amp;  more<br>line<p>Second&nbsp;%d%s
 <div class="ad">Buy</div><form>mail <input></form><!-- c --><section class="comments"><p>nice</p></section></article><footer>&copy;</footer>"""
