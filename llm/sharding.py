@@ -154,7 +154,7 @@ def shard(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", text_col: s
         spark = docs.sparkSession
         placed = placed.unionByName(spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "key binary, shard int"))
     out = stored(rows.join(placed, "key").select("id", "size", "text_crc32", "shard",
-                 F.pmod(F.xxhash64("id", "key"), F.lit(SALTS)).alias("salt")), "shard-placed")
+                 F.floor(F.rand(11) * SALTS).alias("salt")), "shard-placed")  # drawn once, as it is stored; rows that repeat id and text are dealt too
     cells = out.groupBy("shard", "salt").agg(F.count(F.lit(1)).alias("n"))
     first = cells.select("shard", "salt", (F.sum("n").over(Window.partitionBy("shard").orderBy("salt")) - F.col("n")).alias("first"))
     number = F.row_number().over(Window.partitionBy("shard", "salt").orderBy("id", "text_crc32")) - 1

@@ -183,3 +183,7 @@ def test_odd_pieces_side_by_side():
         ids, n = enc.encode(texts)
         want = [e.ids for e in enc.tokenizer.encode_batch(texts, add_special_tokens=False)]
         assert n.tolist() == [len(w) for w in want] and ids.tolist() == [k for w in want for k in w]
+
+
+def test_counts_of_an_empty_table(spark, docs):
+    assert token_counts.counts(docs.limit(0), vocabulary("byte_bpe_50k.tiktoken")).count() == 0
