@@ -107,10 +107,10 @@ def tail_cutoff(max_key: int, days: int) -> tuple[int, date]:
 
 def tail_of(source: DataFrame, cutoff: date, time_col: str, partitioned: bool = True) -> DataFrame:
     """Source rows from ``cutoff`` on. The time filter alone cannot prune ``year``/``month``
-    partitions, so the same bound is stated on them too."""
+    partitions, so the same bound is stated on them too, in comparisons with literals that a catalog can evaluate itself."""
     df = source.where(F.col(time_col) >= F.lit(datetime(cutoff.year, cutoff.month, cutoff.day)))
     if partitioned:
-        df = df.where(F.col("year") * 12 + F.col("month") >= cutoff.year * 12 + cutoff.month)
+        df = df.where((F.col("year") > cutoff.year) | ((F.col("year") == cutoff.year) & (F.col("month") >= cutoff.month)))
     return df
 
 
@@ -129,8 +129,8 @@ def reaggregated(fact: DataFrame, source: DataFrame, build: Callable[[DataFrame]
 
 def in_recent_months(df: DataFrame, today: date, year: str = "year", month: str = "month") -> DataFrame:
     """Rows of the current and the previous month, by partition columns."""
-    wanted = [y * 12 + m for y, m in recent_months(today)]
-    return df.where((F.col(year) * 12 + F.col(month)).isin(wanted))
+    (y0, m0), (y1, m1) = recent_months(today)
+    return df.where(((F.col(year) == y0) & (F.col(month) == m0)) | ((F.col(year) == y1) & (F.col(month) == m1)))
 
 
 def is_current(source_rows: int, target_rows: int) -> bool:
