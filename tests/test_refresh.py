@@ -179,3 +179,19 @@ def test_command_line(spark, runs, tmp_path):
     L.write_weather(tmp_path, "w2.json", D(2024, 1, 3), [5.0], [0.4])
     run(args, spark)
     assert run(export, spark) == "7 points"
+
+
+#: Two readings of one sensor and instant: the first by its landed unit (ppm) is the last by the converted one.
+TIED = [(6, 1, "no2", "ugm3", 0.5), (6, 1, "no2", "ppm", 0.02)]
+
+
+@pytest.mark.parametrize("forced", [True], ids=["full"])
+def test_tied_readings_are_ranked_as_they_landed(spark, tmp_path, forced):
+    first_drop(tmp_path)
+    cfg = Config(work_database(spark, "tied"), str(tmp_path), 2024, 2024, force_refresh=forced, today=D(2024, 2, 4))
+    if not forced:
+        refresh(spark, cfg)
+    L.write_readings(tmp_path, 7, D(2024, 1, 5), TIED)
+    refresh(spark, cfg)
+    got = spark.table(cfg.table(C.MEASUREMENTS.name)).where("to_date(datetime) = DATE'2024-01-05'")
+    assert rows(got, "units", F.round("value", 4).alias("value")) == [("µg/m³", 37.64)]

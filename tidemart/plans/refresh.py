@@ -209,11 +209,11 @@ def _load_trips(spark: SparkSession, cfg: Config, touched: Touched | None = None
 
 def _load_readings(spark: SparkSession, cfg: Config, touched: Touched | None = None) -> int:
     """Readings of the year range. An increment is cleaned from the raw runs not taken yet, found by their partition: neither older raw rows nor
-    clean rows of other months are read, and no mark of time can hide a late or future reading."""
+    clean rows of other months are read, and no mark of time can hide a late or future reading. Of readings that tie, the first as they landed counts."""
     t, c, marks = cfg.table(C.MEASUREMENTS.name), C.MEASUREMENTS, cfg.table("run_marks")
     raw, newest = spark.table(cfg.table("raw_measurements")), _last_run(spark, cfg.table("raw_measurements"))
     if I.run_mode(spark, t, cfg.force_refresh) == "full":
-        rows = W.write_range(in_years(silver.measurements(raw), cfg.year_start, cfg.year_end), t, c.parts, cfg.year_start, cfg.year_end, merge_schema=True)
+        rows = W.write_range(in_years(silver.measurements(raw, as_landed=True), cfg.year_start, cfg.year_end), t, c.parts, cfg.year_start, cfg.year_end, merge_schema=True)
     else:
         last = I.consumed(spark, marks, c.name)
         if newest <= last:

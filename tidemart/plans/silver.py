@@ -42,14 +42,17 @@ def trips(raw: DataFrame, max_distance: float = MAX_DISTANCE, max_fare: float =
 
 
 def measurements(raw: DataFrame, pollutants=POLLUTANTS,
-                 factors: Mapping[str, float] = PPM_TO_UGM3) -> DataFrame:
-    """Positive pollutant readings in common units; one row per station, parameter and instant."""
+                 factors: Mapping[str, float] = PPM_TO_UGM3, as_landed: bool = False) -> DataFrame:
+    """Positive pollutant readings in common units; one row per station, parameter and instant: the first by
+    its other columns, with ``as_landed`` by those of the landed row, before its value and units are converted."""
     df = raw.where(F.col("parameter").isin(list(pollutants)) & strictly_positive("value"))
-    # value before units: the conversion still looks at the raw unit
-    df = df.withColumns({"value": convert_value(factors=factors), "units": relabel_units(),
-                         "datetime": soft_cast("datetime", "timestamp")})
+    df = df.withColumn("datetime", soft_cast("datetime", "timestamp"))
     df = require(df.drop("year", "month", "ingest_run"), *C.MEASUREMENTS.keys)
-    return period_keys(first_per_key(df, C.MEASUREMENTS.keys), "datetime")
+    if as_landed:
+        df = first_per_key(df, C.MEASUREMENTS.keys)
+    # value before units: the conversion still looks at the raw unit
+    df = df.withColumns({"value": convert_value(factors=factors), "units": relabel_units()})
+    return period_keys(df if as_landed else first_per_key(df, C.MEASUREMENTS.keys), "datetime")
 
 
 def weather(raw: DataFrame) -> DataFrame:
