@@ -185,7 +185,7 @@ def test_command_line(spark, runs, tmp_path):
 TIED = [(6, 1, "no2", "ugm3", 0.5), (6, 1, "no2", "ppm", 0.02)]
 
 
-@pytest.mark.parametrize("forced", [True], ids=["full"])
+@pytest.mark.parametrize("forced", [True, False], ids=["full", "increment"])
 def test_tied_readings_are_ranked_as_they_landed(spark, tmp_path, forced):
     first_drop(tmp_path)
     cfg = Config(work_database(spark, "tied"), str(tmp_path), 2024, 2024, force_refresh=forced, today=D(2024, 2, 4))

@@ -218,7 +218,7 @@ def _load_readings(spark: SparkSession, cfg: Config, touched: Touched | None = N
         last = I.consumed(spark, marks, c.name)
         if newest <= last:
             return 0
-        clean = in_years(silver.measurements(raw.where(F.col("ingest_run") > last)), cfg.year_start, cfg.year_end)
+        clean = in_years(silver.measurements(raw.where(F.col("ingest_run") > last), as_landed=True), cfg.year_start, cfg.year_end)
         rows = _insert(spark, cfg, clean, c, C.AIR_FACT.name, "datetime", touched)
     I.mark_consumed(spark, marks, c.name, newest)
     return rows
