@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from tidemart.operators import joins
 from tidemart.operators import write as W
 from tidemart.plans import silver
+from workload import q_refresh
 from workload import standins as S
 
 SF = "/root/testdata/sf0.001"
@@ -91,3 +92,15 @@ def test_an_increment_opens_only_its_own_run(spark, db):
         W.append(spark.range(100).select("id", F.lit(2024).alias("year"), F.lit(run).cast("bigint").alias("ingest_run")).coalesce(1), t, ["year", "ingest_run"])
         opened.append(len(spark.table(t).where(F.col("ingest_run") > run - 1).inputFiles()))
     assert len(set(opened)) == 1 and len(spark.table(t).inputFiles()) == 5 * opened[0]
+
+
+def test_rebuild_of_a_day_evaluates_the_trips_once(spark, monkeypatch):
+    """Of all that it writes only one frame comes from the line items; the rest comes from files of the clean trips."""
+    counted, from_lines = W._counted, []
+
+    def spy(df, *args, **kwargs):
+        from_lines.append(any("lineitem" in f for f in df.inputFiles()))
+        return counted(df, *args, **kwargs)
+    monkeypatch.setattr(W, "_counted", spy)
+    q_refresh.rebuild_one_day(spark, SF)
+    assert sum(from_lines) == 1 and len(from_lines) > 3
