@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from tidemart.operators import joins
 from tidemart.operators import write as W
 from tidemart.plans import silver
-from workload import q_refresh
+from workload import q_incremental, q_refresh
 from workload import standins as S
 
 SF = "/root/testdata/sf0.001"
@@ -104,3 +104,12 @@ def test_rebuild_of_a_day_evaluates_the_trips_once(spark, monkeypatch):
     monkeypatch.setattr(W, "_counted", spy)
     q_refresh.rebuild_one_day(spark, SF)
     assert sum(from_lines) == 1 and len(from_lines) > 3
+
+
+def test_reaggregated_frames_read_clean_trips_from_files(spark, monkeypatch):
+    """The result reads no line items again, and no fact is evaluated for its newest day."""
+    most, asked = q_incremental.I.max_of, []
+    monkeypatch.setattr(q_incremental.I, "max_of", lambda df, col: asked.append(df.columns) or most(df, col))
+    got = q_incremental.reaggregate_frames(spark, SF)
+    assert got.inputFiles() and not any("lineitem" in f or "orders" in f for f in got.inputFiles())
+    assert asked == [["k"]]

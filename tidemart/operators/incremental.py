@@ -116,10 +116,11 @@ def tail_of(source: DataFrame, cutoff: date, time_col: str, partitioned: bool =
 
 def reaggregated(fact: DataFrame, source: DataFrame, build: Callable[[DataFrame], DataFrame],
                  time_col: str, days: int = 7, key: str = "date_key",
-                 partitioned: bool = True) -> DataFrame:
+                 partitioned: bool = True, newest: int | None = None) -> DataFrame:
     """The fact after its last ``days`` were built again from the source; a full build when the
-    fact is empty."""
-    newest = max_of(fact, key)
+    fact is empty. ``newest`` is its newest key where the caller knows it; without it the fact is
+    evaluated once more for it, which a stored one answers from one column."""
+    newest = max_of(fact, key) if newest is None else newest
     if newest is None:
         return build(source)
     cut_key, cut = tail_cutoff(newest, days)

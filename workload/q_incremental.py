@@ -83,14 +83,15 @@ def reaggregate_tail(spark, d):
 
 @query("reaggregate_frames", f"WITH {S.V_TRIPFACT} SELECT {S.TRIP_COLS} FROM trip_fact")
 def reaggregate_frames(spark, d):
-    """Same on frames: a fact whose last days are wrong, repaired from the source."""
-    fx, zone, trips = S.dim_fx(spark, d), S.dim_zone(spark, d), S.trips(spark, d)
+    """Same on frames: a fact whose last days are wrong, repaired from the source. Trips and dimensions are evaluated once, and the fact
+    is not built for its newest day, which the trips tell."""
+    fx, zone, trips = (W.once(df).frame for df in (S.dim_fx(spark, d), S.dim_zone(spark, d), S.trips(spark, d)))
     build = lambda df: gold.trip_fact(df, fx, zone)
     fact = build(trips)
     newest = I.max_of(trips.select(date_key("pickup_datetime").alias("k")), "k")
     cut_key, _ = I.tail_cutoff(newest, 7)
     stale = fact.withColumn("trip_count", F.when(F.col("date_key") >= cut_key, F.lit(0).cast("bigint")).otherwise(F.col("trip_count")))
-    return I.reaggregated(stale, trips, build, "pickup_datetime")
+    return I.reaggregated(stale, trips, build, "pickup_datetime", newest=newest)
 
 
 @query("unread_files", """SELECT o_orderkey, o_totalprice, CAST(year(o_orderdate) AS INTEGER) AS year FROM orders WHERE year(o_orderdate) BETWEEN 1996 AND 2000""")
